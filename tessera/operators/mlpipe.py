@@ -1,0 +1,84 @@
+"""spark.ml text pipelines: whitespace tokens, stop words, count vectors,
+smoothed IDF, chi-squared feature selection, linear classifiers.
+
+The feature stages are fitted once and their output cached; every
+classifier is fitted on top of that table (instead of re-fitting the
+tokenizer / vectorizer / IDF inside each model's pipeline).
+"""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import LinearSVC, LogisticRegression
+from pyspark.ml.feature import IDF, CountVectorizer, StopWordsRemover, Tokenizer, UnivariateFeatureSelector
+from pyspark.ml.stat import ChiSquareTest
+from pyspark.sql import DataFrame, functions as F
+
+
+def feature_stages(text_col: str = "text", vocab_size: int = 5000, min_df: float = 10,
+                   max_df: float = 5000):
+    tok = Tokenizer(inputCol=text_col, outputCol="words")
+    rem = StopWordsRemover(inputCol="words", outputCol="filtered")
+    cv = CountVectorizer(inputCol="filtered", outputCol="features_c", vocabSize=vocab_size,
+                         minDF=min_df, maxDF=max_df)
+    idf = IDF(inputCol="features_c", outputCol="features")
+    return [tok, rem, cv, idf]
+
+
+def fit_text_features(train: DataFrame, text_col: str = "text", vocab_size: int = 5000,
+                      min_df: float = 10, max_df: float = 5000) -> PipelineModel:
+    return Pipeline(stages=feature_stages(text_col, vocab_size, min_df, max_df)).fit(train)
+
+
+def token_counts(df: DataFrame, text_col: str = "text", remove_stop_words: bool = False) -> DataFrame:
+    """(token, n) over the corpus after ``Tokenizer`` (and optionally ``StopWordsRemover``)."""
+    out = Tokenizer(inputCol=text_col, outputCol="words").transform(df.select(text_col))
+    col = "words"
+    if remove_stop_words:
+        out = StopWordsRemover(inputCol="words", outputCol="filtered").transform(out)
+        col = "filtered"
+    return out.select(F.explode(col).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+
+
+def vocabulary_table(model: PipelineModel, spark) -> DataFrame:
+    """(idx, term) of the fitted CountVectorizer (at most vocabSize rows)."""
+    vocab = model.stages[2].vocabulary
+    return spark.createDataFrame(list(enumerate(vocab)), "idx int, term string")
+
+
+def idf_table(model: PipelineModel, spark) -> DataFrame:
+    """(idx, term, idf) of the fitted IDF stage; idf = ln((m + 1) / (df + 1))."""
+    vocab = model.stages[2].vocabulary
+    weights = model.stages[3].idf.toArray().tolist()
+    return spark.createDataFrame([(i, t, float(w)) for i, (t, w) in enumerate(zip(vocab, weights))],
+                                 "idx int, term string, idf double")
+
+
+def chi2_table(features: DataFrame, vocab: DataFrame, features_col: str = "features",
+               label_col: str = "label") -> DataFrame:
+    """Pearson chi-squared independence test of every feature against the
+    label, each distinct feature value being a category:
+    (idx, term, statistic, dof, p_value).  Computed by spark.ml's
+    distributed ChiSquareTest (flattened: one row per feature)."""
+    res = ChiSquareTest.test(features, features_col, label_col, flatten=True)
+    return (res.select(F.col("featureIndex").alias("idx"), F.col("statistic"),
+                       F.col("degreesOfFreedom").alias("dof"), F.col("pValue").alias("p_value"))
+            .join(vocab, "idx"))
+
+
+def chi2_selector(n: int = 200, features_col: str = "features", label_col: str = "label",
+                  out: str = "selectedFeatures") -> UnivariateFeatureSelector:
+    """Select the ``n`` features with the smallest chi-squared p-values
+    (categorical features, categorical label)."""
+    sel = UnivariateFeatureSelector(featuresCol=features_col, outputCol=out, labelCol=label_col,
+                                    selectionMode="numTopFeatures")
+    sel.setFeatureType("categorical").setLabelType("categorical").setSelectionThreshold(n)
+    return sel
+
+
+def logistic(features_col: str = "features", label_col: str = "label", max_iter: int = 20) -> LogisticRegression:
+    return LogisticRegression(labelCol=label_col, featuresCol=features_col, maxIter=max_iter)
+
+
+def linear_svc(features_col: str = "features", label_col: str = "label", max_iter: int = 20) -> LinearSVC:
+    return LinearSVC(labelCol=label_col, featuresCol=features_col, maxIter=max_iter)

@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference programs are batch jobs over bounded files; they import a
+streaming context but never use it, and no operator in them reads an
+unbounded source, keeps state across micro-batches or handles late data.
+Nothing is built here on purpose (see README, "Not built").
+"""
