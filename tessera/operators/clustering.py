@@ -44,7 +44,9 @@ def silhouette(df: DataFrame, vec: str, cluster: str, digits: int | None = None)
     x = F.col(vec).cast("array<double>")
     pts = df.select(F.col(cluster).alias("cluster"), x.alias("x"))
     stats = cluster_sums(pts, "x", "cluster")
-    table = stats.select(F.collect_list(F.struct("cluster", "n", "s", "q")).alias("t")).scalar()
+    # k rows of sums, attached as a column (scalar subquery, evaluated once)
+    pts = pts.withColumn("t", stats.select(F.collect_list(F.struct("cluster", "n", "s", "q"))).scalar())
+    table = F.col("t")
     sq = _dot(F.col("x"), F.col("x"))
 
     def diss(c):
@@ -67,10 +69,11 @@ def nearest_centre(df: DataFrame, id_col: str, vec: str, k: int) -> DataFrame:
     by id; ties -> lower centre number): (id, prediction)."""
     x = F.col(vec).cast("array<double>")
     centres = (df.select(F.col(id_col), x.alias("c")).orderBy(id_col).limit(k))
-    table = centres.select(F.sort_array(F.collect_list(F.struct(id_col, "c"))).alias("t")).scalar()
+    table = F.col("t")
     indexed = F.transform(table, lambda c, i: F.struct(c["c"].alias("c"), i.alias("i")))
     cand = F.transform(indexed, lambda c: F.struct(_sqdist(F.col("x"), c["c"]).alias("d"), c["i"].alias("i")))
     return (df.select(F.col(id_col), x.alias("x"))
+            .withColumn("t", centres.select(F.sort_array(F.collect_list(F.struct(id_col, "c")))).scalar())
             .select(id_col, F.array_min(cand)["i"].alias("prediction")))
 
 

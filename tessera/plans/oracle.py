@@ -122,7 +122,8 @@ ORDER_COUNTS = """counts AS (SELECT l_orderkey AS page, count(l_partkey) AS coun
 
 # ----------------------------------------------------------------------------- gradient descent
 
-def gd_sql(xs: list[str], y: str, steps: int, rate: float, bold: bool, names: list[str]) -> str:
+def gd_sql(xs: list[str], y: str, steps: int, rate: float, bold: bool, names: list[str],
+           params: bool = True) -> str:
     """Recursive CTE over the one-row Gram statistics; same algebra and
     operation order as ``tessera.operators.linear.gd_history``."""
     p = len(xs)
@@ -157,10 +158,11 @@ def gd_sql(xs: list[str], y: str, steps: int, rate: float, bold: bool, names: li
   FROM (SELECT q.*, {sse} AS sse, {", ".join(f"{e} AS sxe{i}" for i, e in enumerate(sxe))}
         FROM (SELECT g.*, s.*, {ebar} AS ebar FROM gd g, st s WHERE g.it < {steps}) q) r)"""
     outs = [f"printf('%.9e', cost) AS {names[1]}"]
-    outs += [f"printf('%.9e', {ms[i]}) AS {names[2 + i]}" for i in range(p)]
-    outs += [f"printf('%.9e', b) AS {names[2 + p]}"]
-    if len(names) > 3 + p:
-        outs += [f"printf('%.9e', rate) AS {names[3 + p]}"]
+    if params:
+        outs += [f"printf('%.9e', {ms[i]}) AS {names[2 + i]}" for i in range(p)]
+        outs += [f"printf('%.9e', b) AS {names[2 + p]}"]
+    if bold:
+        outs += [f"printf('%.9e', rate) AS {names[-1]}"]
     return ("WITH RECURSIVE " + ",\n".join([TRIPS, BOUNDED, SIGMA, st, rec])
             + f"\nSELECT CAST(it AS INTEGER) AS {names[0]}, " + ", ".join(outs) + " FROM gd WHERE it > 0")
 
@@ -342,8 +344,6 @@ QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY votes DESC, category)
     q["ols"] = _sql(TRIPS, BOUNDED, select="SELECT count(*) AS n, round(regr_slope(fare_amount, trip_distance), 6) AS slope, "
                                            "round(regr_intercept(fare_amount, trip_distance), 6) AS intercept FROM bounded")
     q["gd_line"] = gd_sql(["trip_distance"], "fare_amount", B.GD_STEPS_LINE, B.GD_RATE, False, ["iter", "cost", "m", "b"])
-    q["gd_multi"] = gd_sql(B.GD_MULTI_X, "total_amount", B.GD_STEPS_MULTI, B.GD_RATE, True,
-                           ["iter", "cost", "m1", "m2", "m3", "m4", "b", "rate"])
     lr_base = _lr_base()
     q["labelled_features"] = _sql(*lr_base, select="SELECT doc_id, label, idx, tf FROM feats")
     q["class_weights"] = _sql(*lr_base, select="SELECT cwt.label, cwt.n, round(cw.w, 12) AS weight FROM cwt JOIN cw USING (label)")
