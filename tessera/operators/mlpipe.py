@@ -46,6 +46,19 @@ def vocabulary_table(model: PipelineModel, spark) -> DataFrame:
     return spark.createDataFrame(list(enumerate(vocab)), "idx int, term string")
 
 
+def vocabulary_stats(model: PipelineModel, train: DataFrame) -> DataFrame:
+    """(term, n, df) for every vocabulary term: total count and document
+    frequency in the training corpus (positions of equal-count terms are
+    not fixed by CountVectorizer, the set and its counts are)."""
+    spark = train.sparkSession
+    vocab = vocabulary_table(model, spark)
+    docs = PipelineModel(stages=model.stages[:2]).transform(train).select(
+        F.monotonically_increasing_id().alias("row"), "filtered")
+    toks = docs.select("row", F.explode("filtered").alias("term"))
+    stats = toks.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("row").alias("df"))
+    return vocab.join(stats, "term").select("term", "n", "df")
+
+
 def idf_table(model: PipelineModel, spark) -> DataFrame:
     """(idx, term, idf) of the fitted IDF stage; idf = ln((m + 1) / (df + 1))."""
     vocab = model.stages[2].vocabulary

@@ -552,8 +552,8 @@ def _ml_features(spark, d):
 
 
 def cv_vocabulary(spark, d):
-    model, _, _ = _ml_features(spark, d)
-    return mlpipe.vocabulary_table(model, spark)
+    model, train, _ = _ml_features(spark, d)
+    return mlpipe.vocabulary_stats(model, train)
 
 
 def ml_idf(spark, d):

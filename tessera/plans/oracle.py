@@ -279,6 +279,27 @@ CV = """cvstat AS (SELECT token AS term, count(*) AS tc, count(DISTINCT doc_id)
 cv AS (SELECT term, tc, df FROM cvstat WHERE df >= 10 AND df <= 5000 ORDER BY tc DESC, term LIMIT 5000)"""
 
 
+CHI2 = """mm AS (SELECT count(*) AS m FROM mldocs),
+labs AS (SELECT label, count(*) AS c FROM mldocs GROUP BY label),
+mlc AS (SELECT k.doc_id, k.label, k.token AS term, count(*) AS cnt FROM mlkeep k JOIN cv ON cv.term = k.token GROUP BY ALL),
+cat AS (SELECT mlc.term, mlc.label, CASE WHEN cv.df = (SELECT m FROM mm) THEN 0 ELSE mlc.cnt END AS v
+        FROM mlc JOIN cv USING (term)),
+present AS (SELECT term, label, count(*) AS k FROM cat WHERE v <> 0 GROUP BY ALL),
+obs AS (SELECT term, v, label, count(*) AS o FROM cat WHERE v <> 0 GROUP BY ALL
+        UNION ALL
+        SELECT cv.term, 0 AS v, labs.label, labs.c - coalesce(present.k, 0) AS o
+        FROM cv CROSS JOIN labs LEFT JOIN present ON present.term = cv.term AND present.label = labs.label),
+cats AS (SELECT term, v FROM obs GROUP BY term, v HAVING sum(o) > 0),
+cells AS (SELECT cats.term, cats.v, labs.label, labs.c, coalesce(obs.o, 0) AS o
+          FROM cats CROSS JOIN labs LEFT JOIN obs ON obs.term = cats.term AND obs.v = cats.v AND obs.label = labs.label),
+rt AS (SELECT term, v, sum(o) AS r FROM cells GROUP BY term, v),
+chi AS (SELECT cells.term, count(DISTINCT cells.v) AS nv,
+               CASE WHEN count(DISTINCT cells.v) <= 1 THEN 0.0 ELSE
+               sum((cells.o - rt.r * cells.c / (SELECT m FROM mm)) * (cells.o - rt.r * cells.c / (SELECT m FROM mm))
+                   / (rt.r * cells.c / (SELECT m FROM mm))) END AS statistic
+        FROM cells JOIN rt ON rt.term = cells.term AND rt.v = cells.v GROUP BY cells.term)"""
+
+
 # ----------------------------------------------------------------------------- registry
 
 def oracle_sql() -> dict[str, str]:
@@ -402,4 +423,7 @@ SELECT vec_id, i AS prediction FROM dist QUALIFY row_number() OVER (PARTITION BY
     q["ml_stopwords"] = _sql(ML_SPLIT, ML_FILTERED, select="SELECT token, count(*) AS n FROM mlkeep GROUP BY token")
     q["ml_idf"] = _sql(ML_SPLIT, ML_FILTERED, CV, select="""SELECT term,
   round(ln((CAST((SELECT count(*) FROM mldocs) AS DOUBLE) + 1.0) / (df + 1.0)), 12) AS idf FROM cv""")
+    q["cv_vocabulary"] = _sql(ML_SPLIT, ML_FILTERED, CV, select="SELECT term, tc AS n, df FROM cv")
+    q["chi2_selected"] = _sql(ML_SPLIT, ML_FILTERED, CV, CHI2, select="""SELECT term, round(statistic, 8) AS statistic,
+  CAST((nv - 1) * ((SELECT count(*) FROM labs) - 1) AS INTEGER) AS dof FROM chi""")
     return q
