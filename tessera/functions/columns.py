@@ -62,8 +62,10 @@ def safe_div(num, den) -> Column:
 def tokenize_letters(c) -> Column:
     """Letters-only tokenizer: every non [a-zA-Z] character becomes a blank,
     lower-case, split on runs of blanks, no empty tokens."""
-    cleaned = F.lower(F.regexp_replace(_col(c), "[^a-zA-Z]", " "))
-    return F.filter(F.split(cleaned, " +"), lambda w: w != "")
+    # one regex pass collapses every run of non-letters into one blank; only
+    # ASCII letters and blanks remain, so lower() cannot create new letters
+    cleaned = F.lower(F.regexp_replace(_col(c), "[^a-zA-Z]+", " "))
+    return F.filter(F.split(cleaned, " "), lambda w: w != "")
 
 
 def tokenize_whitespace(c) -> Column:

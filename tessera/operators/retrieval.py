@@ -49,6 +49,8 @@ def cosine_topk(qvec: DataFrame, dvec: DataFrame, k: int, digits: int = 10,
     # vocabulary / idf work behind it is not repeated by the main job.
     qvec = qvec.checkpoint(eager=True)
     q_rows = qvec.count()
+    # the document vectors feed three branches (norms, fill ids, dot products)
+    dvec = dvec.checkpoint(eager=True)
     small = q_rows <= broadcast_rows
     dnorm = norms(dvec, "doc_id")
     qnorm = norms(qvec, "query_id")

@@ -30,8 +30,13 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def doc_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per token occurrence: (doc_id, word)."""
-    return tokens(docs, id_col, text_col).select("doc_id", F.explode("words").alias("word"))
+    """One row per token occurrence: (doc_id, word).
+
+    ``explode_outer`` on purpose: for ``explode`` Catalyst infers a
+    ``size(words) > 0`` filter that evaluates the whole tokenizer a second
+    and third time; the null word of an empty document is dropped by the
+    inner vocabulary join that always follows."""
+    return tokens(docs, id_col, text_col).select("doc_id", F.explode_outer("words").alias("word"))
 
 
 def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 from tessera.functions.columns import prefix_label
 from tessera.operators import (classify, cleaning, clustering, linear, logistic, metrics, mlpipe,
                                ranking, retrieval, text)
-from tessera.session import load, scratch_path
+from tessera.session import load, scratch_path, spread
 from tessera.sources import files
 
 # Fixed parameters of the reference workloads.
@@ -72,7 +72,7 @@ def _clean_bounded(spark, d):
 
 
 def corpus(spark, d) -> DataFrame:
-    return load(spark, d, "documents").select("doc_id", "text")
+    return spread(load(spark, d, "documents").select("doc_id", "text"))
 
 
 def doc_links(spark, d) -> DataFrame:
@@ -300,7 +300,13 @@ def query_vectors(spark, d):
 
 
 def _knn(spark, d):
-    docs, vocab, terms, idf_df = _retrieval_tables(spark, d)
+    # Materialise what several branches read: the vocabulary (bounded by its
+    # size) and the (doc, idx, n) counts, so the corpus is tokenized twice
+    # (word counts, then term counts) and never again.
+    docs = corpus(spark, d)
+    vocab = text.vocabulary(text.word_counts(docs), VOCAB_RETRIEVAL).checkpoint(eager=True)
+    terms = text.doc_terms(docs, vocab).checkpoint(eager=True)
+    idf_df = text.idf(text.doc_freq(terms), text.line_count(docs))
     dvec = text.tfidf(text.term_freq(terms), idf_df)
     qvec = retrieval.query_vectors(_queries(spark, d), vocab, idf_df, "query_id")
     return retrieval.cosine_topk(qvec, dvec, TOP_K)
@@ -364,9 +370,11 @@ def gd_multi_params(spark, d):
 
 # --------------------------------------------------------------------------- logistic regression
 
-def _logreg_inputs(spark, d):
+def _logreg_inputs(spark, d, materialise: bool = False):
     docs = corpus(spark, d)
     vocab = text.vocabulary(text.word_counts(docs), VOCAB_LOGREG)
+    if materialise:     # bounded (<= VOCAB_LOGREG rows); read by several jobs
+        vocab = vocab.checkpoint(eager=True)
     tf = text.term_freq(text.doc_terms(docs, vocab))
     lab = load(spark, d, "labels").select("doc_id", F.col("quality").alias("label")).join(
         docs.select("doc_id"), "doc_id")
@@ -389,7 +397,7 @@ def _weights_of(lab):
 
 
 def _train(spark, d, optimizer, steps=LR_STEPS):
-    vocab, tf, lab = _logreg_inputs(spark, d)
+    vocab, tf, lab = _logreg_inputs(spark, d, materialise=True)
     n_feat = vocab.count()
     cw0, cw1 = _weights_of(lab)
     train = logistic.training_table(lab, tf)
@@ -400,7 +408,7 @@ def _train(spark, d, optimizer, steps=LR_STEPS):
 
 def logreg_step(spark, d):
     import numpy as np
-    vocab, tf, lab = _logreg_inputs(spark, d)
+    vocab, tf, lab = _logreg_inputs(spark, d, materialise=True)
     n_feat = vocab.count()
     cw0, cw1 = _weights_of(lab)
     train = logistic.training_table(lab, tf)
@@ -440,8 +448,7 @@ def logreg_rmsprop(spark, d):
 
 def logreg_predict(spark, d):
     res, vocab, tf, lab = _train(spark, d, "RMSprop")
-    w = logistic.weights_frame(spark, res.weights)
-    return logistic.predict(lab, tf, w)
+    return logistic.predict(lab, tf, res.weights)
 
 
 def top_weights(spark, d):

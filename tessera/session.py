@@ -75,3 +75,12 @@ def load(spark: SparkSession, sf_dir: str, name: str):
     """Parquet table of the driver's data set (column pruning and filter
     pushdown happen at this scan)."""
     return spark.read.parquet(table_path(sf_dir, name))
+
+
+def spread(df):
+    """Round-robin the rows over ``defaultParallelism`` partitions only when
+    the scan produced fewer splits than that (a small file with few row
+    groups).  Large inputs already have many splits and are left alone, so
+    at scale this adds no shuffle."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
