@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tessera.operators.ranking import top_k_per_group
+from tessera.session import checkpoint
 from tessera.operators.text import doc_terms, term_freq, tfidf
 
 # Largest query-vector table (rows) that is broadcast to the document side;
@@ -42,15 +43,13 @@ def cosine_topk(qvec: DataFrame, dvec: DataFrame, k: int, digits: int = 10,
 
     Output: (query_id, rank, doc_id, score).
     """
-    from tessera.session import shared_dir
-    shared_dir(qvec.sparkSession)
     # The query side is materialised once in the shared checkpoint folder:
     # its row count decides broadcast vs shuffle join, and the corpus-wide
     # vocabulary / idf work behind it is not repeated by the main job.
-    qvec = qvec.checkpoint(eager=True)
+    qvec = checkpoint(qvec)
     q_rows = qvec.count()
     # the document vectors feed three branches (norms, fill ids, dot products)
-    dvec = dvec.checkpoint(eager=True)
+    dvec = checkpoint(dvec)
     small = q_rows <= broadcast_rows
     dnorm = norms(dvec, "doc_id")
     qnorm = norms(qvec, "query_id")

@@ -25,7 +25,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 from tessera.functions.columns import prefix_label
 from tessera.operators import (classify, cleaning, clustering, linear, logistic, metrics, mlpipe,
                                ranking, retrieval, text)
-from tessera.session import load, scratch_path, spread
+from tessera.session import checkpoint, load, scratch_path, spread
 from tessera.sources import files
 
 # Fixed parameters of the reference workloads.
@@ -304,8 +304,8 @@ def _knn(spark, d):
     # size) and the (doc, idx, n) counts, so the corpus is tokenized twice
     # (word counts, then term counts) and never again.
     docs = corpus(spark, d)
-    vocab = text.vocabulary(text.word_counts(docs), VOCAB_RETRIEVAL).checkpoint(eager=True)
-    terms = text.doc_terms(docs, vocab).checkpoint(eager=True)
+    vocab = checkpoint(text.vocabulary(text.word_counts(docs), VOCAB_RETRIEVAL))
+    terms = checkpoint(text.doc_terms(docs, vocab))
     idf_df = text.idf(text.doc_freq(terms), text.line_count(docs))
     dvec = text.tfidf(text.term_freq(terms), idf_df)
     qvec = retrieval.query_vectors(_queries(spark, d), vocab, idf_df, "query_id")
@@ -374,7 +374,7 @@ def _logreg_inputs(spark, d, materialise: bool = False):
     docs = corpus(spark, d)
     vocab = text.vocabulary(text.word_counts(docs), VOCAB_LOGREG)
     if materialise:     # bounded (<= VOCAB_LOGREG rows); read by several jobs
-        vocab = vocab.checkpoint(eager=True)
+        vocab = checkpoint(vocab)
     tf = text.term_freq(text.doc_terms(docs, vocab))
     lab = load(spark, d, "labels").select("doc_id", F.col("quality").alias("label")).join(
         docs.select("doc_id"), "doc_id")

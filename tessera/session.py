@@ -84,3 +84,10 @@ def spread(df):
     at scale this adds no shuffle."""
     target = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+def checkpoint(df):
+    """Reliable checkpoint into the shared folder (lineage cut; the data
+    survive the loss of the executors that computed them)."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
