@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from tessera.functions.columns import prefix_label
-from tessera.operators import (classify, cleaning, clustering, linear, logistic, metrics, mlpipe,
+from tessera.operators import (classify, cleaning, clustering, linear, logistic, metrics, textml,
                                ranking, retrieval, text)
 from tessera.session import checkpoint, load, scratch_path, spread
 from tessera.sources import files
@@ -544,35 +544,35 @@ def _ml_split(spark, d):
 
 def ml_tokens(spark, d):
     train, _ = _ml_split(spark, d)
-    return mlpipe.token_counts(train)
+    return textml.token_counts(train)
 
 
 def ml_stopwords(spark, d):
     train, _ = _ml_split(spark, d)
-    return mlpipe.token_counts(train, remove_stop_words=True)
+    return textml.token_counts(train, remove_stop_words=True)
 
 
 def _ml_features(spark, d):
     train, test = _ml_split(spark, d)
-    model = mlpipe.fit_text_features(train)
+    model = textml.fit_text_features(train)
     return model, train, test
 
 
 def cv_vocabulary(spark, d):
     model, train, _ = _ml_features(spark, d)
-    return mlpipe.vocabulary_stats(model, train)
+    return textml.vocabulary_stats(model, train)
 
 
 def ml_idf(spark, d):
     model, _, _ = _ml_features(spark, d)
-    t = mlpipe.idf_table(model, spark)
+    t = textml.idf_table(model, spark)
     return t.select("term", F.round("idf", 12).alias("idf"))
 
 
 def chi2_selected(spark, d):
     model, train, _ = _ml_features(spark, d)
     feats = model.transform(train).select("features", F.col("label").cast("double").alias("label"))
-    t = mlpipe.chi2_table(feats, mlpipe.vocabulary_table(model, spark))
+    t = textml.chi2_table(feats, textml.vocabulary_table(model, spark))
     return t.select("term", F.round("statistic", 8).alias("statistic"), F.col("dof").cast("int").alias("dof"))
 
 
@@ -582,12 +582,12 @@ def _ml_eval(spark, d, kind):
     ftest = model.transform(test).select("features", F.col("label").cast("double").alias("label")).persist()
     rows = []
     try:
-        for n_feat, sel in ((5000, None), (200, mlpipe.chi2_selector(200))):
+        for n_feat, sel in ((5000, None), (200, textml.chi2_selector(200))):
             tr, te, col = ftrain, ftest, "features"
             if sel is not None:
                 sm = sel.fit(ftrain)
                 tr, te, col = sm.transform(ftrain), sm.transform(ftest), "selectedFeatures"
-            est = mlpipe.logistic(col) if kind == "logreg" else mlpipe.linear_svc(col)
+            est = textml.logistic(col) if kind == "logreg" else textml.linear_svc(col)
             pred = est.fit(tr).transform(te)
             m = metrics.weighted_metrics(pred, "label", "prediction").first()
             rows.append((kind, n_feat, *[float(v) for v in m]))
