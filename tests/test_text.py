@@ -1,7 +1,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from tessera.operators import ranking, retrieval, text
 from tessera.sources import files
