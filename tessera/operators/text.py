@@ -40,8 +40,10 @@ def doc_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 
 def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(word, n) over the whole corpus; partial counts combine in each task."""
-    return (docs.select(F.explode(tokenize_letters(text_col)).alias("word"))
+    """(word, n) over the whole corpus; partial counts combine in each task.
+    Built on the same ``doc_words`` subtree as ``doc_terms`` so a job that
+    needs both shares the scan (and any exchange below it)."""
+    return (doc_words(docs, id_col, text_col).where(F.col("word").isNotNull())
             .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
 
 

@@ -75,6 +75,11 @@ def corpus(spark, d) -> DataFrame:
     return spread(load(spark, d, "documents").select("doc_id", "text"))
 
 
+def corpus_size(spark, d):
+    """N = number of corpus records, as a scalar subquery over a zero-column scan."""
+    return text.line_count(load(spark, d, "documents"))
+
+
 def doc_links(spark, d) -> DataFrame:
     docs = load(spark, d, "documents")
     return (docs.select(F.col("doc_id").alias("page"), F.col("lang").alias("category"))
@@ -94,7 +99,7 @@ def _retrieval_tables(spark, d):
     docs = corpus(spark, d)
     vocab = text.vocabulary(text.word_counts(docs), VOCAB_RETRIEVAL)
     terms = text.doc_terms(docs, vocab)
-    idf_df = text.idf(text.doc_freq(terms), text.line_count(docs))
+    idf_df = text.idf(text.doc_freq(terms), corpus_size(spark, d))
     return docs, vocab, terms, idf_df
 
 
@@ -306,7 +311,7 @@ def _knn(spark, d):
     docs = corpus(spark, d)
     vocab = checkpoint(text.vocabulary(text.word_counts(docs), VOCAB_RETRIEVAL))
     terms = checkpoint(text.doc_terms(docs, vocab))
-    idf_df = text.idf(text.doc_freq(terms), text.line_count(docs))
+    idf_df = text.idf(text.doc_freq(terms), corpus_size(spark, d))
     dvec = text.tfidf(text.term_freq(terms), idf_df)
     qvec = retrieval.query_vectors(_queries(spark, d), vocab, idf_df, "query_id")
     return retrieval.cosine_topk(qvec, dvec, TOP_K)
