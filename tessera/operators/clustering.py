@@ -93,10 +93,12 @@ def hash_split(df: DataFrame, key: str, train_tenths: int = 7) -> Column:
     return F.when(h % 10 < train_tenths, F.lit("train")).otherwise(F.lit("test"))
 
 
-def stable_layout(df: DataFrame, key: str, partitions: int = 8) -> DataFrame:
+def stable_layout(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
     """Range-partition and sort by key so seeded splits and fits see the same
-    row layout on every run."""
-    return df.repartitionByRange(partitions, key).sortWithinPartitions(key)
+    row layout on every run (for a given partition count, by default
+    ``spark.sql.shuffle.partitions``)."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, key).sortWithinPartitions(key)
 
 
 def assembler(cols: Sequence[str], out: str = "features") -> VectorAssembler:

@@ -66,9 +66,13 @@ def approx_median_sql(df: DataFrame, column: str, out: str = "median", accuracy:
     """Approximate median through a temp view and SQL text; returns an
     element of the data (``percentile_approx``)."""
     view = f"tessera_median_{uuid.uuid4().hex[:12]}"
+    spark = df.sparkSession
     df.createOrReplaceTempView(view)
-    return df.sparkSession.sql(
-        f"SELECT percentile_approx(`{column}`, 0.5, {int(accuracy)}) AS `{out}` FROM `{view}`")
+    try:
+        # the SQL is analysed at once; the view is not needed afterwards
+        return spark.sql(f"SELECT percentile_approx(`{column}`, 0.5, {int(accuracy)}) AS `{out}` FROM `{view}`")
+    finally:
+        spark.catalog.dropTempView(view)
 
 
 def top_by_count(df: DataFrame, key: str, counted: str, k: int = 10, out: str = "count") -> DataFrame:

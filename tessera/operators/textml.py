@@ -51,12 +51,11 @@ def vocabulary_stats(model: PipelineModel, train: DataFrame) -> DataFrame:
     frequency in the training corpus (positions of equal-count terms are
     not fixed by CountVectorizer, the set and its counts are)."""
     spark = train.sparkSession
-    vocab = vocabulary_table(model, spark)
-    docs = PipelineModel(stages=model.stages[:2]).transform(train).select(
-        F.monotonically_increasing_id().alias("row"), "filtered")
-    toks = docs.select("row", F.explode("filtered").alias("term"))
-    stats = toks.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("row").alias("df"))
-    return vocab.join(stats, "term").select("term", "n", "df")
+    filtered = PipelineModel(stages=model.stages[:2]).transform(train).select("filtered")
+    n = filtered.select(F.explode("filtered").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    df = (filtered.select(F.explode(F.array_distinct("filtered")).alias("term"))
+          .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    return vocabulary_table(model, spark).join(n, "term").join(df, "term").select("term", "n", "df")
 
 
 def idf_table(model: PipelineModel, spark) -> DataFrame:
@@ -68,11 +67,19 @@ def idf_table(model: PipelineModel, spark) -> DataFrame:
 
 
 def chi2_table(features: DataFrame, vocab: DataFrame, features_col: str = "features",
-               label_col: str = "label") -> DataFrame:
+               label_col: str = "label", binarize: bool = False) -> DataFrame:
     """Pearson chi-squared independence test of every feature against the
     label, each distinct feature value being a category:
     (idx, term, statistic, dof, p_value).  Computed by spark.ml's
-    distributed ChiSquareTest (flattened: one row per feature)."""
+    distributed ChiSquareTest (flattened: one row per feature).
+
+    Continuous TF-IDF values make every distinct value a category, and
+    Spark caps the categories per feature; on large corpora pass
+    ``binarize=True`` (presence / absence of the term) to keep two."""
+    if binarize:
+        from pyspark.ml.feature import Binarizer
+        features = (Binarizer(threshold=0.0, inputCol=features_col, outputCol="_bin")
+                    .transform(features).drop(features_col).withColumnRenamed("_bin", features_col))
     res = ChiSquareTest.test(features, features_col, label_col, flatten=True)
     return (res.select(F.col("featureIndex").alias("idx"), F.col("statistic"),
                        F.col("degreesOfFreedom").alias("dof"), F.col("pValue").alias("p_value"))

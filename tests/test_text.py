@@ -100,3 +100,14 @@ def test_knn_matches_brute_force(spark):
         order = sorted(range(30), key=lambda d: (-round(sims[q, d], 10), d))[:5]
         mine = [r.doc_id for r in sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)]
         assert mine == order
+
+
+def test_chi2_binarized_has_two_categories(spark):
+    from pyspark.ml.linalg import Vectors
+    from tessera.operators import textml
+    df = spark.createDataFrame([(Vectors.dense([0.0, 1.5]), 0.0), (Vectors.dense([2.0, 0.7]), 1.0),
+                                (Vectors.dense([3.0, 0.0]), 1.0)], ["features", "label"])
+    vocab = spark.createDataFrame([(0, "a"), (1, "b")], "idx int, term string")
+    raw = {r.term: r.dof for r in textml.chi2_table(df, vocab).collect()}
+    binned = {r.term: r.dof for r in textml.chi2_table(df, vocab, binarize=True).collect()}
+    assert raw == {"a": 2, "b": 2} and binned == {"a": 1, "b": 1}
