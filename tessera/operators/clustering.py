@@ -86,7 +86,7 @@ def cluster_summary(df: DataFrame, cluster: str, value: str) -> DataFrame:
             .orderBy("cluster"))
 
 
-def hash_split(df: DataFrame, key: str, train_tenths: int = 7) -> Column:
+def hash_split(key: str, train_tenths: int = 7) -> Column:
     """Portable, layout-independent split flag: first 8 hex digits of
     md5(key) as a number, modulo 10, below ``train_tenths`` -> train."""
     h = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("bigint")

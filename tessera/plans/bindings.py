@@ -524,7 +524,7 @@ def kmeans_assign(spark, d):
 
 def split_hash(spark, d):
     part = load(spark, d, "part")
-    return part.select("p_partkey", clustering.hash_split(part, "p_partkey").alias("split"))
+    return part.select("p_partkey", clustering.hash_split("p_partkey").alias("split"))
 
 
 def _site_split(spark, d):
@@ -561,7 +561,7 @@ def site_classify(spark, d):
 # --------------------------------------------------------------------------- spark.ml text
 
 def _ml_split(spark, d):
-    docs = labelled_docs(spark, d).withColumn("split", clustering.hash_split(None, "doc_id"))
+    docs = labelled_docs(spark, d).withColumn("split", clustering.hash_split("doc_id"))
     return docs.where("split = 'train'").drop("split"), docs.where("split = 'test'").drop("split")
 
 

@@ -42,8 +42,8 @@ def test_nearest_centre_matches_numpy(spark):
 
 def test_hash_split_is_stable(spark):
     df = spark.range(200).withColumnRenamed("id", "k")
-    a = {r.k: r.s for r in df.select("k", clustering.hash_split(df, "k").alias("s")).collect()}
-    b = {r.k: r.s for r in df.repartition(7).select("k", clustering.hash_split(df, "k").alias("s")).collect()}
+    a = {r.k: r.s for r in df.select("k", clustering.hash_split("k").alias("s")).collect()}
+    b = {r.k: r.s for r in df.repartition(7).select("k", clustering.hash_split("k").alias("s")).collect()}
     assert a == b and 0.55 < sum(v == "train" for v in a.values()) / 200 < 0.85
 
 
