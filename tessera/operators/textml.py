@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
-from pyspark.ml.feature import IDF, CountVectorizer, StopWordsRemover, Tokenizer, UnivariateFeatureSelector
+from pyspark.ml.feature import (IDF, CountVectorizer, CountVectorizerModel, StopWordsRemover, Tokenizer,
+                                UnivariateFeatureSelector)
 from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import DataFrame, functions as F
 
@@ -25,9 +26,42 @@ def feature_stages(text_col: str = "text", vocab_size: int = 5000, min_df: float
     return [tok, rem, cv, idf]
 
 
+def term_stats(filtered: DataFrame, tokens_col: str = "filtered") -> DataFrame:
+    """(term, n, df): total count and number of documents per term."""
+    n = filtered.select(F.explode(tokens_col).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    df = (filtered.select(F.explode(F.array_distinct(tokens_col)).alias("term"))
+          .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    return n.join(df, "term")
+
+
+def count_vocabulary(filtered: DataFrame, tokens_col: str = "filtered", vocab_size: int = 5000,
+                     min_df: float = 10, max_df: float = 5000) -> list[str]:
+    """CountVectorizer's vocabulary rule -- terms in at least ``min_df`` and at
+    most ``max_df`` documents (fractions of the corpus when < 1), the
+    ``vocab_size`` most frequent -- with ties broken by term, so the set and
+    the positions are the same on every run.  At most ``vocab_size`` terms
+    reach the driver (top-k per task, merged once)."""
+    stats = term_stats(filtered, tokens_col)
+    if min_df < 1 or max_df < 1:
+        n_docs = filtered.count()
+        min_df = min_df * n_docs if min_df < 1 else min_df
+        max_df = max_df * n_docs if max_df < 1 else max_df
+    keep = stats.where((F.col("df") >= F.lit(float(min_df))) & (F.col("df") <= F.lit(float(max_df))))
+    return [r.term for r in keep.orderBy(F.desc("n"), F.asc("term")).limit(int(vocab_size)).collect()]
+
+
 def fit_text_features(train: DataFrame, text_col: str = "text", vocab_size: int = 5000,
                       min_df: float = 10, max_df: float = 5000) -> PipelineModel:
-    return Pipeline(stages=feature_stages(text_col, vocab_size, min_df, max_df)).fit(train)
+    """Tokenizer -> StopWordsRemover -> count vectors -> IDF, fitted once.
+    The count-vector stage is a CountVectorizerModel built from
+    ``count_vocabulary`` (CountVectorizer.fit orders equal counts
+    arbitrarily, which changes the selected set when the vocabulary is cut)."""
+    tok, rem, _, idf = feature_stages(text_col, vocab_size, min_df, max_df)
+    filtered = rem.transform(tok.transform(train))
+    vocab = count_vocabulary(filtered, "filtered", vocab_size, min_df, max_df)
+    cvm = CountVectorizerModel.from_vocabulary(vocab, inputCol="filtered", outputCol="features_c")
+    idf_model = idf.fit(cvm.transform(filtered))
+    return PipelineModel(stages=[tok, rem, cvm, idf_model])
 
 
 def token_counts(df: DataFrame, text_col: str = "text", remove_stop_words: bool = False) -> DataFrame:
@@ -47,15 +81,11 @@ def vocabulary_table(model: PipelineModel, spark) -> DataFrame:
 
 
 def vocabulary_stats(model: PipelineModel, train: DataFrame) -> DataFrame:
-    """(term, n, df) for every vocabulary term: total count and document
-    frequency in the training corpus (positions of equal-count terms are
-    not fixed by CountVectorizer, the set and its counts are)."""
-    spark = train.sparkSession
+    """(idx, term, n, df) for every vocabulary term: position, total count
+    and document frequency in the training corpus."""
     filtered = PipelineModel(stages=model.stages[:2]).transform(train).select("filtered")
-    n = filtered.select(F.explode("filtered").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    df = (filtered.select(F.explode(F.array_distinct("filtered")).alias("term"))
-          .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
-    return vocabulary_table(model, spark).join(n, "term").join(df, "term").select("term", "n", "df")
+    return (vocabulary_table(model, train.sparkSession).join(term_stats(filtered), "term")
+            .select("idx", "term", "n", "df"))
 
 
 def idf_table(model: PipelineModel, spark) -> DataFrame:

@@ -423,7 +423,8 @@ SELECT vec_id, i AS prediction FROM dist QUALIFY row_number() OVER (PARTITION BY
     q["ml_stopwords"] = _sql(ML_SPLIT, ML_FILTERED, select="SELECT token, count(*) AS n FROM mlkeep GROUP BY token")
     q["ml_idf"] = _sql(ML_SPLIT, ML_FILTERED, CV, select="""SELECT term,
   round(ln((CAST((SELECT count(*) FROM mldocs) AS DOUBLE) + 1.0) / (df + 1.0)), 12) AS idf FROM cv""")
-    q["cv_vocabulary"] = _sql(ML_SPLIT, ML_FILTERED, CV, select="SELECT term, tc AS n, df FROM cv")
+    q["cv_vocabulary"] = _sql(ML_SPLIT, ML_FILTERED, CV, select="""SELECT
+  CAST(row_number() OVER (ORDER BY tc DESC, term) - 1 AS INTEGER) AS idx, term, tc AS n, df FROM cv""")
     q["chi2_selected"] = _sql(ML_SPLIT, ML_FILTERED, CV, CHI2, select="""SELECT term, round(statistic, 8) AS statistic,
   CAST((nv - 1) * ((SELECT count(*) FROM labs) - 1) AS INTEGER) AS dof FROM chi""")
     return q
