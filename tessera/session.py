@@ -44,6 +44,26 @@ def get_session(master: str | None = None, app: str = "tessera",
     return spark
 
 
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized to the input so every task's share fits executor memory.
+
+    * scan splits of ``target_partition_bytes``;
+    * shuffle partitions = max(2 x cores, input / target) so the largest
+      shuffle (token partial counts are at most the input size) is cut into
+      target-sized pieces, AQE then coalesces the ones that come out small;
+    * Arrow batches of 2048 records for the per-partition NumPy kernels
+      (one record can hold a vocabulary-sized array).
+    """
+    parts = max(2 * total_cores, int(input_bytes // target_partition_bytes) + 1)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and intermediate tables.
 
