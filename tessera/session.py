@@ -44,17 +44,22 @@ def get_session(master: str | None = None, app: str = "tessera",
     return spark
 
 
-def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
+               shuffle_ratio: float = 0.1, max_shuffle_partitions: int = 100_000) -> dict[str, str]:
     """Settings sized to the input so every task's share fits executor memory.
 
     * scan splits of ``target_partition_bytes``;
-    * shuffle partitions = max(2 x cores, input / target) so the largest
-      shuffle (token partial counts are at most the input size) is cut into
-      target-sized pieces, AQE then coalesces the ones that come out small;
+    * shuffle partitions = expected shuffle bytes / target, where the
+      expected shuffle is ``shuffle_ratio`` x input (column pruning and
+      map-side partial aggregation shrink every shuffle here), clamped to
+      [2 x cores, ``max_shuffle_partitions``] -- more reducers would multiply
+      the map x reduce block count without making tasks useful; AQE then
+      coalesces small partitions and splits skewed ones;
     * Arrow batches of 2048 records for the per-partition NumPy kernels
       (one record can hold a vocabulary-sized array).
     """
-    parts = max(2 * total_cores, int(input_bytes // target_partition_bytes) + 1)
+    want = int(input_bytes * shuffle_ratio // target_partition_bytes) + 1
+    parts = min(max(2 * total_cores, want), max_shuffle_partitions)
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(parts),
