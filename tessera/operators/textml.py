@@ -13,7 +13,7 @@ from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import (IDF, CountVectorizer, CountVectorizerModel, StopWordsRemover, Tokenizer,
                                 UnivariateFeatureSelector)
 from pyspark.ml.stat import ChiSquareTest
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def feature_stages(text_col: str = "text", vocab_size: int = 5000, min_df: float = 10,
@@ -34,20 +34,35 @@ def term_stats(filtered: DataFrame, tokens_col: str = "filtered") -> DataFrame:
     return n.join(df, "term")
 
 
-def count_vocabulary(filtered: DataFrame, tokens_col: str = "filtered", vocab_size: int = 5000,
-                     min_df: float = 10, max_df: float = 5000) -> list[str]:
-    """CountVectorizer's vocabulary rule -- terms in at least ``min_df`` and at
-    most ``max_df`` documents (fractions of the corpus when < 1), the
-    ``vocab_size`` most frequent -- with ties broken by term, so the set and
-    the positions are the same on every run.  At most ``vocab_size`` terms
-    reach the driver (top-k per task, merged once)."""
+def vocabulary_frame(filtered: DataFrame, tokens_col: str = "filtered", vocab_size: int = 5000,
+                     min_df: float = 10, max_df: float = 5000) -> DataFrame:
+    """CountVectorizer's vocabulary rule as a DataFrame (idx, term, n, df):
+    terms in at least ``min_df`` and at most ``max_df`` documents (fractions
+    of the corpus when < 1), the ``vocab_size`` most frequent, ties broken by
+    term so the set and the positions are the same on every run.  The
+    ranking window runs over the ``vocab_size`` rows kept by the top-k."""
     stats = term_stats(filtered, tokens_col)
     if min_df < 1 or max_df < 1:
         n_docs = filtered.count()
         min_df = min_df * n_docs if min_df < 1 else min_df
         max_df = max_df * n_docs if max_df < 1 else max_df
     keep = stats.where((F.col("df") >= F.lit(float(min_df))) & (F.col("df") <= F.lit(float(max_df))))
-    return [r.term for r in keep.orderBy(F.desc("n"), F.asc("term")).limit(int(vocab_size)).collect()]
+    top = keep.orderBy(F.desc("n"), F.asc("term")).limit(int(vocab_size))
+    pos = F.row_number().over(Window.orderBy(F.desc("n"), F.asc("term"))) - 1
+    return top.select(pos.alias("idx"), "term", "n", "df")
+
+
+def count_vocabulary(filtered: DataFrame, tokens_col: str = "filtered", vocab_size: int = 5000,
+                     min_df: float = 10, max_df: float = 5000) -> list[str]:
+    """The vocabulary terms in position order (at most ``vocab_size`` reach the driver)."""
+    v = vocabulary_frame(filtered, tokens_col, vocab_size, min_df, max_df)
+    return [r.term for r in v.orderBy("idx").collect()]
+
+
+def filtered_tokens(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """Tokenizer + StopWordsRemover output (column ``filtered``)."""
+    tok, rem = feature_stages(text_col)[:2]
+    return rem.transform(tok.transform(df))
 
 
 def fit_text_features(train: DataFrame, text_col: str = "text", vocab_size: int = 5000,

@@ -582,8 +582,8 @@ def _ml_features(spark, d):
 
 
 def cv_vocabulary(spark, d):
-    model, train, _ = _ml_features(spark, d)
-    return textml.vocabulary_stats(model, train)
+    train, _ = _ml_split(spark, d)
+    return textml.vocabulary_frame(textml.filtered_tokens(train))
 
 
 def ml_idf(spark, d):
