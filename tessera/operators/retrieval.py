@@ -3,7 +3,7 @@ category vote over the neighbours."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tessera.operators.ranking import top_k_per_group
 from tessera.session import checkpoint
@@ -48,25 +48,27 @@ def cosine_topk(qvec: DataFrame, dvec: DataFrame, k: int, digits: int = 10,
     # vocabulary / idf work behind it is not repeated by the main job.
     qvec = checkpoint(qvec)
     q_rows = qvec.count()
-    # the document vectors feed three branches (norms, fill ids, dot products)
-    dvec = checkpoint(dvec)
     small = q_rows <= broadcast_rows
-    dnorm = norms(dvec, "doc_id")
+    # Each document row carries its vector norm (a window over doc_id; the
+    # TF-IDF rows are already partitioned by doc_id, so no extra exchange),
+    # materialised once because three branches read it.
+    dn = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy("doc_id")))
+    dvec = checkpoint(dvec.withColumn("dn", dn))
     qnorm = norms(qvec, "query_id")
     q_side = F.broadcast(qvec) if small else qvec
     dots = (dvec.withColumnRenamed("weight", "dw").join(q_side.withColumnRenamed("weight", "qw"), "idx")
-            .select("query_id", "doc_id", (F.col("dw") * F.col("qw")).alias("p")))
-    # k smallest document ids: a bounded list (k values) becomes a literal array
-    fill_ids = [r[0] for r in dnorm.select("doc_id").orderBy("doc_id").limit(k).collect()]
+            .select("query_id", "doc_id", (F.col("dw") * F.col("qw")).alias("p"), "dn"))
+    # k smallest document ids with their norms: a bounded list (k values) becomes literals
+    first = (dvec.groupBy("doc_id").agg(F.max("dn").alias("dn")).orderBy("doc_id").limit(k).collect())
     pairs = dots
-    if fill_ids:
-        fill = qnorm.select("query_id", F.explode(F.array(*[F.lit(i) for i in fill_ids])).alias("doc_id"),
-                            F.lit(0.0).alias("p"))
-        pairs = dots.unionByName(fill)
-    scores = (pairs.groupBy("query_id", "doc_id").agg(F.sum("p").alias("dot"))
+    if first:
+        fill = qnorm.select("query_id", F.explode(F.array(*[F.struct(F.lit(r.doc_id).alias("doc_id"),
+                                                                     F.lit(r.dn).alias("dn")) for r in first]))
+                            .alias("f"))
+        pairs = dots.unionByName(fill.select("query_id", "f.doc_id", F.lit(0.0).alias("p"), "f.dn"))
+    scores = (pairs.groupBy("query_id", "doc_id").agg(F.sum("p").alias("dot"), F.max("dn").alias("dn"))
               .join(F.broadcast(qnorm) if small else qnorm, "query_id")
-              .withColumnRenamed("norm", "qn")
-              .join(dnorm, "doc_id").withColumnRenamed("norm", "dn"))
+              .withColumnRenamed("norm", "qn"))
     sim = F.when((F.col("qn") == 0) | (F.col("dn") == 0), F.lit(0.0)).otherwise(
         F.col("dot") / (F.col("qn") * F.col("dn")))
     scored = scores.select("query_id", "doc_id", F.round(sim, digits).alias("score"))
