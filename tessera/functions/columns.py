@@ -68,12 +68,6 @@ def tokenize_letters(c) -> Column:
     return F.filter(F.split(cleaned, " "), lambda w: w != "")
 
 
-def tokenize_whitespace(c) -> Column:
-    """Same token list as ``pyspark.ml.feature.Tokenizer`` (lower case, split
-    on single white-space characters, empty tokens kept except trailing)."""
-    return F.split(F.regexp_replace(F.lower(_col(c)), r"\s+$", ""), r"\s")
-
-
 def markup_is_valid(line) -> Column:
     """Line carries an id and a url and all three markers the parser needs."""
     line = _col(line)
