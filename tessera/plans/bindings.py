@@ -332,10 +332,6 @@ def ols(spark, d):
     return r.select("n", F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"))
 
 
-def _sci(df: DataFrame, keep=("iter",)) -> DataFrame:
-    return df.select(*[F.col(c) if c in keep else F.format_string(SCI, F.col(c)).alias(c) for c in df.columns])
-
-
 def _sci_rows(spark, rows, names):
     out = [(r[0], *[SCI % v for v in r[1:]]) for r in rows]
     return spark.createDataFrame(out, ", ".join([f"{names[0]} int"] + [f"{n} string" for n in names[1:]]))
