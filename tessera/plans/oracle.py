@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from tessera.functions.columns import FLOAT_PATTERN, SPECIAL_FLOAT_PATTERN
 from tessera.functions.stopwords import ENGLISH_STOP_WORDS
+from tessera.operators.logistic import random_start
 from tessera.plans import bindings as B
 
 # ----------------------------------------------------------------------------- shared CTEs
@@ -44,9 +45,9 @@ SIGMA = """sigma AS (
 TOKENS_EXPR = "list_filter(string_split_regex(lower(regexp_replace({t}, '[^a-zA-Z]', ' ', 'g')), ' +'), lambda w: w <> '')"
 
 
-def _vocab_ctes(size: int, prefix: str = "") -> str:
+def _vocab_ctes(size: int, prefix: str = "", docs: str = "SELECT doc_id, text FROM documents") -> str:
     tok = TOKENS_EXPR.format(t="text")
-    return f"""{prefix}docs AS (SELECT doc_id, text FROM documents),
+    return f"""{prefix}docs AS ({docs}),
 {prefix}toks AS (SELECT doc_id, {tok} AS words FROM {prefix}docs),
 {prefix}occ AS (SELECT doc_id, unnest(words) AS word FROM {prefix}toks),
 {prefix}wc AS (SELECT word, count(*) AS n FROM {prefix}occ GROUP BY word),
@@ -123,7 +124,7 @@ ORDER_COUNTS = """counts AS (SELECT l_orderkey AS page, count(l_partkey) AS coun
 # ----------------------------------------------------------------------------- gradient descent
 
 def gd_sql(xs: list[str], y: str, steps: int, rate: float, bold: bool, names: list[str],
-           params: bool = True) -> str:
+           params: bool = True, points: tuple[str, ...] | None = None) -> str:
     """Recursive CTE over the one-row Gram statistics; same algebra and
     operation order as ``tessera.operators.linear.gd_history``."""
     p = len(xs)
@@ -161,25 +162,48 @@ def gd_sql(xs: list[str], y: str, steps: int, rate: float, bold: bool, names: li
     if params:
         outs += [f"printf('%.9e', {ms[i]}) AS {names[2 + i]}" for i in range(p)]
         outs += [f"printf('%.9e', b) AS {names[2 + p]}"]
-    if bold:
-        outs += [f"printf('%.9e', rate) AS {names[-1]}"]
-    return ("WITH RECURSIVE " + ",\n".join([TRIPS, BOUNDED, SIGMA, st, rec])
+    if not names[1]:        # no cost column
+        outs = outs[1:]
+    if names[-1] == "rate":
+        outs += ["printf('%.9e', rate) AS rate"]
+    return ("WITH RECURSIVE " + ",\n".join([*(points or (TRIPS, BOUNDED, SIGMA)), st, rec])
             + f"\nSELECT CAST(it AS INTEGER) AS {names[0]}, " + ", ".join(outs) + " FROM gd WHERE it > 0")
 
 
 # ----------------------------------------------------------------------------- logistic regression
 
+GD_POINTS = """sigma AS (
+  SELECT day(l_shipdate) / CAST(10 AS DOUBLE) AS ship_day, l_quantity / CAST(10 AS DOUBLE) AS quantity,
+         l_extendedprice / CAST(10000 AS DOUBLE) AS fare, l_tax AS tolls_amount,
+         l_extendedprice * (1 - l_discount) * (1 + l_tax) / CAST(10000 AS DOUBLE) AS total
+  FROM lineitem WHERE l_shipdate IS NOT NULL AND l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL
+    AND l_tax IS NOT NULL AND l_discount IS NOT NULL)"""
+
+
+def _hex8(text: str) -> str:
+    return f"CAST(('0x' || substr(md5({text}), 1, 8)) AS BIGINT)"
+
+
+def _side(split: str) -> str:
+    """Labelled documents of one side of the hash split."""
+    return (f"SELECT d.doc_id, d.text, l.quality AS label FROM documents d JOIN labels l USING (doc_id) "
+            f"WHERE {_hex8('CAST(d.doc_id AS VARCHAR)')} % 10 {'<' if split == 'train' else '>='} 7")
+
+
 def _lr_base() -> list[str]:
-    base = _vocab_ctes(B.VOCAB_LOGREG)
+    base = _vocab_ctes(B.VOCAB_LOGREG, docs=_side("train"))
     return [base,
-            "lab AS (SELECT l.doc_id, l.quality AS label FROM labels l JOIN documents d USING (doc_id))",
+            "lab AS (SELECT doc_id, label FROM docs)",
             "cwt AS (SELECT label, count(*) AS n FROM lab GROUP BY label)",
             "cw AS (SELECT label, CAST((SELECT sum(n) FROM cwt) AS DOUBLE) / (2.0 * n) AS w FROM cwt)",
             "feats AS (SELECT lab.doc_id, lab.label, tf.idx, tf.tf FROM lab JOIN tf USING (doc_id))",
-            "dl AS (SELECT lab.doc_id, lab.label, cw.w AS cw FROM lab JOIN cw USING (label))",
-            "nd AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM lab)",
-            "w0 AS MATERIALIZED (SELECT idx, CAST(0.0 AS DOUBLE) AS w, CAST(0.0 AS DOUBLE) AS m, "
-            "CAST(0.0 AS DOUBLE) AS pm, CAST(0.0 AS DOUBLE) AS v, CAST(0.0 AS DOUBLE) AS gt FROM vocab)"]
+            "dl AS (SELECT lab.doc_id, lab.label, cw.w AS cw FROM lab JOIN cw USING (label))"]
+
+
+def _start_values() -> str:
+    """The seeded start; the first values of the generator are the same for every vocabulary size."""
+    w = random_start(B.VOCAB_LOGREG, B.LR_START_STD, B.LR_SEED)
+    return "start(idx, w) AS (VALUES " + ", ".join(f"({i}, {float(v)!r})" for i, v in enumerate(w)) + ")"
 
 
 def _lr_update(opt: str, t: int) -> str:
@@ -206,58 +230,98 @@ def _lr_update(opt: str, t: int) -> str:
     raise ValueError(opt)
 
 
-def lr_ctes(opt: str, steps: int = B.LR_STEPS) -> list[str]:
+def lr_ctes(opt: str, steps: int = B.LR_STEPS, pre: str = "", random: bool = False, batch: int | None = None) -> list[str]:
+    """The training run of one optimizer, a group of CTEs per step, over ``_lr_base``."""
     reg = B.LR_REG
-    ctes = _lr_base()
+    begin = "CAST(start.w AS DOUBLE)" if random else "CAST(0.0 AS DOUBLE)"
+    second = "CAST((SELECT count(*) FROM vocab) AS DOUBLE)" if random else "CAST(0.0 AS DOUBLE)"
+    ctes = [f"{pre}w0 AS MATERIALIZED (SELECT vocab.idx, {begin} AS w, CAST(0.0 AS DOUBLE) AS m, CAST(0.0 AS DOUBLE) AS pm, "
+            f"{second} AS v, CAST(0.0 AS DOUBLE) AS gt FROM vocab" + (" JOIN start USING (idx))" if random else ")")]
     for t in range(1, steps + 1):
         p = t - 1
-        ctes.append(f"""z{t} AS MATERIALIZED (
+        rows = "dl"
+        if batch:
+            code = _hex8(f"CAST(doc_id AS VARCHAR) || '-{t}'")
+            share = f"greatest(1, least(1000, 1000 * {batch} // (SELECT count(*) FROM dl)))"
+            rows = f"(SELECT * FROM dl WHERE {code} % 1000 < {share}) dl"
+        ctes.append(f"""{pre}z{t} AS MATERIALIZED (
   SELECT dl.doc_id, dl.label, dl.cw, coalesce(sum(f.tf * w.w), 0.0) AS z
-  FROM dl LEFT JOIN feats f USING (doc_id) LEFT JOIN w{p} w ON w.idx = f.idx GROUP BY ALL)""")
-        ctes.append(f"""gs{t} AS MATERIALIZED (
+  FROM {rows} LEFT JOIN feats f USING (doc_id) LEFT JOIN {pre}w{p} w ON w.idx = f.idx GROUP BY ALL)""")
+        ctes.append(f"{pre}n{t} AS MATERIALIZED (SELECT greatest(CAST(count(*) AS DOUBLE), 1.0) AS n FROM {pre}z{t})")
+        ctes.append(f"""{pre}gs{t} AS MATERIALIZED (
   SELECT f.idx, sum(z.cw * f.tf * (1.0 / (1.0 + exp(-z.z)) - z.label)) AS gs
-  FROM feats f JOIN z{t} z USING (doc_id) GROUP BY f.idx)""")
-        ctes.append(f"""c{t} AS MATERIALIZED (
-  SELECT {t} AS it, sum(cw * ((greatest(z, 0.0) + ln(1.0 + exp(-abs(z)))) - label * z)) / (SELECT n FROM nd)
-         + {reg!r} * (SELECT sum(w * w) FROM w{p}) AS cost FROM z{t})""")
-        ctes.append(f"""w{t} AS MATERIALIZED (
+  FROM feats f JOIN {pre}z{t} z USING (doc_id) GROUP BY f.idx)""")
+        ctes.append(f"""{pre}c{t} AS MATERIALIZED (
+  SELECT {t} AS it, coalesce(sum(cw * ((greatest(z, 0.0) + ln(1.0 + exp(-abs(z)))) - label * z)), 0.0)
+         / (SELECT n FROM {pre}n{t}) + {reg!r} * (SELECT sum(w * w) FROM {pre}w{p}) AS cost FROM {pre}z{t})""")
+        ctes.append(f"""{pre}w{t} AS MATERIALIZED (
   SELECT idx, {_lr_update(opt, t)} FROM (
     SELECT w.idx, w.w, w.m, w.pm, w.v, w.gt,
-           coalesce(gs.gs, 0.0) / (SELECT n FROM nd) + 2.0 * {reg!r} * w.w AS g
-    FROM w{p} w LEFT JOIN gs{t} gs ON gs.idx = w.idx))""")
-    ctes.append("hist AS (" + " UNION ALL ".join(f"SELECT it, cost FROM c{t}" for t in range(1, steps + 1)) + ")")
-    ctes.append("flag AS (SELECT it, cost, abs(cost - coalesce(lag(cost) OVER (ORDER BY it), 0.0)) < 1e-07 AS stop "
-                "FROM hist)")
-    ctes.append(f"stop_at AS (SELECT coalesce(min(it), {steps + 1}) AS s FROM flag WHERE stop)")
-    ctes.append("wall AS (" + " UNION ALL ".join(f"SELECT {t} AS t, idx, w FROM w{t}" for t in range(1, steps + 1)) + ")")
-    ctes.append(f"wfinal AS (SELECT idx, w FROM wall WHERE t = (SELECT least(s, {steps}) FROM stop_at))")
+           coalesce(gs.gs, 0.0) / (SELECT n FROM {pre}n{t}) + 2.0 * {reg!r} * w.w AS g
+    FROM {pre}w{p} w LEFT JOIN {pre}gs{t} gs ON gs.idx = w.idx))""")
+    ctes.append(f"{pre}hist AS (" + " UNION ALL ".join(f"SELECT it, cost FROM {pre}c{t}" for t in range(1, steps + 1)) + ")")
+    ctes.append(f"{pre}flag AS (SELECT it, cost, abs(cost - coalesce(lag(cost) OVER (ORDER BY it), 0.0)) < 1e-07 AS stop "
+                f"FROM {pre}hist)")
+    ctes.append(f"{pre}stop_at AS (SELECT coalesce(min(it), {steps + 1}) AS s FROM {pre}flag WHERE stop)")
+    ctes.append(f"{pre}wall AS (" + " UNION ALL ".join(f"SELECT {t} AS t, idx, w FROM {pre}w{t}"
+                                                       for t in range(1, steps + 1)) + ")")
+    ctes.append(f"{pre}wfinal AS (SELECT idx, w FROM {pre}wall WHERE t = (SELECT least(s, {steps}) FROM {pre}stop_at))")
     return ctes
 
 
-def lr_history_sql(opt: str) -> str:
-    return _sql(*lr_ctes(opt), select="SELECT CAST(it AS INTEGER) AS iter, round(cost, 10) AS cost FROM flag "
-                                      "WHERE it < (SELECT s FROM stop_at)")
+def lr_history_sql(opt: str, steps: int = B.LR_STEPS, batch: int | None = None) -> str:
+    return _sql(*_lr_base(), *lr_ctes(opt, steps, batch=batch), select="SELECT CAST(it AS INTEGER) AS iter, "
+                "round(cost, 10) AS cost FROM flag WHERE it < (SELECT s FROM stop_at)")
+
+
+def lr_compare_sql() -> str:
+    runs = [(opt, f"{opt.lower()}_") for opt in B.LR_COMPARED]
+    ctes = [c for opt, pre in runs for c in lr_ctes(opt, B.LR_COMPARE_STEPS, pre, random=True)]
+    return _sql(*_lr_base(), _start_values(), *ctes, select="\nUNION ALL\n".join(
+        f"SELECT '{opt}' AS optimizer, CAST(count(*) AS INTEGER) AS steps, round(arg_max(cost, it), 9) AS final_cost "
+        f"FROM {pre}flag WHERE it < (SELECT s FROM {pre}stop_at)" for opt, pre in runs))
+
+
+def _lr_predictions() -> list[str]:
+    tok = TOKENS_EXPR.format(t="text")
+    return [*_lr_base(), *lr_ctes("RMSprop"), f"tdocs AS ({_side('test')})",
+            f"tocc AS (SELECT doc_id, unnest({tok}) AS word FROM tdocs)",
+            "tterms AS (SELECT doc_id, idx, count(*) AS n FROM tocc JOIN vocab USING (word) GROUP BY doc_id, idx)",
+            "ttf AS (SELECT doc_id, idx, n / sum(n) OVER (PARTITION BY doc_id) AS tf FROM tterms)",
+            "tz AS (SELECT doc_id, sum(tf * w) AS z FROM ttf JOIN wfinal USING (idx) GROUP BY doc_id)",
+            "pred AS (SELECT tdocs.doc_id, tdocs.label, CAST(coalesce(z, 0.0) > 0 AS INTEGER) AS prediction "
+            "FROM tdocs LEFT JOIN tz USING (doc_id))"]
 
 
 def lr_predict_sql() -> str:
-    return _sql(*lr_ctes("RMSprop"), select="""SELECT lab.doc_id, lab.label,
-  CAST(coalesce(zz.z, 0.0) > 0 AS INTEGER) AS prediction
-FROM lab LEFT JOIN (SELECT f.doc_id, sum(f.tf * w.w) AS z FROM feats f JOIN wfinal w USING (idx) GROUP BY f.doc_id) zz
-USING (doc_id)""")
+    return _sql(*_lr_predictions(), select="SELECT doc_id, label, prediction FROM pred")
+
+
+def lr_evaluate_sql() -> str:
+    return _sql(*_lr_predictions(), select=_binary_metrics_sql("pred", "label", "prediction"))
 
 
 def lr_top_weights_sql() -> str:
-    return _sql(*lr_ctes("RMSprop"), select="""SELECT CAST(row_number() OVER (ORDER BY abs(weight) DESC, idx) AS INTEGER) AS rank,
+    return _sql(*_lr_base(), *lr_ctes("RMSprop"), select="""SELECT CAST(row_number() OVER (ORDER BY abs(weight) DESC, idx) AS INTEGER) AS rank,
   idx, word, weight FROM (SELECT w.idx, v.word, round(w.w, 10) AS weight FROM wfinal w LEFT JOIN vocab v USING (idx))
 ORDER BY abs(weight) DESC, idx LIMIT 5""")
 
 
 def lr_step_sql() -> str:
-    ctes = _lr_base() + ["""z1 AS (SELECT dl.doc_id, dl.label, dl.cw, 0.0 AS z FROM dl)""",
-                         """gs1 AS (SELECT f.idx, sum(z.cw * f.tf * (1.0 / (1.0 + exp(-z.z)) - z.label)) AS gs
-                            FROM feats f JOIN z1 z USING (doc_id) GROUP BY f.idx)"""]
-    return _sql(*ctes, select="""SELECT v.idx, round(coalesce(gs1.gs, 0.0) / (SELECT n FROM nd), 10) AS gradient
-FROM vocab v LEFT JOIN gs1 USING (idx)""")
+    first = lr_ctes("SGD", 1, random=True)
+    return _sql(*_lr_base(), _start_values(), *first, select="""SELECT v.idx,
+  round(coalesce(gs1.gs, 0.0) / (SELECT n FROM n1), 10) AS gradient FROM vocab v LEFT JOIN gs1 USING (idx)""")
+
+
+def _binary_metrics_sql(table: str, label: str, pred: str) -> str:
+    counts = ", ".join(f"CAST(count_if({label} = {a} AND {pred} = {b}) AS BIGINT) AS {n}"
+                       for n, a, b in (("tp", 1, 1), ("fp", 0, 1), ("tn", 0, 0), ("fn", 1, 0)))
+    return f"""SELECT tp, fp, tn, fn,
+  round(CASE WHEN n = 0 THEN 0.0 ELSE CAST(tp + tn AS DOUBLE) / n END, 12) AS accuracy,
+  round(CASE WHEN tp + fp = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fp) END, 12) AS precision,
+  round(CASE WHEN tp + fn = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fn) END, 12) AS recall,
+  round(CASE WHEN tp + 0.5 * (fp + fn) = 0 THEN 0.0 ELSE tp / (tp + 0.5 * (fp + fn)) END, 12) AS f1
+FROM (SELECT {counts}, count(*) AS n FROM {table})"""
 
 
 # ----------------------------------------------------------------------------- spark.ml text
@@ -365,6 +429,9 @@ QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY votes DESC, category)
     q["ols"] = _sql(TRIPS, BOUNDED, select="SELECT count(*) AS n, round(regr_slope(fare_amount, trip_distance), 6) AS slope, "
                                            "round(regr_intercept(fare_amount, trip_distance), 6) AS intercept FROM bounded")
     q["gd_line"] = gd_sql(["trip_distance"], "fare_amount", B.GD_STEPS_LINE, B.GD_RATE, False, ["iter", "cost", "m", "b"])
+    multi = dict(xs=B.GD_MULTI_X, y="total", steps=B.GD_STEPS_MULTI, rate=B.GD_RATE, bold=True, points=(GD_POINTS,))
+    q["gd_multi"] = gd_sql(**multi, names=["iter", "cost", "rate"], params=False)
+    q["gd_multi_params"] = gd_sql(**multi, names=["iter", "", "m1", "m2", "m3", "m4", "b"])
     lr_base = _lr_base()
     q["labelled_features"] = _sql(*lr_base, select="SELECT doc_id, label, idx, tf FROM feats")
     q["class_weights"] = _sql(*lr_base, select="SELECT cwt.label, cwt.n, round(cw.w, 12) AS weight FROM cwt JOIN cw USING (label)")
@@ -374,14 +441,10 @@ QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY votes DESC, category)
         q[key] = lr_history_sql(opt)
     q["logreg_predict"] = lr_predict_sql()
     q["top_weights"] = lr_top_weights_sql()
-    q["binary_metrics"] = """WITH c AS (SELECT CAST(count_if(quality = 1 AND toxic = 1) AS BIGINT) AS tp,
-  CAST(count_if(quality = 0 AND toxic = 1) AS BIGINT) AS fp, CAST(count_if(quality = 0 AND toxic = 0) AS BIGINT) AS tn,
-  CAST(count_if(quality = 1 AND toxic = 0) AS BIGINT) AS fn, count(*) AS n FROM labels)
-SELECT tp, fp, tn, fn,
-  round(CASE WHEN n = 0 THEN 0.0 ELSE CAST(tp + tn AS DOUBLE) / n END, 12) AS accuracy,
-  round(CASE WHEN tp + fp = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fp) END, 12) AS precision,
-  round(CASE WHEN tp + fn = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fn) END, 12) AS recall,
-  round(CASE WHEN tp + 0.5 * (fp + fn) = 0 THEN 0.0 ELSE tp / (tp + 0.5 * (fp + fn)) END, 12) AS f1 FROM c"""
+    q["logreg_minibatch"] = lr_history_sql("SGD", B.LR_COMPARE_STEPS, B.LR_BATCH)
+    q["optimizer_costs"] = lr_compare_sql()
+    q["logreg_evaluate"] = lr_evaluate_sql()
+    q["binary_metrics"] = _binary_metrics_sql("labels", "quality", "toxic")
     q["weighted_metrics"] = """WITH cells AS (SELECT quality AS l, toxic AS p, count(*) AS n FROM labels GROUP BY ALL),
 bl AS (SELECT l, sum(n) AS lab, coalesce(sum(CASE WHEN l = p THEN n END), 0) AS tp FROM cells GROUP BY l),
 bp AS (SELECT p, sum(n) AS pred FROM cells GROUP BY p),
