@@ -3,16 +3,19 @@ category vote over the neighbours."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 
 from tessera.operators.ranking import top_k_per_group
-from tessera.session import checkpoint
 from tessera.operators.text import doc_terms, term_freq, tfidf
+from tessera.session import checkpoint
 
-# Largest query-vector table (rows) that is broadcast to the document side;
-# beyond it the join is a shuffle join whose skewed keys (frequent words)
-# AQE splits at run time.
-BROADCAST_QUERY_ROWS = 2_000_000
+# Queries scored together, whatever their number: a block's sparse vectors are
+# broadcast (at most QUERY_BLOCK x vocabulary cells).
+QUERY_BLOCK = 256
 
 
 def query_vectors(queries: DataFrame, vocab: DataFrame, idf_df: DataFrame,
@@ -23,57 +26,100 @@ def query_vectors(queries: DataFrame, vocab: DataFrame, idf_df: DataFrame,
     return tfidf(tf, idf_df).withColumnRenamed("doc_id", "query_id")
 
 
-def norms(vectors: DataFrame, key: str) -> DataFrame:
-    """(key, norm) Euclidean norm per vector."""
-    return vectors.groupBy(key).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
+def vector_rows(vectors: DataFrame, key: str) -> DataFrame:
+    """One row per vector: (key, idx array, weight array), sorted by idx."""
+    cells = F.sort_array(F.collect_list(F.struct("idx", "weight")))
+    return vectors.groupBy(key).agg(cells.alias("c")).select(key, F.col("c.idx").alias("idx"),
+                                                             F.col("c.weight").alias("weight"))
+
+
+def _blocks(queries: DataFrame, size: int) -> Iterator[list]:
+    """Query rows in order of their id, ``size`` at a time (streamed to the driver)."""
+    block = []
+    for row in queries.orderBy("query_id").toLocalIterator():
+        block.append(row)
+        if len(block) == size:
+            yield block
+            block = []
+    if block:
+        yield block
+
+
+def _unit_columns(block: list) -> tuple[np.ndarray, np.ndarray]:
+    """``(words, matrix)``: the sorted word indices of a block of queries and
+    their unit vectors as columns over those words (zero where the norm is 0)."""
+    words = np.unique(np.concatenate([np.array(r["idx"], np.int64) for r in block]))
+    matrix = np.zeros((len(words) + 1, len(block)))         # last row: words of no query
+    for j, r in enumerate(block):
+        w = np.array(r["weight"], np.float64)
+        matrix[np.searchsorted(words, r["idx"]), j] = w
+    norm = np.sqrt((matrix * matrix).sum(0))
+    return words, matrix / np.where(norm > 0, norm, 1.0)
+
+
+def _score_kernel(shared, k: int, digits: int):
+    """Scores every document of a task against a block of queries and hands on
+    the ``k`` best of each query: (query, doc_id, score)."""
+    def best(scores: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        return np.lexsort((ids, -scores))[:k]
+
+    def kernel(batches):
+        words, matrix = shared.value
+        top: list = [None] * matrix.shape[1]
+        for batch in batches:
+            ids = np.asarray(batch.column(0).to_pylist())          # numbers or strings
+            lists, idx = batch.column(1), batch.column(1).flatten().to_numpy(zero_copy_only=False)
+            weight = batch.column(2).flatten().to_numpy(zero_copy_only=False)
+            ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
+            at = np.searchsorted(words, idx)
+            at[at == len(words)] = 0
+            at = np.where(words[at] == idx, at, len(words))
+            scores = np.empty((len(ids), matrix.shape[1]))
+            for i, (a, b) in enumerate(zip(np.append(0, ends[:-1]), ends)):
+                w = weight[a:b]
+                norm = np.sqrt((w * w).sum())
+                scores[i] = w @ matrix[at[a:b]] / norm if norm > 0 else 0.0
+            scores = np.round(scores, digits) + 0.0
+            for q, old in enumerate(top):
+                s, d = (scores[:, q], ids) if old is None else (np.append(old[0], scores[:, q]), np.append(old[1], ids))
+                keep = best(s, d)
+                top[q] = s[keep], d[keep]
+        if top and top[0] is not None:
+            n = [len(s) for s, _ in top]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(np.arange(len(top)), n).astype(np.int32)), pa.array(np.concatenate([d for _, d in top])),
+                 pa.array(np.concatenate([s for s, _ in top]))], ["q", "doc_id", "score"])
+    return kernel
 
 
-def cosine_topk(qvec: DataFrame, dvec: DataFrame, k: int, digits: int = 10,
-                broadcast_rows: int = BROADCAST_QUERY_ROWS) -> DataFrame:
-    """k most similar documents per query by cosine similarity.
+def cosine_topk(qvec: DataFrame, dvec: DataFrame, k: int, digits: int = 10, block: int = QUERY_BLOCK) -> DataFrame:
+    """k most similar documents per query by cosine similarity, exactly.
 
-    * dot products come from an equi-join on ``idx`` (only shared words
-      meet), summed per (query, doc);
-    * a document sharing no word has similarity 0 and still competes: the
-      k lowest document ids are added to every query with a 0 partial sum
-      (enough to fill any list that has fewer than k positive scores);
-    * similarity is 0 when either norm is 0;
-    * ranking uses the similarity rounded to ``digits`` then doc_id, so
-      exact copies tie deterministically.
+    Queries go in blocks of fixed size, whatever their number.  A block's sparse
+    vectors are broadcast, every task scores its documents against them and
+    keeps k rows per query, and the tasks' rows are merged: k x queries x tasks
+    rows are shuffled, no (query, document) pairs.  A document that shares no
+    word with a query, or a zero norm, scores 0 and competes like any other;
+    ties, on the score rounded to ``digits``, go to the smaller doc_id.
 
     Output: (query_id, rank, doc_id, score).
     """
-    # The query side is materialised once in the shared checkpoint folder:
-    # its row count decides broadcast vs shuffle join, and the corpus-wide
-    # vocabulary / idf work behind it is not repeated by the main job.
-    qvec = checkpoint(qvec)
-    q_rows = qvec.count()
-    small = q_rows <= broadcast_rows
-    # Each document row carries its vector norm (a window over doc_id; the
-    # TF-IDF rows are already partitioned by doc_id, so no extra exchange),
-    # materialised once because three branches read it.
-    dn = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy("doc_id")))
-    dvec = checkpoint(dvec.withColumn("dn", dn))
-    qnorm = norms(qvec, "query_id")
-    q_side = F.broadcast(qvec) if small else qvec
-    dots = (dvec.withColumnRenamed("weight", "dw").join(q_side.withColumnRenamed("weight", "qw"), "idx")
-            .select("query_id", "doc_id", (F.col("dw") * F.col("qw")).alias("p"), "dn"))
-    # k smallest document ids with their norms: a bounded list (k values) becomes literals
-    first = (dvec.groupBy("doc_id").agg(F.max("dn").alias("dn")).orderBy("doc_id").limit(k).collect())
-    pairs = dots
-    if first:
-        fill = qnorm.select("query_id", F.explode(F.array(*[F.struct(F.lit(r.doc_id).alias("doc_id"),
-                                                                     F.lit(r.dn).alias("dn")) for r in first]))
-                            .alias("f"))
-        pairs = dots.unionByName(fill.select("query_id", "f.doc_id", F.lit(0.0).alias("p"), "f.dn"))
-    scores = (pairs.groupBy("query_id", "doc_id").agg(F.sum("p").alias("dot"), F.max("dn").alias("dn"))
-              .join(F.broadcast(qnorm) if small else qnorm, "query_id")
-              .withColumnRenamed("norm", "qn"))
-    sim = F.when((F.col("qn") == 0) | (F.col("dn") == 0), F.lit(0.0)).otherwise(
-        F.col("dot") / (F.col("qn") * F.col("dn")))
-    scored = scores.select("query_id", "doc_id", F.round(sim, digits).alias("score"))
-    return top_k_per_group(scored, ["query_id"], [F.desc("score"), F.asc("doc_id")], k).select(
-        "query_id", F.col("rank"), "doc_id", "score")
+    spark = dvec.sparkSession
+    docs = checkpoint(vector_rows(dvec, "doc_id"))
+    id_kind = dvec.schema["doc_id"].dataType
+    queries = checkpoint(vector_rows(qvec, "query_id"))
+    found = None
+    for rows in _blocks(queries, block):
+        shared = spark.sparkContext.broadcast(_unit_columns(rows))
+        names = F.array(*[F.lit(r["query_id"]).cast(qvec.schema["query_id"].dataType) for r in rows])
+        part = docs.mapInArrow(_score_kernel(shared, k, digits), f"q int, doc_id {id_kind.simpleString()}, score double").select(
+            F.element_at(names, F.col("q") + 1).alias("query_id"), "doc_id", "score")
+        part = top_k_per_group(part, ["query_id"], [F.desc("score"), F.asc("doc_id")], k)
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        found = queries.select("query_id", F.lit(1).alias("rank"), F.lit(None).cast(id_kind).alias("doc_id"),
+                               F.lit(0.0).alias("score")).limit(0)
+    return found.select("query_id", "rank", "doc_id", "score")
 
 
 def knn_vote(topk: DataFrame, links: DataFrame, k: int, page_col: str = "page",

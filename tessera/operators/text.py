@@ -71,11 +71,15 @@ def doc_terms(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_co
     """(doc_id, idx, n): in-vocabulary word counts per document.
 
     The vocabulary has at most ``size`` rows, so it is broadcast: the token
-    stream is never shuffled by word (frequent words would skew that
-    shuffle); only the per-task partial counts are shuffled.
+    stream is never shuffled by word (frequent words would skew that shuffle).
     """
     v = F.broadcast(vocab.select("word", "idx"))
-    return (doc_words(docs, id_col, text_col).join(v, "word")
+    # A document's indices are gathered first (bounded by the document), so the
+    # table is clustered by doc_id once; the counts and every window or group by
+    # document after it need no further exchange.
+    by_doc = (doc_words(docs, id_col, text_col).join(v, "word")
+              .groupBy("doc_id").agg(F.collect_list("idx").alias("all")))
+    return (by_doc.select("doc_id", F.explode("all").alias("idx"))
             .groupBy("doc_id", "idx").agg(F.count(F.lit(1)).alias("n")))
 
 

@@ -25,7 +25,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 from tessera.functions.columns import prefix_label
 from tessera.operators import (classify, cleaning, clustering, linear, logistic, metrics, textml,
                                ranking, retrieval, text)
-from tessera.session import checkpoint, load, scratch_path, spread
+from tessera.session import checkpoint, load, scratch_path
 from tessera.sources import files
 
 # Fixed parameters of the reference workloads.
@@ -74,7 +74,7 @@ def _clean_bounded(spark, d):
 
 
 def corpus(spark, d) -> DataFrame:
-    return spread(load(spark, d, "documents").select("doc_id", "text"))
+    return load(spark, d, "documents").select("doc_id", "text")
 
 
 def corpus_size(spark, d):
@@ -84,8 +84,7 @@ def corpus_size(spark, d):
 
 def doc_links(spark, d) -> DataFrame:
     docs = load(spark, d, "documents")
-    return (docs.select(F.col("doc_id").alias("page"), F.col("lang").alias("category"))
-            .unionByName(docs.select(F.col("doc_id").alias("page"), F.col("source").alias("category"))))
+    return docs.select(F.col("doc_id").alias("page"), F.explode(F.array("lang", "source")).alias("category"))
 
 
 def order_links(spark, d) -> DataFrame:
@@ -217,9 +216,9 @@ def parse_docs(spark, d):
 
 def parse_links(spark, d):
     docs = load(spark, d, "documents")
-    lines = (docs.select(F.format_string('"%s","%s"', F.col("doc_id").cast("string"), F.col("lang")).alias("value"))
-             .unionByName(docs.select(F.format_string('"%s","%s"', F.col("doc_id").cast("string"),
-                                                      F.col("source")).alias("value"))))
+    category = F.explode(F.array("lang", "source"))
+    lines = docs.select("doc_id", category.alias("c")).select(
+        F.format_string('"%s","%s"', F.col("doc_id").cast("string"), F.col("c")).alias("value"))
     return files.parse_links(lines)
 
 
@@ -306,25 +305,34 @@ def query_vectors(spark, d):
     return qv.select("query_id", "idx", F.round("weight", 12).alias("weight"))
 
 
-def _knn(spark, d):
-    # Materialise what several branches read: the vocabulary (bounded by its
-    # size) and the (doc, idx, n) counts, so the corpus is tokenized twice
-    # (word counts, then term counts) and never again.
+def turns(spark, d) -> DataFrame:
+    """Conversation turns as short queries; most share few words with any document."""
+    return load(spark, d, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"), "text")
+
+
+def _knn(spark, d, queries):
+    # The vocabulary (bounded by its size) and the term counts are read by
+    # several branches, so the corpus is tokenized twice and never again.
     docs = corpus(spark, d)
     vocab = checkpoint(text.vocabulary(text.word_counts(docs), VOCAB_RETRIEVAL))
     terms = checkpoint(text.doc_terms(docs, vocab))
     idf_df = text.idf(text.doc_freq(terms), corpus_size(spark, d))
     dvec = text.tfidf(text.term_freq(terms), idf_df)
-    qvec = retrieval.query_vectors(_queries(spark, d), vocab, idf_df, "query_id")
+    qvec = retrieval.query_vectors(queries(spark, d), vocab, idf_df, "query_id")
     return retrieval.cosine_topk(qvec, dvec, TOP_K)
 
 
 def knn_topk(spark, d):
-    return _knn(spark, d)
+    return _knn(spark, d, _queries)
 
 
 def knn_vote(spark, d):
-    return retrieval.knn_vote(_knn(spark, d), doc_links(spark, d), TOP_K)
+    return retrieval.knn_vote(_knn(spark, d, _queries), doc_links(spark, d), TOP_K)
+
+
+def knn_short(spark, d):
+    """Neighbours of every conversation turn; lists that run out of shared words are filled with score 0."""
+    return _knn(spark, d, turns)
 
 
 # --------------------------------------------------------------------------- regression

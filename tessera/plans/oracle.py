@@ -426,6 +426,9 @@ ORDER BY count DESC, category LIMIT {B.TOP_K}"""
     q["knn_vote"] = _sql(RETRIEVAL, QVEC, KNN, LINKS, select=f"""SELECT query_id, category, votes FROM (
   SELECT query_id, category, count(*) AS votes FROM topk JOIN links ON links.page = topk.doc_id GROUP BY ALL)
 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY votes DESC, category) <= {B.TOP_K}""")
+    short = QVEC.replace("SELECT item_id AS query_id,", "SELECT conv_id * 1000 + turn AS query_id,").replace(
+        "FROM benchmark", "FROM conversations")
+    q["knn_short"] = _sql(RETRIEVAL, short, KNN, select="SELECT query_id, rank, doc_id, score FROM topk")
     q["ols"] = _sql(TRIPS, BOUNDED, select="SELECT count(*) AS n, round(regr_slope(fare_amount, trip_distance), 6) AS slope, "
                                            "round(regr_intercept(fare_amount, trip_distance), 6) AS intercept FROM bounded")
     q["gd_line"] = gd_sql(["trip_distance"], "fare_amount", B.GD_STEPS_LINE, B.GD_RATE, False, ["iter", "cost", "m", "b"])

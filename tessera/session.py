@@ -72,8 +72,9 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir``; only when it is unset (tests, local
-    runs) a private temporary folder is created and registered.
+    Read from ``spark.checkpoint.dir``.  Where it is unset a private temporary
+    folder is created and registered, but only under a local master: on a
+    cluster every executor would write to its own disk, so there it raises.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -81,6 +82,8 @@ def shared_dir(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="tessera-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
@@ -104,15 +107,6 @@ def load(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def spread(df):
-    """Round-robin the rows over ``defaultParallelism`` partitions only when
-    the scan produced fewer splits than that (a small file with few row
-    groups).  Large inputs already have many splits and are left alone, so
-    at scale this adds no shuffle."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
 def checkpoint(df):
     """Reliable checkpoint into the shared folder (lineage cut; the data
     survive the loss of the executors that computed them)."""

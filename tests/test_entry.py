@@ -26,7 +26,7 @@ def test_entry_runs(spark):
 
 def test_oracle_sql_parses():
     con = duckdb.connect()
-    for t in ["part", "lineitem", "documents", "labels", "benchmark", "embeddings", "pages"]:
+    for t in ["part", "lineitem", "documents", "labels", "benchmark", "embeddings", "pages", "conversations"]:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMOKE}/{t}.parquet')")
     for name, sql in E.oracle_sql().items():
         con.execute(f"EXPLAIN {sql}")
