@@ -185,13 +185,18 @@ def pages_per_run(tokens: np.ndarray, page: np.ndarray, run: int) -> np.ndarray:
     tokens that begin there (0 where they reach into the next page)."""
     if len(tokens) < run:
         return np.zeros(len(tokens), np.int64)
-    order, rank = suffix_order(tokens, run)
-    sorted_rank, sorted_page = rank[order], page[order]       # stable: pages rise within equal suffixes
+    # a mark of its own ends every page, so no run that crosses it equals another
+    ends = np.flatnonzero(page[1:] != page[:-1]) + 1
+    marked = np.insert(tokens, ends, int(tokens.max()) + 1 + np.arange(len(ends)))
+    of_page = np.insert(page, ends, page[ends - 1])
+    order, rank = suffix_order(marked, run)
+    sorted_rank, sorted_page = rank[order], of_page[order]       # stable: pages rise within equal suffixes
     first = np.concatenate(([True], sorted_rank[1:] != sorted_rank[:-1]))
     new_page = first | np.concatenate(([True], sorted_page[1:] != sorted_page[:-1]))
     counts = np.add.reduceat(new_page.astype(np.int64), np.flatnonzero(first))
-    out = np.empty(len(tokens), np.int64)
+    out = np.empty(len(marked), np.int64)
     out[order] = counts[np.cumsum(first) - 1]
+    out = np.delete(out, ends + np.arange(len(ends)))
     inside = np.zeros(len(tokens), bool)
     inside[:len(tokens) - run + 1] = page[:len(tokens) - run + 1] == page[run - 1:]
     return np.where(inside, out, 0)
