@@ -211,6 +211,20 @@ def covered(counts: np.ndarray, least: float, run: int) -> np.ndarray:
     return hit.cumsum()[:len(counts)] > 0
 
 
+def _unique(template: np.ndarray) -> np.ndarray:
+    """Positions of a block that stay: none if the template covers it whole,
+    else all outside its stretches of at least MIN_RUN tokens; a shorter stretch
+    is where a run from the next block ends by chance."""
+    if template.all():
+        return np.empty(0, np.int64)
+    edge = np.flatnonzero(np.diff(np.concatenate(([False], template, [False])).astype(np.int8)))
+    keep = np.ones(len(template), bool)
+    for a, b in zip(edge[0::2], edge[1::2]):
+        if b - a >= MIN_RUN:
+            keep[a:b] = False
+    return np.flatnonzero(keep)
+
+
 def main_texts(pages: list[str | None]) -> list[str]:
     """Main text of each of a shard's pages."""
     parsed = [blocks(p) for p in pages]
@@ -234,9 +248,9 @@ def main_texts(pages: list[str | None]) -> list[str]:
                 if not always[span].all():
                     kept.append(text)
             elif zone == OPEN and not has_main and linked <= LINK_SHARE:
-                runs = np.flatnonzero(~template[span])
-                if len(runs):
-                    kept.append(" ".join([ws[i] for i in runs]))
+                unique = _unique(template[span])
+                if len(unique):
+                    kept.append(" ".join([ws[i] for i in unique]))
         out.append("\n".join(kept))
     return out
 
