@@ -93,12 +93,28 @@ def hash_split(key: str, train_tenths: int = 7) -> Column:
     return F.when(h % 10 < train_tenths, F.lit("train")).otherwise(F.lit("test"))
 
 
-def stable_layout(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
-    """Range-partition and sort by key so seeded splits and fits see the same
-    row layout on every run (for a given partition count, by default
-    ``spark.sql.shuffle.partitions``)."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, key).sortWithinPartitions(key)
+def _array(cols: Sequence[str]) -> Column:
+    return F.array(*[F.col(c).cast("double") for c in cols])
+
+
+def assign(df: DataFrame, cols: Sequence[str], centres: Sequence[Sequence[float]]) -> DataFrame:
+    """``df`` with ``prediction``: the nearest centre, the lower number on a tie."""
+    far = [F.struct(_sqdist(_array(cols), F.array(*[F.lit(float(v)) for v in c])).alias("d"), F.lit(i).alias("i"))
+           for i, c in enumerate(centres)]
+    return df.withColumn("prediction", F.least(*far)["i"])
+
+
+def lloyd(df: DataFrame, cols: Sequence[str], key: str, k: int, steps: int) -> list[list[float]]:
+    """Centres of Lloyd's algorithm after ``steps`` steps from the first ``k``
+    rows by ``key``.  A step is one aggregate of k sums; a centre without
+    points stays where it is.  Nothing depends on the rows' layout but the
+    rounding of the sums."""
+    centres = [[float(v) for v in r] for r in df.orderBy(key).limit(k).select(*cols).collect()]
+    for _ in range(steps):
+        means = assign(df, cols, centres).groupBy("prediction").agg(*[F.avg(c).alias(c) for c in cols]).collect()
+        for r in means:
+            centres[r["prediction"]] = [float(r[c]) for c in cols]
+    return centres
 
 
 def assembler(cols: Sequence[str], out: str = "features") -> VectorAssembler:

@@ -44,7 +44,7 @@ FARE_LOW, FARE_HIGH = 1000.0, 60000.0
 SITE_LABELS = {"SMALL": 1, "MEDIUM": 2, "LARGE": 3, "STANDARD": 4}
 SOURCE_PREFIX = "src1"
 LINE_SEP = "\u001e"             # record separator: corpus texts contain newlines
-KMEANS_K, CLUSTER_TOL, CLUSTER_SEED, SPLIT_SEED = 3, 1e-4, 10, 42
+KMEANS_K, CLUSTER_TOL, CLUSTER_SEED, LLOYD_STEPS = 3, 1e-4, 10, 8
 SCI = "%.9e"
 
 
@@ -143,7 +143,7 @@ def scan_text_docs(spark, d):
     path = scratch_path(spark, "corpus-text")
     files.write_text(lines, path, LINE_SEP)
     parsed = text.parse_docs(files.read_text(spark, path, LINE_SEP))
-    return parsed.select("doc_id", F.char_length("text").cast("long").alias("text_length"))
+    return parsed.select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
 def sink_roundtrip(spark, d):
@@ -175,10 +175,10 @@ def numeric_quality(spark, d):
 
 
 def line_arity(spark, d):
-    t = _part_text(spark, d)
-    lines = t.select("p_partkey", F.concat_ws(",", *t.columns).alias("value"))
-    return cleaning.line_arity(lines, 6).select(F.col("p_partkey").cast("long").alias("p_partkey"),
-                                                "n_fields", "arity_ok")
+    """Lines of three fields whose middle one is free text, which may hold commas itself."""
+    docs = load(spark, d, "documents")
+    lines = docs.select("doc_id", F.concat_ws(",", F.col("doc_id").cast("string"), "text", "lang").alias("value"))
+    return cleaning.line_arity(lines, 3).select("doc_id", "n_fields", "arity_ok")
 
 
 def clean_trips(spark, d):
@@ -190,8 +190,8 @@ def clean_trips_bounded(spark, d):
 
 
 def sigma_filter(spark, d):
-    return cleaning.sigma_filter(_clean_bounded(spark, d), "trip_distance").select(
-        "medallion", "hack_license", "trip_distance", "fare_amount")
+    """Documents whose length, a heavy-tailed column, is within three standard deviations."""
+    return cleaning.sigma_filter(load(spark, d, "documents").select("doc_id", "n_chars"), "n_chars")
 
 
 def site_clean(spark, d):
@@ -210,8 +210,12 @@ def label_from_prefix(spark, d):
 
 
 def parse_docs(spark, d):
-    lines = files.doc_lines(load(spark, d, "documents"), "doc_id", "text", "source")
-    return text.parse_docs(lines)
+    """Corpus lines of which every seventh lacks its url marker and is dropped."""
+    docs = load(spark, d, "documents")
+    lines = files.doc_lines(docs, "doc_id", "text", "source")
+    broken = F.when(F.regexp_extract("value", 'id="([0-9]+)"', 1).cast("long") % 7 == 0,
+                    F.replace("value", F.lit('" url="'), F.lit('" href="'))).otherwise(F.col("value"))
+    return text.parse_docs(lines.select(broken.alias("value")))
 
 
 def parse_links(spark, d):
@@ -534,9 +538,12 @@ def silhouette(spark, d):
 
 
 def cluster_summary(spark, d):
-    e = _emb(spark, d).select("label", F.element_at("embedding", 1).cast("double").alias("x0"))
-    s = clustering.cluster_summary(e, "label", "x0")
-    return s.select("cluster", "min_value", "max_value", F.round("mean_value", 10).alias("mean_value"),
+    """Statistics of every dimension of the vectors per given label."""
+    e = _emb(spark, d).select("label", F.posexplode("embedding").alias("dim", "x")).select(
+        F.struct("label", "dim").alias("c"), F.col("x").cast("double").alias("x"))
+    s = clustering.cluster_summary(e, "c", "x").withColumn("dim", F.col("cluster.dim")).withColumn(
+        "cluster", F.col("cluster.label"))
+    return s.select("cluster", "dim", "min_value", "max_value", F.round("mean_value", 10).alias("mean_value"),
                     F.round("stddev_value", 10).alias("stddev_value"))
 
 
@@ -549,25 +556,83 @@ def split_hash(spark, d):
     return part.select("p_partkey", clustering.hash_split("p_partkey").alias("split"))
 
 
+# The three feature sets, and the columns of the classifiers.
+SITE_FEATURES = {"price": ["p_retailprice"], "size": ["p_size"], "size_price": ["p_size", "p_retailprice"]}
+CLASS_FEATURES = ["p_size", "p_retailprice", "brand_no", "name_length"]
+
+
 def _site_split(spark, d):
+    """Train and test rows by a hash of the key: the same on every layout, no shuffle."""
     t = site_clean(spark, d)
-    t = clustering.stable_layout(t, "p_partkey")
-    return t.randomSplit([0.7, 0.3], seed=SPLIT_SEED)
+    split = clustering.hash_split("p_partkey")
+    return t.where(split == "train"), t.where(split == "test")
 
 
-def kmeans_points(spark, d):
+def _fitted_points(spark, d, make):
+    """Predictions for all three feature sets on both sides of the split:
+    (features, split, p_partkey, p_size, p_retailprice, prediction)."""
     train, test = _site_split(spark, d)
-    _, _, pred = clustering.fit_predict(clustering.kmeans(KMEANS_K, CLUSTER_TOL, CLUSTER_SEED),
-                                        ["p_retailprice"], train, test)
-    return pred.select("p_partkey", "p_size", "p_retailprice", "prediction")
+    out = None
+    for name, cols in SITE_FEATURES.items():
+        _, on_train, on_test = clustering.fit_predict(make(), cols, train, test)
+        for split, points in (("train", on_train), ("test", on_test)):
+            part = points.select(F.lit(name).alias("features"), F.lit(split).alias("split"), "p_partkey", "p_size",
+                                 "p_retailprice", "prediction")
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+def kmeans_points(spark, d):
+    return _fitted_points(spark, d, lambda: clustering.kmeans(KMEANS_K, CLUSTER_TOL, CLUSTER_SEED))
 
 
 def gmm_points(spark, d):
+    return _fitted_points(spark, d, lambda: clustering.gmm(KMEANS_K, CLUSTER_TOL, CLUSTER_SEED))
+
+
+def _quality(points):
+    """Silhouette and per-cluster statistics of predictions, per feature set and split."""
+    out = None
+    for name, cols in SITE_FEATURES.items():
+        for split in ("train", "test"):
+            own = points.where((F.col("features") == name) & (F.col("split") == split))
+            s = clustering.silhouette(own.select(F.array(*cols).alias("x"), "prediction"), "x", "prediction", digits=8)
+            stats = clustering.cluster_summary(own, "prediction", "p_retailprice")
+            part = stats.crossJoin(F.broadcast(s)).select(        # one row
+                F.lit(name).alias("features"), F.lit(split).alias("split"), "cluster", "min_value", "max_value",
+                F.round("mean_value", 8).alias("mean_value"), F.round("stddev_value", 8).alias("stddev_value"), "silhouette")
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+def kmeans_quality(spark, d):
+    return _quality(checkpoint(kmeans_points(spark, d)))
+
+
+def gmm_quality(spark, d):
+    return _quality(checkpoint(gmm_points(spark, d)))
+
+
+def _lloyd_points(spark, d):
     train, test = _site_split(spark, d)
-    model, _, pred = clustering.fit_predict(clustering.gmm(KMEANS_K, CLUSTER_TOL, CLUSTER_SEED),
-                                            ["p_retailprice"], train, test)
-    ll = float(model.stages[-1].summary.logLikelihood)
-    return pred.select("p_partkey", "p_size", "p_retailprice", "prediction", F.lit(ll).alias("log_likelihood"))
+    out = None
+    for name, cols in SITE_FEATURES.items():
+        centres = clustering.lloyd(train, cols, "p_partkey", KMEANS_K, LLOYD_STEPS)
+        for split, points in (("train", train), ("test", test)):
+            part = clustering.assign(points, cols, centres).select(
+                F.lit(name).alias("features"), F.lit(split).alias("split"), "p_partkey", "p_size", "p_retailprice",
+                "prediction")
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+def lloyd_points(spark, d):
+    """k-means from fixed centres for LLOYD_STEPS steps, fitted on train, applied to both sides."""
+    return _lloyd_points(spark, d)
+
+
+def lloyd_quality(spark, d):
+    return _quality(checkpoint(_lloyd_points(spark, d)))
 
 
 def k_sweep(spark, d):
@@ -576,8 +641,9 @@ def k_sweep(spark, d):
 
 
 def site_classify(spark, d):
-    train, test = _site_split(spark, d)
-    return classify.classify_accuracy(train, test, ["p_size", "p_retailprice", "brand_no"], "label")
+    names = load(spark, d, "part").select("p_partkey", F.char_length("p_name").cast("double").alias("name_length"))
+    train, test = (t.join(names, "p_partkey") for t in _site_split(spark, d))
+    return classify.classify_accuracy(train, test, CLASS_FEATURES, "label")
 
 
 # --------------------------------------------------------------------------- spark.ml text

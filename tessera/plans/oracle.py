@@ -364,6 +364,53 @@ chi AS (SELECT cells.term, count(DISTINCT cells.v) AS nv,
         FROM cells JOIN rt ON rt.term = cells.term AND rt.v = cells.v GROUP BY cells.term)"""
 
 
+# ----------------------------------------------------------------------------- clustering
+
+def _lloyd_ctes() -> list[str]:
+    """Unrolled Lloyd steps per feature set, then the points of both splits with their cluster."""
+    code = _hex8("CAST(p_partkey AS VARCHAR)")
+    ctes = [SITE, f"""pts AS (SELECT p_partkey, p_size, p_retailprice, CASE WHEN {code} % 10 < 7 THEN 'train' ELSE 'test' END AS split
+  FROM site WHERE p_size IS NOT NULL AND p_retailprice IS NOT NULL AND brand_no IS NOT NULL AND label IS NOT NULL)"""]
+    finals = []
+    for name, cols in B.SITE_FEATURES.items():
+        dist = " + ".join(f"(p.{c} - c.{c}) * (p.{c} - c.{c})" for c in cols)
+        ctes.append(f"""{name}_c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY p_partkey) - 1 AS INTEGER) AS i,
+  {', '.join(cols)} FROM (SELECT * FROM pts WHERE split = 'train' ORDER BY p_partkey LIMIT {B.KMEANS_K}))""")
+        for t in range(1, B.LLOYD_STEPS + 1):
+            ctes.append(f"""{name}_c{t} AS MATERIALIZED (
+  SELECT c.i, {', '.join(f'coalesce(m.{c}, c.{c}) AS {c}' for c in cols)} FROM {name}_c{t - 1} c LEFT JOIN (
+    SELECT i, {', '.join(f'avg({c}) AS {c}' for c in cols)} FROM (
+      SELECT {', '.join(f'p.{c}' for c in cols)}, c.i FROM pts p CROSS JOIN {name}_c{t - 1} c WHERE p.split = 'train'
+      QUALIFY row_number() OVER (PARTITION BY p.p_partkey ORDER BY {dist}, c.i) = 1) GROUP BY i) m ON m.i = c.i)""")
+        finals.append(f"""SELECT '{name}' AS features, split, p_partkey, p_size, p_retailprice, i AS prediction, [{', '.join(cols)}] AS x
+  FROM (SELECT p.*, c.i FROM pts p CROSS JOIN {name}_c{B.LLOYD_STEPS} c
+        QUALIFY row_number() OVER (PARTITION BY p.p_partkey ORDER BY {dist}, c.i) = 1)""")
+    return ctes + ["fitted AS MATERIALIZED (" + " UNION ALL ".join(finals) + ")"]
+
+
+def lloyd_points_sql() -> str:
+    return _sql(*_lloyd_ctes(), select="SELECT features, split, p_partkey, p_size, p_retailprice, prediction FROM fitted")
+
+
+def lloyd_quality_sql() -> str:
+    return _sql(*_lloyd_ctes(), """pe AS (SELECT features, split, prediction, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM fitted),
+cs AS (SELECT features, split, prediction, i, sum(v) AS s FROM pe GROUP BY ALL),
+cl AS (SELECT features, split, prediction, list(s ORDER BY i) AS s FROM cs GROUP BY ALL),
+cn AS (SELECT features, split, prediction, count(*) AS n, sum(list_dot_product(x, x)) AS q FROM fitted GROUP BY ALL),
+stats AS (SELECT * FROM cl JOIN cn USING (features, split, prediction)),
+d AS (SELECT p.features, p.split, p.p_partkey, p.prediction AS own, c.prediction AS cluster, c.n,
+             list_dot_product(p.x, p.x) + c.q / c.n - 2.0 * list_dot_product(p.x, c.s) / c.n AS diss
+      FROM fitted p JOIN stats c ON p.features = c.features AND p.split = c.split),
+per AS (SELECT features, split, p_partkey, max(CASE WHEN cluster = own THEN diss * n / (n - 1) END) AS a,
+               max(CASE WHEN cluster = own THEN n END) AS n_own, min(CASE WHEN cluster <> own THEN diss END) AS b
+        FROM d GROUP BY ALL),
+sil AS (SELECT features, split, round(avg(CASE WHEN n_own <= 1 THEN 0.0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1
+               ELSE 0.0 END), 8) AS silhouette FROM per GROUP BY ALL)""",
+                select="""SELECT features, split, prediction AS cluster, min(p_retailprice) AS min_value, max(p_retailprice) AS max_value,
+  round(avg(p_retailprice), 8) AS mean_value, round(stddev_samp(p_retailprice), 8) AS stddev_value, any_value(silhouette) AS silhouette
+FROM fitted JOIN sil USING (features, split) GROUP BY features, split, prediction""")
+
+
 # ----------------------------------------------------------------------------- registry
 
 def oracle_sql() -> dict[str, str]:
@@ -373,7 +420,7 @@ def oracle_sql() -> dict[str, str]:
     q["scan_csv_schema"] = ("SELECT CAST(p_partkey AS INTEGER) AS partkey, p_name AS name, p_brand AS brand, "
                             "p_type AS type, p_size AS size, p_retailprice AS retailprice FROM part")
     q["scan_text_docs"] = _sql(DOC_LINES, select="SELECT CAST(doc_id AS VARCHAR) AS doc_id, "
-                                                 "CAST(length(text) AS BIGINT) AS text_length FROM docs_parsed")
+                                                 "md5(text) AS text_md5 FROM docs_parsed")
     top_pairs = _sql(TRIPS, CLEAN, select=f"""SELECT medallion, count(*) AS n_drivers
 FROM (SELECT DISTINCT medallion, hack_license FROM clean) GROUP BY medallion
 ORDER BY n_drivers DESC, medallion LIMIT {B.TOP_K}""")
@@ -382,20 +429,20 @@ ORDER BY n_drivers DESC, medallion LIMIT {B.TOP_K}""")
     q["numeric_quality"] = _sql(PART_TEXT, select="\nUNION ALL\n".join(
         f"SELECT '{c}' AS column_name, CAST(count_if({_ok(c)}) AS BIGINT) AS n_valid, "
         f"CAST(count_if(NOT {_ok(c)}) AS BIGINT) AS n_invalid FROM pt" for c in PART_TEXT_COLS))
-    q["line_arity"] = _sql(PART_TEXT, select="SELECT CAST(p_partkey AS BIGINT) AS p_partkey, n_fields, n_fields = 6 AS arity_ok "
-                                             "FROM (SELECT p_partkey, CAST(len(string_split(concat_ws(',', "
-                                             + ", ".join(PART_TEXT_COLS) + "), ',')) AS INTEGER) AS n_fields FROM pt)")
+    q["line_arity"] = """SELECT doc_id, n_fields, n_fields = 3 AS arity_ok FROM (SELECT doc_id, CAST(len(string_split(
+  concat_ws(',', CAST(doc_id AS VARCHAR), text, lang), ',')) AS INTEGER) AS n_fields FROM documents)"""
     trip_cols = "medallion, hack_license, trip_time_in_secs, trip_distance, fare_amount, tolls_amount, total_amount"
     q["clean_trips"] = _sql(TRIPS, CLEAN, select=f"SELECT {trip_cols} FROM clean")
     q["clean_trips_bounded"] = _sql(TRIPS, BOUNDED, select=f"SELECT {trip_cols} FROM bounded")
-    q["sigma_filter"] = _sql(TRIPS, BOUNDED, SIGMA, select="SELECT medallion, hack_license, trip_distance, fare_amount FROM sigma")
+    q["sigma_filter"] = """WITH s AS (SELECT avg(n_chars) AS m, stddev_samp(n_chars) AS sd FROM documents)
+SELECT doc_id, n_chars FROM documents, s WHERE n_chars >= m - 3.0 * sd AND n_chars <= m + 3.0 * sd"""
     q["site_clean"] = _sql(SITE, select="SELECT p_partkey, p_size, p_retailprice, brand_no, label FROM site "
                                         "WHERE p_size IS NOT NULL AND p_retailprice IS NOT NULL "
                                         "AND brand_no IS NOT NULL AND label IS NOT NULL")
     q["site_null_count"] = _sql(SITE, select="SELECT CAST(count_if(label IS NULL) AS BIGINT) AS n_null FROM site")
     q["label_from_prefix"] = (f"SELECT doc_id, CAST(coalesce(starts_with(source, '{B.SOURCE_PREFIX}'), false) AS INTEGER) "
                               "AS label FROM documents")
-    q["parse_docs"] = _sql(DOC_LINES, select="SELECT doc_id, text FROM docs_parsed")
+    q["parse_docs"] = _sql(DOC_LINES, select="SELECT doc_id, text FROM docs_parsed WHERE CAST(doc_id AS BIGINT) % 7 <> 0")
     q["parse_links"] = """WITH l AS (SELECT '"' || CAST(doc_id AS VARCHAR) || '","' || lang || '"' AS value FROM documents
   UNION ALL SELECT '"' || CAST(doc_id AS VARCHAR) || '","' || source || '"' AS value FROM documents)
 SELECT replace(split_part(value, ',', 1), '"', '') AS page, replace(split_part(value, ',', 2), '"', '') AS category FROM l"""
@@ -475,9 +522,12 @@ per AS (SELECT vec_id, max(CASE WHEN cluster = own THEN diss * n / (n - 1) END)
         FROM d GROUP BY vec_id),
 s AS (SELECT CASE WHEN n_own <= 1 THEN 0.0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0.0 END AS s FROM per)
 SELECT round(avg(s), 10) AS silhouette FROM s"""
-    q["cluster_summary"] = """SELECT label AS cluster, min(CAST(embedding[1] AS DOUBLE)) AS min_value,
-  max(CAST(embedding[1] AS DOUBLE)) AS max_value, round(avg(CAST(embedding[1] AS DOUBLE)), 10) AS mean_value,
-  round(stddev_samp(CAST(embedding[1] AS DOUBLE)), 10) AS stddev_value FROM embeddings GROUP BY label"""
+    q["cluster_summary"] = """WITH e AS (SELECT label AS cluster, CAST(unnest(embedding) AS DOUBLE) AS x,
+  generate_subscripts(embedding, 1) - 1 AS dim FROM embeddings)
+SELECT cluster, CAST(dim AS INTEGER) AS dim, min(x) AS min_value, max(x) AS max_value, round(avg(x), 10) AS mean_value,
+  round(stddev_samp(x), 10) AS stddev_value FROM e GROUP BY cluster, dim"""
+    q["lloyd_points"] = lloyd_points_sql()
+    q["lloyd_quality"] = lloyd_quality_sql()
     q["kmeans_assign"] = f"""WITH pts AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
 cen AS (SELECT CAST(row_number() OVER (ORDER BY vec_id) - 1 AS INTEGER) AS i, x AS c FROM pts ORDER BY vec_id LIMIT {B.KMEANS_K}),
 dist AS (SELECT p.vec_id, c.i, list_sum(list_transform(list_zip(p.x, c.c), lambda t: (t[1] - t[2]) * (t[1] - t[2]))) AS d
