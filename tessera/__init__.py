@@ -8,7 +8,6 @@ thresholds are arguments.  Sub-packages:
 * ``operators`` – cleaning, ranking, text features, retrieval, regression,
                   logistic regression, spark.ml pipelines, clustering, metrics
 * ``plans``     – bindings of the operators to the driver tables + oracle SQL
-* ``streaming`` – intentionally empty (the reference has no streaming work)
 """
 
 from tessera.session import get_session, shared_dir, scratch_path  # noqa: F401

@@ -103,13 +103,3 @@ def label_map(c, mapping: dict) -> Column:
     for value, label in mapping.items():
         expr = F.when(c == value, F.lit(label)) if expr is None else expr.when(c == value, F.lit(label))
     return expr
-
-
-def stable_log1p_exp(z) -> Column:
-    """ln(1 + e^z) without overflow: max(z, 0) + ln(1 + e^-|z|)."""
-    z = _col(z)
-    return F.greatest(z, F.lit(0.0)) + F.log(F.lit(1.0) + F.exp(-F.abs(z)))
-
-
-def sigmoid(z) -> Column:
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-_col(z)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def _ratio(num, den):
@@ -42,11 +42,12 @@ def weighted_metrics(df: DataFrame, label: str = "label", prediction: str = "pre
     over the classes present in ``label`` (as MulticlassClassificationEvaluator
     'accuracy', 'weightedPrecision', 'weightedRecall', 'f1')."""
     cells = df.groupBy(F.col(label).alias("l"), F.col(prediction).alias("p")).agg(F.count(F.lit(1)).alias("n"))
-    by_label = cells.groupBy("l").agg(F.sum("n").alias("lab"),
-                                      F.coalesce(F.sum(F.when(F.col("l") == F.col("p"), F.col("n"))), F.lit(0)).alias("tp"))
-    by_pred = cells.groupBy("p").agg(F.sum("n").alias("pred"))
-    per = (by_label.join(by_pred, by_label.l == by_pred.p, "left")
-           .select("l", "lab", "tp", F.coalesce("pred", F.lit(0)).alias("pred")))
+    # k x k cells, both marginals from windows over them: one pass over the rows
+    cells = cells.withColumns({"lab": F.sum("n").over(Window.partitionBy("l")),
+                               "pred": F.sum("n").over(Window.partitionBy("p"))})
+    hit = F.col("l") == F.col("p")
+    per = cells.groupBy("l").agg(F.max("lab").alias("lab"), F.coalesce(F.sum(F.when(hit, F.col("n"))), F.lit(0)).alias("tp"),
+                                 F.coalesce(F.max(F.when(hit, F.col("pred"))), F.lit(0)).alias("pred"))
     prec = _ratio(F.col("tp"), F.col("pred"))
     rec = _ratio(F.col("tp"), F.col("lab"))
     per = per.select("lab", "tp", prec.alias("pc"), rec.alias("rc"))

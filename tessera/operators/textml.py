@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import (IDF, CountVectorizer, CountVectorizerModel, StopWordsRemover, Tokenizer,
-                                UnivariateFeatureSelector)
+                                VectorSlicer)
 from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -20,18 +20,18 @@ def feature_stages(text_col: str = "text", vocab_size: int = 5000, min_df: float
                    max_df: float = 5000):
     tok = Tokenizer(inputCol=text_col, outputCol="words")
     rem = StopWordsRemover(inputCol="words", outputCol="filtered")
-    cv = CountVectorizer(inputCol="filtered", outputCol="features_c", vocabSize=vocab_size,
+    cv = CountVectorizer(inputCol="filtered", outputCol="counts", vocabSize=vocab_size,
                          minDF=min_df, maxDF=max_df)
-    idf = IDF(inputCol="features_c", outputCol="features")
+    idf = IDF(inputCol="counts", outputCol="features")
     return [tok, rem, cv, idf]
 
 
 def term_stats(filtered: DataFrame, tokens_col: str = "filtered") -> DataFrame:
-    """(term, n, df): total count and number of documents per term."""
-    n = filtered.select(F.explode(tokens_col).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    df = (filtered.select(F.explode(F.array_distinct(tokens_col)).alias("term"))
-          .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
-    return n.join(df, "term")
+    """(term, n, df): total count and number of documents per term, from one
+    pass: a document's distinct terms with their counts come from its own row."""
+    rows = (filtered.select(F.array_sort(tokens_col).alias("s")).select("s", F.posexplode("s").alias("i", "term"))
+            .select("term", (~F.get("s", F.col("i") - 1).eqNullSafe(F.col("term"))).cast("int").alias("new")))
+    return rows.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.sum("new").alias("df"))
 
 
 def vocabulary_frame(filtered: DataFrame, tokens_col: str = "filtered", vocab_size: int = 5000,
@@ -74,7 +74,7 @@ def fit_text_features(train: DataFrame, text_col: str = "text", vocab_size: int
     tok, rem, _, idf = feature_stages(text_col, vocab_size, min_df, max_df)
     filtered = rem.transform(tok.transform(train))
     vocab = count_vocabulary(filtered, "filtered", vocab_size, min_df, max_df)
-    cvm = CountVectorizerModel.from_vocabulary(vocab, inputCol="filtered", outputCol="features_c")
+    cvm = CountVectorizerModel.from_vocabulary(vocab, inputCol="filtered", outputCol="counts")
     idf_model = idf.fit(cvm.transform(filtered))
     return PipelineModel(stages=[tok, rem, cvm, idf_model])
 
@@ -95,14 +95,6 @@ def vocabulary_table(model: PipelineModel, spark) -> DataFrame:
     return spark.createDataFrame(list(enumerate(vocab)), "idx int, term string")
 
 
-def vocabulary_stats(model: PipelineModel, train: DataFrame) -> DataFrame:
-    """(idx, term, n, df) for every vocabulary term: position, total count
-    and document frequency in the training corpus."""
-    filtered = PipelineModel(stages=model.stages[:2]).transform(train).select("filtered")
-    return (vocabulary_table(model, train.sparkSession).join(term_stats(filtered), "term")
-            .select("idx", "term", "n", "df"))
-
-
 def idf_table(model: PipelineModel, spark) -> DataFrame:
     """(idx, term, idf) of the fitted IDF stage; idf = ln((m + 1) / (df + 1))."""
     vocab = model.stages[2].vocabulary
@@ -131,14 +123,15 @@ def chi2_table(features: DataFrame, vocab: DataFrame, features_col: str = "featu
             .join(vocab, "idx"))
 
 
-def chi2_selector(n: int = 200, features_col: str = "features", label_col: str = "label",
-                  out: str = "selectedFeatures") -> UnivariateFeatureSelector:
-    """Select the ``n`` features with the smallest chi-squared p-values
-    (categorical features, categorical label)."""
-    sel = UnivariateFeatureSelector(featuresCol=features_col, outputCol=out, labelCol=label_col,
-                                    selectionMode="numTopFeatures")
-    sel.setFeatureType("categorical").setLabelType("categorical").setSelectionThreshold(n)
-    return sel
+def top_features(chi2: DataFrame, n: int = 200) -> DataFrame:
+    """(rank, idx, term, statistic, dof) of the ``n`` terms with the smallest
+    p-values of ``chi2_table``; equal p-values go by position."""
+    top = chi2.orderBy("p_value", "idx").limit(n)
+    return top.select(F.row_number().over(Window.orderBy("p_value", "idx")).alias("rank"), "idx", "term", "statistic", "dof")
+
+
+def slicer(indices: list[int], features_col: str = "features", out: str = "chosen") -> VectorSlicer:
+    return VectorSlicer(inputCol=features_col, outputCol=out, indices=sorted(indices))
 
 
 def logistic(features_col: str = "features", label_col: str = "label", max_iter: int = 20) -> LogisticRegression:

@@ -25,7 +25,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 from tessera.functions.columns import prefix_label
 from tessera.operators import (classify, cleaning, clustering, linear, logistic, metrics, textml,
                                ranking, retrieval, text)
-from tessera.session import checkpoint, load, scratch_path
+from tessera.session import checkpoint, input_path, load
 from tessera.sources import files
 
 # Fixed parameters of the reference workloads.
@@ -35,6 +35,7 @@ VOCAB_LOGREG = 10000            # dictionary size of the logistic-regression job
 GD_RATE, GD_STEPS_LINE, GD_STEPS_MULTI = 1e-4, 80, 70
 LR_STEPS, LR_RATE, LR_REG = 20, 0.01, 0.01
 LR_START_STD, LR_SEED, LR_COMPARE_STEPS, LR_BATCH = 0.1, 0, 5, 100
+ML_MIN_DF, ML_MAX_SHARE, ML_SELECTED = 10, 0.9, 200
 LR_COMPARED = ("Momentum", "Nesterov", "Adam", "Adagrad", "RMSprop")
 # The dictionary probe words.
 PROBE_WORDS = ["applicant", "and", "attack", "protein", "car", "in"]
@@ -121,7 +122,7 @@ def site_table(spark, d) -> DataFrame:
 
 def scan_csv_inferred(spark, d):
     part = load(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
-    path = scratch_path(spark, "part-csv")
+    path = input_path(spark, "part-csv", d)
     files.write_csv(part, path)
     return files.read_csv_inferred(spark, path)
 
@@ -133,14 +134,14 @@ SITE_SCHEMA = StructType([StructField("partkey", IntegerType()), StructField("na
 
 def scan_csv_schema(spark, d):
     part = load(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
-    path = scratch_path(spark, "part-csv")
+    path = input_path(spark, "part-csv", d)
     files.write_csv(part, path)
     return files.read_csv_schema(spark, path, SITE_SCHEMA)
 
 
 def scan_text_docs(spark, d):
     lines = files.doc_lines(load(spark, d, "documents"), "doc_id", "text", "source")
-    path = scratch_path(spark, "corpus-text")
+    path = input_path(spark, "corpus-text", d)
     files.write_text(lines, path, LINE_SEP)
     parsed = text.parse_docs(files.read_text(spark, path, LINE_SEP))
     return parsed.select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"))
@@ -148,7 +149,7 @@ def scan_text_docs(spark, d):
 
 def sink_roundtrip(spark, d):
     top = ranking.top_distinct_pairs(_clean(spark, d), "medallion", "hack_license", TOP_K, "n_drivers")
-    path = scratch_path(spark, "top10")
+    path = input_path(spark, "top10", d)
     files.write_small_result(top, path, "csv")
     schema = StructType([StructField("medallion", LongType()), StructField("n_drivers", LongType())])
     return files.read_csv_schema(spark, path, schema)
@@ -654,57 +655,69 @@ def _ml_split(spark, d):
 
 
 def ml_tokens(spark, d):
-    train, _ = _ml_split(spark, d)
-    return textml.token_counts(train)
+    return textml.token_counts(corpus(spark, d))
 
 
 def ml_stopwords(spark, d):
-    train, _ = _ml_split(spark, d)
-    return textml.token_counts(train, remove_stop_words=True)
+    return textml.token_counts(corpus(spark, d), remove_stop_words=True)
+
+
+def cv_vocabulary(spark, d):
+    """Vocabulary of all documents; the upper bound is a share, so it holds at every size."""
+    return textml.vocabulary_frame(textml.filtered_tokens(corpus(spark, d)), min_df=ML_MIN_DF, max_df=ML_MAX_SHARE)
+
+
+def ml_idf(spark, d):
+    docs = corpus(spark, d)
+    model = textml.fit_text_features(docs, min_df=ML_MIN_DF, max_df=ML_MAX_SHARE)
+    return textml.idf_table(model, spark).select("term", F.round("idf", 12).alias("idf"))
 
 
 def _ml_features(spark, d):
+    """(model, train features, test features): tokens are cut once, features stored once."""
     train, test = _ml_split(spark, d)
     model = textml.fit_text_features(train)
-    return model, train, test
+    return (model, *(checkpoint(model.transform(t).select("doc_id", "features", F.col("label").cast("double").alias("label")))
+                     for t in (train, test)))
 
 
-def cv_vocabulary(spark, d):
-    train, _ = _ml_split(spark, d)
-    return textml.vocabulary_frame(textml.filtered_tokens(train))
+def _chi2(spark, model, train):
+    return textml.chi2_table(train, textml.vocabulary_table(model, spark))
 
 
-def ml_idf(spark, d):
-    model, _, _ = _ml_features(spark, d)
-    t = textml.idf_table(model, spark)
-    return t.select("term", F.round("idf", 12).alias("idf"))
+def chi2_stats(spark, d):
+    """Chi-squared statistic and degrees of freedom of every vocabulary term."""
+    model, train, _ = _ml_features(spark, d)
+    return _chi2(spark, model, train).select("term", F.round("statistic", 8).alias("statistic"), F.col("dof").cast("int").alias("dof"))
 
 
 def chi2_selected(spark, d):
+    """The ML_SELECTED terms with the smallest p-values, in that order."""
     model, train, _ = _ml_features(spark, d)
-    feats = model.transform(train).select("features", F.col("label").cast("double").alias("label"))
-    t = textml.chi2_table(feats, textml.vocabulary_table(model, spark))
-    return t.select("term", F.round("statistic", 8).alias("statistic"), F.col("dof").cast("int").alias("dof"))
+    return textml.top_features(_chi2(spark, model, train), ML_SELECTED).select(
+        "rank", "term", F.round("statistic", 8).alias("statistic"), F.col("dof").cast("int").alias("dof"))
 
 
-def _ml_eval(spark, d, kind):
+def _ml_predictions(spark, d, kind):
+    """(n_features, doc_id, label, prediction) of the test documents, with all features and with the selected ones."""
     model, train, test = _ml_features(spark, d)
-    ftrain = model.transform(train).select("features", F.col("label").cast("double").alias("label")).persist()
-    ftest = model.transform(test).select("features", F.col("label").cast("double").alias("label")).persist()
+    chosen = [r["idx"] for r in textml.top_features(_chi2(spark, model, train), ML_SELECTED).collect()]
+    cut = textml.slicer(chosen)
+    make = textml.logistic if kind == "logreg" else textml.linear_svc
+    out = None
+    for n, col, tr, te in ((5000, "features", train, test),
+                           (ML_SELECTED, "chosen", cut.transform(train), cut.transform(test))):
+        part = make(col).fit(tr).transform(te).select(F.lit(n).alias("n_features"), "doc_id", "label", "prediction")
+        out = part if out is None else out.unionByName(part)
+    return checkpoint(out)
+
+
+def _ml_eval(spark, d, kind):
+    pred = _ml_predictions(spark, d, kind)
     rows = []
-    try:
-        for n_feat, sel in ((5000, None), (200, textml.chi2_selector(200))):
-            tr, te, col = ftrain, ftest, "features"
-            if sel is not None:
-                sm = sel.fit(ftrain)
-                tr, te, col = sm.transform(ftrain), sm.transform(ftest), "selectedFeatures"
-            est = textml.logistic(col) if kind == "logreg" else textml.linear_svc(col)
-            pred = est.fit(tr).transform(te)
-            m = metrics.weighted_metrics(pred, "label", "prediction").first()
-            rows.append((kind, n_feat, *[float(v) for v in m]))
-    finally:
-        ftrain.unpersist()
-        ftest.unpersist()
+    for n in (5000, ML_SELECTED):
+        m = metrics.weighted_metrics(pred.where(F.col("n_features") == n), "label", "prediction").first()
+        rows.append((kind, n, *[float(v) if v is not None else None for v in m]))
     return spark.createDataFrame(rows, "model string, n_features int, accuracy double, weighted_precision double, "
                                        "weighted_recall double, weighted_f1 double")
 
@@ -715,3 +728,14 @@ def ml_logreg(spark, d):
 
 def ml_svm(spark, d):
     return _ml_eval(spark, d, "svm")
+
+
+def ml_confusion(spark, d):
+    """Confusion matrix of both models with all and with the selected features."""
+    out = None
+    for kind in ("logreg", "svm"):
+        part = _ml_predictions(spark, d, kind).groupBy("n_features", F.col("label").cast("int").alias("label")).pivot(
+            "prediction", [0.0, 1.0]).count().na.fill(0).withColumn("model", F.lit(kind))
+        part = part.withColumnsRenamed({"0.0": "predicted_0", "1.0": "predicted_1"})
+        out = part if out is None else out.unionByName(part)
+    return out.select("model", "n_features", "label", "predicted_0", "predicted_1")

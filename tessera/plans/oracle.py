@@ -333,6 +333,10 @@ mltok AS (SELECT doc_id, label, string_split_regex(regexp_replace(lower(text), '
 mlocc AS (SELECT doc_id, label, unnest(words) AS token FROM mltok)"""
 
 
+ML_ALL = ML_SPLIT[ML_SPLIT.index("mltok"):]
+ML_ALL = "mldocs AS (SELECT doc_id, 0 AS label, text FROM documents),\n" + ML_ALL
+
+
 def _stop_list() -> str:
     return ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH_STOP_WORDS)
 
@@ -343,6 +347,9 @@ CV = """cvstat AS (SELECT token AS term, count(*) AS tc, count(DISTINCT doc_id)
 cv AS (SELECT term, tc, df FROM cvstat WHERE df >= 10 AND df <= 5000 ORDER BY tc DESC, term LIMIT 5000)"""
 
 
+CV_ALL = CV.replace("df >= 10 AND df <= 5000", f"df >= {B.ML_MIN_DF} AND df <= {B.ML_MAX_SHARE} * (SELECT count(*) FROM mldocs)")
+
+
 CHI2 = """mm AS (SELECT count(*) AS m FROM mldocs),
 labs AS (SELECT label, count(*) AS c FROM mldocs GROUP BY label),
 mlc AS (SELECT k.doc_id, k.label, k.token AS term, count(*) AS cnt FROM mlkeep k JOIN cv ON cv.term = k.token GROUP BY ALL),
@@ -535,12 +542,12 @@ dist AS (SELECT p.vec_id, c.i, list_sum(list_transform(list_zip(p.x, c.c), lambd
 SELECT vec_id, i AS prediction FROM dist QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, i) = 1"""
     q["split_hash"] = """SELECT p_partkey, CASE WHEN CAST(('0x' || substr(md5(CAST(p_partkey AS VARCHAR)), 1, 8)) AS BIGINT) % 10 < 7
   THEN 'train' ELSE 'test' END AS split FROM part"""
-    q["ml_tokens"] = _sql(ML_SPLIT, select="SELECT token, count(*) AS n FROM mlocc GROUP BY token")
-    q["ml_stopwords"] = _sql(ML_SPLIT, ML_FILTERED, select="SELECT token, count(*) AS n FROM mlkeep GROUP BY token")
-    q["ml_idf"] = _sql(ML_SPLIT, ML_FILTERED, CV, select="""SELECT term,
+    q["ml_tokens"] = _sql(ML_ALL, select="SELECT token, count(*) AS n FROM mlocc GROUP BY token")
+    q["ml_stopwords"] = _sql(ML_ALL, ML_FILTERED, select="SELECT token, count(*) AS n FROM mlkeep GROUP BY token")
+    q["ml_idf"] = _sql(ML_ALL, ML_FILTERED, CV_ALL, select="""SELECT term,
   round(ln((CAST((SELECT count(*) FROM mldocs) AS DOUBLE) + 1.0) / (df + 1.0)), 12) AS idf FROM cv""")
-    q["cv_vocabulary"] = _sql(ML_SPLIT, ML_FILTERED, CV, select="""SELECT
+    q["cv_vocabulary"] = _sql(ML_ALL, ML_FILTERED, CV_ALL, select="""SELECT
   CAST(row_number() OVER (ORDER BY tc DESC, term) - 1 AS INTEGER) AS idx, term, tc AS n, df FROM cv""")
-    q["chi2_selected"] = _sql(ML_SPLIT, ML_FILTERED, CV, CHI2, select="""SELECT term, round(statistic, 8) AS statistic,
+    q["chi2_stats"] = _sql(ML_SPLIT, ML_FILTERED, CV, CHI2, select="""SELECT term, round(statistic, 8) AS statistic,
   CAST((nv - 1) * ((SELECT count(*) FROM labs) - 1) AS INTEGER) AS dof FROM chi""")
     return q

@@ -7,6 +7,7 @@ machine-local temporary folder is only created when that setting is absent
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -97,6 +98,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}{sep}tessera/{name}-{uuid.uuid4().hex}"
 
 
+def input_path(spark: SparkSession, name: str, sf_dir: str) -> str:
+    """One stable path below the shared folder per name and input directory, so
+    that a query which renders its input as files overwrites its own copy
+    instead of leaving a new one each time."""
+    base = shared_dir(spark)
+    sep = "" if base.endswith("/") else "/"
+    tag = hashlib.md5(f"{spark.sparkContext.applicationId}|{sf_dir}".encode()).hexdigest()[:16]
+    return f"{base}{sep}tessera/{name}-{tag}"
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 

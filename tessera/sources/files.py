@@ -25,17 +25,13 @@ def read_csv_schema(spark: SparkSession, path: str, schema: StructType,
             .csv(path, sep=sep, header=header))
 
 
-def read_text(spark: SparkSession, path: str, line_sep: str | None = None,
-              min_partitions: int | None = None) -> DataFrame:
+def read_text(spark: SparkSession, path: str, line_sep: str | None = None) -> DataFrame:
     """One record per line, column ``value``.  ``line_sep`` lets records
     carry embedded newlines (they are written with the same separator)."""
     reader = spark.read
     if line_sep is not None:
         reader = reader.option("lineSep", line_sep)
-    df = reader.text(path)
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
-        df = df.repartition(min_partitions)
-    return df
+    return reader.text(path)
 
 
 def write_text(df: DataFrame, path: str, line_sep: str | None = None) -> None:

@@ -58,7 +58,7 @@ def test_logistic_step_shuffles_only_partials(spark):
     from tessera.operators import logistic
     tf = spark.createDataFrame([(1, 0, 0.5), (1, 1, 0.5), (2, 1, 1.0)], "doc_id long, idx int, tf double")
     lab = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, label int")
-    train = logistic.training_table(lab, tf)
+    train = logistic.feature_table(lab, tf)
     g, c, n = logistic.step_sums(train, np.zeros(2), 1.0, 1.0)
     assert n == 3 and np.allclose(g, [0.5 * -0.5, 0.5 * -0.5 + 1.0 * 0.5])
     assert abs(c - 3 * np.log(2)) < 1e-12

@@ -26,7 +26,7 @@ def test_text_roundtrip_keeps_newlines(spark):
     docs = spark.createDataFrame([(1, "line one\nline two", "u")], "doc_id long, text string, url string")
     path = scratch_path(spark, "text-test")
     files.write_text(files.doc_lines(docs, "doc_id", "text", "url"), path, "\u001e")
-    parsed = text.parse_docs(files.read_text(spark, path, "\u001e", min_partitions=2))
+    parsed = text.parse_docs(files.read_text(spark, path, "\u001e"))
     assert [tuple(r) for r in parsed.collect()] == [("1", "line one\nline two")]
 
 
