@@ -17,9 +17,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Each round is a pre-aggregated minimum per node and a join on the node, so
     a hub's edges are never collected; the rounds' results are checkpointed.
     """
-    both = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    own = both.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    edges = checkpoint(both.where("u <> v").distinct())
+    edges = checkpoint(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    own = edges.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    edges = edges.where("u <> v")
     for _ in range(MAX_ROUNDS):
         before = _state(edges)
         edges = _small_star(_large_star(edges))

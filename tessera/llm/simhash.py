@@ -1,18 +1,21 @@
 """SimHash near-duplicates: fingerprints, exact links through vantage-point trees, components.
 
-Two 64-bit fingerprints at most ``max_bits`` apart differ by at most
-``max_bits // SLICES`` bits in one of ``SLICES`` slices of the word.  Each
-slice has a vantage-point tree over its own Hamming distance: an inner node
-holds a vantage point and a radius and sends a fingerprint inside (distance
-at most the radius) or outside.  By the triangle inequality two fingerprints
-at most r apart in the slice can only part where one of them lies within r of
-the boundary, so every fingerprint lives in one leaf (shard) and also visits
-the leaves across the boundaries it is that near to.  Inside a shard the
-exact distance over all 64 bits decides.
+The 64 bits are cut into ``max_bits`` slices.  Two fingerprints at most
+``max_bits`` apart differ by at most 1 bit in the first, widest slice, or not
+at all in one of the others (if every slice exceeded that, the differences
+would add up to more).  Each slice has a vantage-point tree over its own
+Hamming distance: an inner node holds a vantage point and a radius and sends a
+fingerprint inside (distance at most the radius) or outside.  By the triangle
+inequality two fingerprints at most r apart in the slice can only part where
+one of them lies within r of the boundary, so every fingerprint lives in one
+leaf (shard) and also visits the leaves across the boundaries it is that near
+to.  Inside a shard the exact distance over all 64 bits decides.
 
 The trees are fitted on a bounded sample (``SAMPLE`` fingerprints); they only
-choose the shards, so links do not depend on the sample.  Shards larger than
-``BLOCK`` fingerprints are compared block against block in separate tasks.
+choose the shards, so links do not depend on the sample.  Their depth is
+limited, for every level of the first tree adds a third to the visits, so a
+fingerprint is shuffled a bounded number of times whatever the corpus.  Shards
+larger than ``BLOCK`` are compared block against block in separate tasks.
 """
 
 from __future__ import annotations
@@ -27,11 +30,10 @@ from tessera.llm.common import free_name, id_key, id_of, small, text_batches, te
 from tessera.llm.components import connected_components
 from tessera.session import checkpoint
 
-SLICES = 3
 SAMPLE = 16_384         # fingerprints that shape the trees, whatever the corpus
-SHARD = 1_024           # fingerprints a leaf should hold at home
-MAX_DEPTH = 14          # at most 2 ** 14 leaves a slice; larger shards go in blocks
-BLOCK = 8_192           # fingerprints compared with each other in one task
+SHARD = 64              # fingerprints a leaf should hold at home ...
+DEPTHS = (12, 10)       # ... as far as the depth goes that a tree with reach 0 and 1 may have
+BLOCK = 1 << 18         # fingerprints (8 bytes each) compared with each other in one task
 HASHES = 1 << 15        # shingles held at once while a fingerprint is summed
 BYTE_BITS = np.arange(256)[:, None] >> np.arange(8) & 1     # the bits of each byte value, lowest first
 
@@ -77,10 +79,11 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 # ---------------------------------------------------------------- vantage-point trees
 
 
-def slice_masks() -> list[int]:
-    """Masks that split the 64 bits into SLICES runs of nearly equal width."""
-    edges = [64 * i // SLICES for i in range(SLICES + 1)]
-    return [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:])]
+def slices(max_bits: int) -> list[tuple[int, int]]:
+    """``(mask, reach)`` of the slices of the 64 bits; the first is half as wide again as the others."""
+    n = max(1, max_bits)
+    edges = [0, *(round(64 * (1.5 + i) / (n + 0.5)) for i in range(n))]
+    return [(((1 << b) - 1) ^ ((1 << a) - 1), min(1, max_bits) if a == 0 else 0) for a, b in zip(edges, edges[1:])]
 
 
 def distance(a: np.ndarray, b) -> np.ndarray:
@@ -158,18 +161,18 @@ def links(distinct: DataFrame, max_bits: int) -> DataFrame:
     """
     spark = distinct.sparkSession
     n = distinct.count()
-    reach = max_bits // SLICES
-    depth = min(MAX_DEPTH, max(0, (n // SHARD).bit_length()))
-    sample = np.array([r[0] for r in distinct.orderBy(F.xxhash64("fp", F.lit("sample")), "fp").limit(SAMPLE).collect()]
-                      if depth else [], np.int64).view(np.uint64)
-    masks = slice_masks()
-    trees = spark.sparkContext.broadcast([fit_tree(sample & np.uint64(m), depth, reach) for m in masks])
+    sample = np.array([r[0] for r in distinct.orderBy(F.xxhash64("fp", F.lit("sample")), "fp").limit(SAMPLE).collect()],
+                      np.int64).view(np.uint64)
+    wanted = max(0, (n // SHARD).bit_length())
+    trees = spark.sparkContext.broadcast([
+        (np.uint64(mask), reach, *fit_tree(sample & np.uint64(mask), min(DEPTHS[reach], wanted), reach))
+        for mask, reach in slices(max_bits)])
 
     def place(batches):
         for batch in batches:
             fp = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            for k, mask in enumerate(masks):
-                row, leaf, home = leaves(fp & np.uint64(mask), *trees.value[k], reach)
+            for k, (mask, reach, points, radii) in enumerate(trees.value):
+                row, leaf, home = leaves(fp & mask, points, radii, reach)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(row), k, np.int32)), pa.array(leaf), pa.array(fp[row].view(np.int64)),
                      pa.array(home)], ["slice", "leaf", "fp", "home"])
@@ -187,7 +190,7 @@ def links(distinct: DataFrame, max_bits: int) -> DataFrame:
     dealt = placed.withColumn("part", part).withColumn("pair", F.explode(pairs)).select(
         "slice", "leaf", "pair.i", "pair.j", "part", "fp", "home")
 
-    def search(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def search(key, rows):
         fp = rows["fp"].to_numpy().view(np.uint64)
         part, home = rows["part"].to_numpy(), rows["home"].to_numpy()
         one = part == key[2]
