@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 NULL_ID = 2 ** 63 - 1       # order key of a null id: after every other id
+SLICE_BYTES = 8 << 20      # text worked on at once
 BROADCAST_ROWS = 50_000     # rows of a few numbers: under 4 MB
 
 
@@ -40,9 +43,21 @@ def text_key(text_col: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")), F.col(text_col).isNull())
 
 
-def text_batches(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[list[list]]:
-    """The named columns of each Arrow batch as Python lists."""
+def bounded(batches: Iterator[pa.RecordBatch], column: int | str) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in slices of about SLICE_BYTES of the text
+    ``column``, so that what a task holds follows a slice (or one text, if that
+    is longer) and not a batch."""
     for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        part = sizes.astype(np.int64).cumsum() // SLICE_BYTES
+        starts = np.flatnonzero(np.diff(part, prepend=-1))
+        for start, end in zip(starts, [*starts[1:], batch.num_rows]):
+            yield batch.slice(start, end - start)
+
+
+def text_batches(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[list[list]]:
+    """The named columns of each slice as Python lists; the text comes last."""
+    for batch in bounded(batches, columns[-1]):
         yield [batch.column(c).to_pylist() for c in columns]
 
 

@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from tessera.llm.common import bounded
+
 SIZE = 300              # grams in a profile
 LONGEST = 3             # letters in a gram at most
 FLUSH = 1_000_000       # distinct grams a task holds before it hands them on
@@ -107,7 +109,7 @@ def train_profiles(docs: DataFrame, *, text_col: str = "text", lang_col: str = "
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(k), pa.string()), pa.array(k), pa.array(c)],
                                                  ["lang", "gram", "n"])
 
-        for batch in batches:
+        for batch in bounded(batches, 0):
             texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             by: dict[str, list[np.ndarray]] = {}
             for text, lang in zip(texts, langs):
@@ -177,7 +179,7 @@ def identify(docs: DataFrame, profiles: Profiles, *, text_col: str = "text", lan
     at = next(i for i, c in enumerate(names) if c.lower() == text_col.lower())
 
     def run(batches):
-        for batch in batches:
+        for batch in bounded(batches, at):
             found = [profiles.classify(t) for t in batch.column(at).to_pylist()]
             columns = [*batch.columns, pa.array([x for x, _ in found], pa.string()),
                        pa.array([s for _, s in found], pa.float64())]

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from tessera.llm.common import free_name, id_key, text_batches, text_key
+from tessera.llm.common import bounded, free_name, id_key, text_batches, text_key
 
 EDGE = 0        # stands for lines before the first and after the last one
 
@@ -138,7 +138,7 @@ def drop_repeated_runs(docs: DataFrame, *, window: int = 3, id_col: str = "doc_i
     schema = StructType(docs.schema.fields + added)
 
     def cut(batches):
-        for batch in batches:
+        for batch in bounded(batches, at):
             texts, begun = batch.column(at).to_pylist(), batch.column(len(names)).to_pylist()
             out = [without_lines(t, s, window) for t, s in zip(texts, begun)]
             columns = [batch.column(k) for k in range(len(names))]

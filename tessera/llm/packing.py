@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.common import id_key, id_of, text_key
+from tessera.llm.common import bounded, id_key, id_of, text_key
 from tessera.llm.word_bpe import Vocabulary
 from tessera.session import checkpoint
 
@@ -78,7 +78,7 @@ def tokenise(docs: DataFrame, vocabulary: Vocabulary, *, end_id: int, id_col: st
     def run(batches):
         bpe = vocabulary.tokenizer()
         end = np.array([end_id], bpe.dtype).tobytes()
-        for batch in batches:
+        for batch in bounded(batches, 2):
             coded = [c + end for c in bpe.encode_all(batch.column(2).to_pylist())]
             ids = [np.frombuffer(c, bpe.dtype) for c in coded]
             yield pa.RecordBatch.from_arrays(
@@ -141,7 +141,7 @@ def pack(docs: DataFrame, vocabulary: Vocabulary, *, length: int = 4096, end_id:
     wide = vocabulary.tokenizer().dtype
 
     def run(batches):
-        for batch in batches:
+        for batch in bounded(batches, 1):
             cols: list[list] = [[] for _ in range(7)]
             for d, raw, copies, at in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 tokens = np.frombuffer(raw, wide).astype("<u4")

@@ -22,6 +22,8 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tokenizers import Regex, normalizers, pre_tokenizers
 
+from tessera.llm.common import bounded
+
 LONG_WORD = 64              # symbols; longer words use the heap
 SCAN_ROWS = 8192            # words scanned together
 GROUP_CHARS = 2_000_000     # characters encoded together
@@ -302,7 +304,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, *, id_col: str = "doc_id", t
     """
     def run(batches):
         bpe = vocabulary.tokenizer()
-        for batch in batches:
+        for batch in bounded(batches, 1):
             coded = bpe.encode_all(batch.column(1).to_pylist())
             ids = [np.frombuffer(c, bpe.dtype).astype(np.int32) for c in coded]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["id", "ids"])
@@ -332,7 +334,7 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary, *, id_col: str = "doc_id
     between.  Same rules for nulls, empty texts and repeated rows."""
     def run(batches):
         bpe = vocabulary.tokenizer()
-        for batch in batches:
+        for batch in bounded(batches, 1):
             n, coded, decoded = [], [], []
             for c in bpe.encode_all(batch.column(1).to_pylist()):
                 ids = np.frombuffer(c, bpe.dtype)
