@@ -18,7 +18,8 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from tessera.llm.common import free_name, id_key, text_batches, text_key
+from tessera.llm.common import bounded, free_name, id_key, text_batches, text_key
+from tessera.session import checkpoint
 
 GEAR_BYTES = 8          # bytes that a gear hash looks back on
 SPREAD = 2              # a boundary is the largest among this many words on either side
@@ -94,8 +95,10 @@ def repeated_chunks(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     Rows that share id and text are one document."""
     table = chunk_table(docs, id_col, text_col)
     place = F.struct("d", "h", "at")
-    firsts = table.groupBy("digest").agg(F.min(place).alias("low"), F.max(place).alias("high")).where(
-        "low <> high").select("digest", "low")
+    # Stored, so that both sides of the join are plain exchanges and Spark can
+    # split a digest that a third of all documents share.
+    firsts = checkpoint(table.groupBy("digest").agg(F.min(place).alias("low"), F.count("*").alias("n"))
+                        .where("n > 1").select("digest", "low"))
     return table.join(firsts, "digest").where("struct(d, h, at) > low").select("d", "h", "at")
 
 
@@ -124,7 +127,7 @@ def drop_repeated_passages(docs: DataFrame, *, min_words: int = 20, id_col: str
     schema = StructType(docs.schema.fields + added)
 
     def cut(batches):
-        for batch in batches:
+        for batch in bounded(batches, at):
             texts, found = batch.column(at).to_pylist(), batch.column(len(names)).to_pylist()
             out = [without_chunks(t, f, min_words) for t, f in zip(texts, found)]
             columns = [batch.column(k) for k in range(len(names))]
