@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from tessera.llm.common import bounded, free_name, id_key, text_batches, text_key
+from tessera.session import checkpoint
 
 EDGE = 0        # stands for lines before the first and after the last one
 
@@ -93,25 +94,26 @@ def _extent(window: int) -> Column:
 
 def repeated_windows(docs: DataFrame, *, window: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(d, h, start)``: every window of lines that equals an earlier one."""
-    marks = fingerprints(docs, window, id_col, text_col)
+    marks = checkpoint(fingerprints(docs, window, id_col, text_col))
     place = F.struct("d", "h", "pos", "around")
-    firsts = (marks.groupBy("fp").agg(F.min(place).alias("f"), F.count("*").alias("n"))
-              .where("n > 1").select("fp", "f"))
+    # The first positions are stored, so that both sides of the join are plain
+    # exchanges and Spark can split a fingerprint that a third of all lines share.
+    firsts = checkpoint(marks.groupBy("fp").agg(F.min(place).alias("f"), F.count("*").alias("n"))
+                        .where("n > 1").select("fp", "f"))
     later = (marks.join(firsts, "fp")
              .where("struct(d, h, pos) > struct(f.d, f.h, f.pos)")
              .withColumn("extent", _extent(window))
              .withColumn("start", F.explode(F.sequence("first", "last"))))
     whole = (F.col("pos") - F.col("start") <= F.col("extent.left")) & (
         F.col("start") + F.lit(window - 1) - F.col("pos") <= F.col("extent.right"))
-    later = later.withColumn("whole", whole)
-    matched = later.where("whole").select("d", "h", "start")
     # windows unlike the first position's: equal windows among them share the hash of all their lines
     lines = F.slice("around", F.col("start") - F.col("pos") + F.lit(window), F.lit(window))
-    rest = later.where("not whole").select("d", "h", "start", F.xxhash64(lines, F.col("fp")).alias("w"))
-    rest_first = (rest.groupBy("w").agg(F.min(F.struct("d", "h", "start")).alias("f"), F.count("*").alias("n"))
-                  .where("n > 1").select("w", "f"))
-    rest = rest.join(rest_first, "w").where("struct(d, h, start) > f").select("d", "h", "start")
-    return matched.union(rest)
+    later = checkpoint(later.select("d", "h", "start", F.when(~whole, F.xxhash64(lines, F.col("fp"))).alias("w")))
+    matched = later.where("w is null").select("d", "h", "start")
+    rest = later.where("w is not null")
+    rest_first = checkpoint(rest.groupBy("w").agg(F.min(F.struct("d", "h", "start")).alias("f"), F.count("*").alias("n"))
+                            .where("n > 1").select("w", "f"))
+    return matched.union(rest.join(rest_first, "w").where("struct(d, h, start) > f").select("d", "h", "start"))
 
 
 def drop_repeated_runs(docs: DataFrame, *, window: int = 3, id_col: str = "doc_id", text_col: str = "text",
