@@ -95,11 +95,14 @@ def repeated_chunks(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     Rows that share id and text are one document."""
     table = chunk_table(docs, id_col, text_col)
     place = F.struct("d", "h", "at")
-    # Stored, so that both sides of the join are plain exchanges and Spark can
-    # split a digest that a third of all documents share.
-    firsts = checkpoint(table.groupBy("digest").agg(F.min(place).alias("low"), F.count("*").alias("n"))
-                        .where("n > 1").select("digest", "low"))
-    return table.join(firsts, "digest").where("struct(d, h, at) > low").select("d", "h", "at")
+    # Repeated digests are counted first (a number per digest and task is shuffled),
+    # and places are compared only among these.  Both tables are stored, so that
+    # either join is between plain exchanges and Spark can split a digest that a
+    # third of all documents share.
+    repeated = checkpoint(table.groupBy("digest").count().where("count > 1").select("digest"))
+    hits = checkpoint(table.join(repeated, "digest"))
+    firsts = checkpoint(hits.groupBy("digest").agg(F.min(place).alias("low")))
+    return hits.join(firsts, "digest").where("struct(d, h, at) > low").select("d", "h", "at")
 
 
 def drop_repeated_passages(docs: DataFrame, *, min_words: int = 20, id_col: str = "doc_id", text_col: str = "text",
