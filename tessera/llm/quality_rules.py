@@ -101,7 +101,8 @@ def host_verdicts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     measured = measure(docs, text_col=text_col, keep=[F.col(id_col).alias("_id"), F.col(host_col).alias("_host")])
     judged = checkpoint(measured.withColumn("base_failed", failed))
-    hosts = host_rates(judged, "_host", "base_failed").select(F.col("_host").alias("_h"), "shrunk_rate")
+    # stored, so that Spark knows its size: broadcast if small, else a join of plain exchanges that splits a hot host
+    hosts = checkpoint(host_rates(judged, "_host", "base_failed").select(F.col("_host").alias("_h"), "shrunk_rate"))
     out = judged.join(hosts, F.col("_host").eqNullSafe(F.col("_h")))
     return out.select(F.col("_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", F.round("shrunk_rate", 9).alias("host_rate"),
