@@ -15,17 +15,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
     are allowed; no edges give no rows.
 
     Each round is a pre-aggregated minimum per node and a join on the node, so
-    a hub's edges are never collected; the rounds' results are checkpointed.
+    a hub's edges are never collected; the minima are stored, which makes the
+    join one of plain exchanges whose hubs Spark can split.
     """
     edges = checkpoint(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     own = edges.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     edges = edges.where("u <> v")
+    before = None
     for _ in range(MAX_ROUNDS):
-        before = _state(edges)
-        edges = _small_star(_large_star(edges))
-        edges = checkpoint(edges)
-        if _state(edges) == before:
+        edges = checkpoint(_small_star(_large_star(edges)))
+        now = _state(edges)
+        if now == before or now[0] == 0:
             break
+        before = now
     else:
         raise RuntimeError("connected_components did not settle")
     return own.join(edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")), "node", "left").select(
@@ -39,15 +41,15 @@ def _state(edges: DataFrame):
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Every neighbour above a node hangs on the node's smallest neighbour or itself."""
+    """Every neighbour above a node hangs on the node's smallest neighbour or itself.  May repeat edges."""
     around = edges.select(F.col("u").alias("x"), F.col("v").alias("y")).union(edges.select("v", "u"))
-    low = around.groupBy("x").agg(F.min("y").alias("m"))
+    low = checkpoint(around.groupBy("x").agg(F.min("y").alias("m")))
     return (around.where("y > x").join(low, "x")
-            .select(F.col("y").alias("u"), F.least("x", "m").alias("v")).distinct())
+            .select(F.col("y").alias("u"), F.least("x", "m").alias("v")))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours hang on the smallest of them."""
-    low = edges.groupBy("u").agg(F.min("v").alias("m"))
+    low = checkpoint(edges.groupBy("u").agg(F.min("v").alias("m")))
     hung = edges.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return hung.union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()

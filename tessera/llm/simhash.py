@@ -197,7 +197,10 @@ def links(distinct: DataFrame, max_bits: int) -> DataFrame:
         a, b = _shard_links(fp, home, [one, one if key[2] == key[3] else part == key[3]], max_bits)
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    return dealt.groupBy("slice", "leaf", "i", "j").applyInPandas(search, "a long, b long").distinct()
+    # by number: the work of a shard is in its comparisons, so small partitions are not to be joined by their bytes
+    key = ["slice", "leaf", "i", "j"]
+    dealt = dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *key)
+    return dealt.groupBy(*key).applyInPandas(search, "a long, b long").distinct()
 
 
 # ---------------------------------------------------------------- documents
@@ -230,7 +233,8 @@ def _classes(docs, id_col, text_col, shingle, max_bits) -> tuple[DataFrame, Data
     group = kinds.join(nodes.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "component", F.coalesce("component", "fp"))
     lowest = group.groupBy("component").agg(F.min("low").alias("low"))
-    return fps, group.select("fp", "component").join(lowest, "component").select("fp", "low")
+    # stored, so that the join on fp is between plain exchanges and a fingerprint of many copies can be split
+    return fps, checkpoint(group.select("fp", "component").join(lowest, "component").select("fp", "low"))
 
 
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
