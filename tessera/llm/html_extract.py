@@ -6,6 +6,7 @@ A page is read as blocks of text, each with the part of the page it stands in:
 streams of a host's pages are concatenated and sorted in a suffix array; runs of
 tokens that neighbouring suffixes share are the host's template if enough
 distinct pages hold them, and what they cover is removed.  The unique runs stay.
+Pages of a host with the same blocks are one page here, however many rows they are.
 
 Pages of a host are compared in shards of about ``SHARD_PAGES`` pages, chosen by
 a hash of the page, so a host with a third of all pages is many small groups.
@@ -17,11 +18,12 @@ import html
 import re
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tessera.llm.common import small
-from tessera.session import checkpoint
+from tessera.llm.common import bounded, small
+from tessera.session import checkpoint, scratch_path
 
 SHARD_PAGES = 128           # pages of a host that are compared with each other
 SHARD_CHARS = 2_000_000     # and their characters
@@ -31,6 +33,7 @@ MAIN_SHARE, MAIN_PAGES = 0.8, 8       # a whole block inside the article is
 LINK_SHARE = 0.6            # an open block with more of its characters in links is a menu
 
 OUT, OPEN, MAIN = 0, 1, 2
+LINKS = 3                   # an open block that is a menu
 
 # Names from HTML and common use.
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "object"}
@@ -225,12 +228,24 @@ def _unique(template: np.ndarray) -> np.ndarray:
     return np.flatnonzero(keep)
 
 
-def main_texts(pages: list[str | None]) -> list[str]:
-    """Main text of each of a shard's pages."""
-    parsed = [blocks(p) for p in pages]
-    # a page that its classes put aside as a whole, as where they name the layout
-    parsed = [b if any(z != OUT for z, _, _ in b) else blocks(p, by_class=False) for b, p in zip(parsed, pages)]
-    words = [[b[1].split(" ") for b in page] for page in parsed]
+def layout(page: str | None) -> tuple[bytes, str]:
+    """A page's blocks: a byte per block for its zone, and the texts joined by line feeds."""
+    found = blocks(page)
+    if all(z == OUT for z, _, _ in found):      # a page that its classes put aside as a whole, as where they name the layout
+        found = blocks(page, by_class=False)
+    return (bytes(LINKS if z == OPEN and linked > LINK_SHARE else z for z, _, linked in found),
+            "\n".join([text for _, text, _ in found]))
+
+
+def page_key(page: tuple[bytes, str]) -> bytes:
+    """Digest of a page's blocks."""
+    zones, text = page
+    return xxhash.xxh3_128_digest(len(zones).to_bytes(8, "big") + zones + text.encode("utf-8", "surrogatepass"))
+
+
+def shard_texts(pages: list[tuple[bytes, str]]) -> list[str]:
+    """Main text of each of a shard's pages, which are distinct."""
+    words = [[b.split(" ") for b in text.split("\n")] if zones else [] for zones, text in pages]
     size = [sum(map(len, page)) for page in words]
     known: dict[str, int] = {}
     tokens = np.array([known.setdefault(w, len(known)) for page in words for b in page for w in b], np.int64)
@@ -238,16 +253,16 @@ def main_texts(pages: list[str | None]) -> list[str]:
     template = covered(counts, max(OPEN_PAGES, OPEN_SHARE * len(pages)), MIN_RUN)
     always = covered(counts, max(MAIN_PAGES, MAIN_SHARE * len(pages)), MIN_RUN)
     out, at = [], 0
-    for page, page_words in zip(parsed, words):
-        has_main = any(z == MAIN for z, _, _ in page)
+    for (zones, _), page_words in zip(pages, words):
+        has_main = MAIN in zones
         kept = []
-        for (zone, text, linked), ws in zip(page, page_words):
+        for zone, ws in zip(zones, page_words):
             span = slice(at, at + len(ws))
             at += len(ws)
             if zone == MAIN:
                 if not always[span].all():
-                    kept.append(text)
-            elif zone == OPEN and not has_main and linked <= LINK_SHARE:
+                    kept.append(" ".join(ws))
+            elif zone == OPEN and not has_main:
                 unique = _unique(template[span])
                 if len(unique):
                     kept.append(" ".join([ws[i] for i in unique]))
@@ -255,6 +270,49 @@ def main_texts(pages: list[str | None]) -> list[str]:
     return out
 
 
+def main_texts(pages: list[str | None]) -> list[str]:
+    """Main text of each of a shard's pages; equal ones are one page."""
+    read = [layout(p) for p in pages]
+    distinct = list(dict.fromkeys(read))
+    texts = dict(zip(distinct, shard_texts(distinct)))
+    return [texts[p] for p in read]
+
+
+def _read(batches):
+    """Pages with their blocks and the digest of these; the blocks only where a
+    task meets them first on the host."""
+    seen: set[tuple[str, bytes]] = set()
+    for batch in bounded(batches, "h"):
+        read = [layout(p) for p in batch.column("h").to_pylist()]
+        keys = [page_key(p) for p in read]
+        fresh = []
+        for place in zip(batch.column("host").to_pylist(), keys):
+            fresh.append(place not in seen)
+            seen.add(place)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("i"), batch.column("u"), batch.column("host"), pa.array(keys, pa.binary()),
+             pa.array([z if new else None for (z, _), new in zip(read, fresh)], pa.binary()),
+             pa.array([t if new else None for (_, t), new in zip(read, fresh)], pa.string())],
+            ["i", "u", "host", "key", "zones", "blocks"])
+
+
+def _groups(batches):
+    """``(host, shard, keys, pages)`` of each shard from rows sorted by host, shard and key; equal pages once."""
+    of, keys, pages = None, [], []
+    for batch in batches:
+        for host, shard, key, zones, text in zip(*(batch.column(c).to_pylist() for c in
+                                                   ("host", "shard", "key", "zones", "blocks"))):
+            if (host, shard) != of:
+                if keys:
+                    yield *of, keys, pages
+                of, keys, pages = (host, shard), [], []
+            if not keys or keys[-1] != key:
+                keys.append(key)
+                pages.append((zones, text))
+    if keys:
+        yield *of, keys, pages
+
+
 def extract(pages: DataFrame, host: Column, *, id_col: str = "page_id", url_col: str = "url",
             html_col: str = "html") -> DataFrame:
     """``(id, url, text, n_chars)`` per row of ``pages``.
@@ -262,24 +320,35 @@ def extract(pages: DataFrame, host: Column, *, id_col: str = "page_id", url_col:
     Blocks are joined by one line feed.  Blocks inside ``article`` or ``main``
     are the main text; a block of it goes only if template runs, on nearly all
     pages of its shard, cover it whole.  Pages without such an element keep the
-    unique runs of their open blocks.  A null or empty page, or one without main
-    text, has an empty text.  Pages with a null host are one host; repeated rows
-    give repeated rows; an empty table gives none.
+    unique runs of their open blocks.  A page that a host holds several times,
+    block by block, counts once and gives the same text each time.  A null or
+    empty page, or one without main text, has an empty text.  Pages with a null
+    host are one host; repeated rows give repeated rows; an empty table gives none.
     """
+    spark = pages.sparkSession
     rows = pages.select(F.col(id_col).alias("i"), F.col(url_col).alias("u"), F.col(html_col).alias("h"),
                         F.coalesce(host, F.lit("")).alias("host"))
-    sizes = rows.groupBy("host").agg(F.count("*").alias("n"), F.sum(F.coalesce(F.length("h"), F.lit(0))).alias("c"))
+    id_kind = pages.schema[id_col].dataType.simpleString()
+    path = scratch_path(spark, "html-pages")        # read once; compressed, unlike a checkpoint
+    rows.mapInArrow(_read, f"i {id_kind}, u string, host string, key binary, zones binary, blocks string").write.parquet(path)
+    read = spark.read.parquet(path)
+    fresh = read.where("zones is not null")         # each host's distinct pages, once a task
+    sizes = (fresh.select("host", "key", F.length("blocks").alias("c")).distinct()
+             .groupBy("host").agg(F.count("*").alias("n"), F.sum("c").alias("c")))
     shards = F.greatest(F.ceil(F.col("n") / SHARD_PAGES), F.ceil(F.col("c") / SHARD_CHARS)).cast("int")
     large = checkpoint(sizes.select("host", shards.alias("shards")).where("shards > 1"))
-    dealt = rows.join(small(large), "host", "left").withColumn(
-        "shard", F.pmod(F.xxhash64("i", "u"), F.coalesce("shards", F.lit(1))))
-    id_kind = pages.schema[id_col].dataType.simpleString()
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        texts = main_texts([h if isinstance(h, str) else None for h in group["h"]])
-        return pd.DataFrame({"i": group["i"], "u": group["u"], "text": texts,
-                             "n_chars": np.array([len(t) for t in texts], np.int64)})
-
-    out = dealt.select("i", "u", "h", "host", "shard").groupBy("host", "shard").applyInPandas(
-        run, f"i {id_kind}, u string, text string, n_chars long")
-    return out.select(F.col("i").alias(id_col), F.col("u").alias(url_col), "text", "n_chars")
+    dealt = (fresh.join(small(large), "host", "left")
+             .withColumn("shard", F.pmod(F.xxhash64("key"), F.coalesce("shards", F.lit(1))))
+             .select("host", "shard", "key", "zones", "blocks")
+             .repartition("host", "shard").sortWithinPartitions("host", "shard", "key"))
+
+    def run(batches):
+        for host, _, keys, found in _groups(batches):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([host] * len(keys), pa.string()), pa.array(keys, pa.binary()),
+                 pa.array(shard_texts(found), pa.string())], ["host", "key", "text"])
+
+    texts = dealt.mapInArrow(run, "host string, key binary, text string")
+    out = read.select("i", "u", "host", "key").join(texts, ["host", "key"])
+    return out.select(F.col("i").alias(id_col), F.col("u").alias(url_col), "text",
+                      F.length("text").cast("long").alias("n_chars"))

@@ -74,3 +74,19 @@ def test_large_hosts_are_cut_into_shards(spark, monkeypatch):
                                   "page_id long, url string, html string")
     got = {r.page_id: r.text for r in H.extract(pages, host_of(F.col("url"))).collect()}
     assert got == {i: f"text {i}" for i in range(40)}
+
+
+def test_copies_of_a_page_are_one_page(spark):
+    """Rows that repeat a page, and a host that is nearly all copies, keep their text."""
+    text = "the only story that this host has ever told to any of its readers"
+    for n in (8, 200):
+        for page in (f"<article><p>{text}</p></article>", f"<div>{text}</div>"):
+            assert H.main_texts([page] * n) == [text] * n
+    others = [f"<div>story {i} is " + " ".join(f"w{i}x{k}" for k in range(12)) + "</div>" for i in range(3)]
+    rows = ([(1, "http://a.com/1", f"<article><p>{text}</p></article>")] * 200 + [(2, "http://b.com/2", f"<div>{text}</div>")] * 8
+            + [(k, f"http://c.com/{k}", f"<div>{text}</div>") for k in range(10, 50)]
+            + [(k, f"http://c.com/{k}", page) for k, page in enumerate(others)])
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = sorted((r.page_id, r.url, r.text, r.n_chars) for r in H.extract(pages, host_of(F.col("url"))).collect())
+    plain = [H.blocks(r[2])[0][1] for r in rows]
+    assert got == sorted((r[0], r[1], t, len(t)) for r, t in zip(rows, plain))
