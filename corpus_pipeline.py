@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessera.llm import lang_id, line_dedup, packing, simhash, substring_dedup
-from tessera.llm.queries import END_ID, LINE_WINDOW, PASSAGE_WORDS, SEQUENCE, vocabulary
+from tessera.llm.queries import END_ID, LINE_WINDOW, LINE_WORDS, PASSAGE_WORDS, SEQUENCE, vocabulary
 from tessera.session import load, scratch_path
 
 MIN_SCORE = 0.1         # a text whose profile is farther from every language's is in none of them
@@ -37,7 +37,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents less the runs of lines that occur earlier; a document that loses all its lines goes."""
-    out = _measured(line_dedup.drop_repeated_runs(docs, window=LINE_WINDOW))
+    out = _measured(line_dedup.drop_repeated_runs(docs, window=LINE_WINDOW, long_words=LINE_WORDS))
     return out.where("trim(text) <> ''")
 
 

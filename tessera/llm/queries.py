@@ -15,6 +15,7 @@ from tessera.session import load
 
 VOCABULARY = "word_bpe_49k.json"
 LINE_WINDOW = 3             # lines a repeated run has at least
+LINE_WORDS = 50             # ... or words it has more than
 PASSAGE_WORDS = 20          # words a repeated passage has at least, whole chunks only
 END_ID, SEQUENCE = 2, 4096
 
@@ -25,7 +26,7 @@ def vocabulary(spark: SparkSession) -> word_bpe.Vocabulary:
 
 def op1_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     docs = load(spark, d, "documents").select("doc_id", "text")
-    out = line_dedup.drop_repeated_runs(docs, window=LINE_WINDOW, removed_col="removed_lines")
+    out = line_dedup.drop_repeated_runs(docs, window=LINE_WINDOW, long_words=LINE_WORDS, removed_col="removed_lines")
     return out.withColumn("n_removed", F.size("removed_lines").cast("long"))
 
 
