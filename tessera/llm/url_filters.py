@@ -46,6 +46,12 @@ def _lookup_keys(host: Column, path: Column) -> Column:
         F.concat(F.array(F.concat(F.lit("host:"), host)), domains, paths))
 
 
+def _pattern_key() -> Column:
+    """A pattern as the lookup keys have it: hosts in lower case, a path as it is written."""
+    host, rest = (F.regexp_extract("pattern", "(?s)^([^/]*)(.*)$", k) for k in (1, 2))
+    return F.when(F.col("kind") == "path", F.concat(F.lower(host), rest)).otherwise(F.lower("pattern"))
+
+
 def validity_intervals(entries: DataFrame) -> DataFrame:
     """``(key, category, valid_from, valid_to)`` from the log ``entries(kind,
     pattern, category, action, at)``: from an ``add`` up to the next entry of
@@ -54,10 +60,10 @@ def validity_intervals(entries: DataFrame) -> DataFrame:
     Of several entries at the same time a ``remove`` counts.  An ``add`` while
     active goes on; a ``remove`` while inactive does nothing.  Entries with a
     null in kind, pattern, action or time are void; a null category is the
-    category ``''``.
+    category ``''``.  Hosts have no case, paths have.
     """
     log = entries.where("kind is not null and pattern is not null and action is not null and at is not null").select(
-        F.concat_ws(":", "kind", F.lower("pattern")).alias("key"), F.coalesce("category", F.lit("")).alias("category"),
+        F.concat_ws(":", "kind", _pattern_key()).alias("key"), F.coalesce("category", F.lit("")).alias("category"),
         "at", (F.col("action") == "add").alias("adds"))
     once = log.groupBy("key", "category", "at").agg(F.min("adds").alias("adds"))
     turn = Window.partitionBy("key", "category").orderBy("at")

@@ -37,3 +37,13 @@ def test_as_of_join(spark):
     assert url_filters.filter_urls(caps.limit(0), log, id_cols=["page_id"]).count() == 0
     assert url_filters.filter_urls(caps, log.limit(0), id_cols=["page_id"]).where("blocked").count() == 0
     assert not re.search("Python|Pandas|Arrow|Cartesian", out._jdf.queryExecution().toString())
+
+
+def test_paths_keep_their_case(spark):
+    log = entries(spark, [("path", "OK.org/News", "spam", "add", D(2024, 1, 1)), ("path", "ok.org/news", "adult", "add", D(2024, 2, 1)),
+                          ("path", "ok.org/news", "adult", "remove", D(2024, 3, 1))])
+    rows = [(1, "http://ok.ORG/News/a", D(2024, 4, 1)), (2, "http://ok.org/news", D(2024, 2, 5)), (3, "http://ok.org/news", D(2024, 4, 1)),
+            (4, "http://ok.org/NEWS", D(2024, 2, 5))]
+    caps = spark.createDataFrame(rows, "page_id long, url string, fetched_at timestamp")
+    got = {r.page_id: r.categories for r in url_filters.filter_urls(caps, log, id_cols=["page_id"]).collect()}
+    assert got == {1: "spam", 2: "adult", 3: "", 4: ""}
