@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SLICE_DAYS = 32
 FOREVER = "9999-12-31 00:00:00"
-MAX_LEVELS = 8          # labels of a host and segments of a path that are looked up, counted from the registry end / the root
 
 # The parts of a URL.
 HOST_PATTERN = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
@@ -33,14 +32,29 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), PATH_PATTERN, 1)
 
 
-def _lookup_keys(host: Column, path: Column) -> Column:
+def _segments(path: Column) -> Column:
+    return F.filter(F.split(path, "/"), lambda p: p != "")
+
+
+def _depths(entries: DataFrame) -> DataFrame:
+    """One row: the most labels of a listed domain and the most segments of a listed path, its host included."""
+    def most(kind: str, levels: Column) -> Column:
+        return F.coalesce(F.max(F.when(F.col("kind") == kind, levels)), F.lit(0))
+
+    return entries.agg(most("domain", F.size(F.split("pattern", r"\."))).alias("labels"),
+                       most("path", F.size(_segments(F.col("pattern")))).alias("segments"))
+
+
+def _lookup_keys(host: Column, path: Column, most_labels: Column, most_segments: Column) -> Column:
     """Keys under which a capture can be listed: its host, the domains above
-    it, and every leading run of its path's segments."""
-    labels = F.split(host, r"\.")
-    domains = F.transform(F.sequence(F.lit(1), F.least(F.size(labels), F.lit(MAX_LEVELS))), lambda n: F.concat(
-        F.lit("domain:"), F.array_join(F.slice(labels, -n, n), ".")))
-    parts = F.filter(F.split(path, "/"), lambda p: p != "")
-    paths = F.transform(F.filter(F.sequence(F.lit(0), F.least(F.size(parts), F.lit(MAX_LEVELS))), lambda n: n > 0),
+    it, and every leading run of its path's segments, as deep as the list goes."""
+    def upto(n: Column) -> Column:
+        return F.filter(F.sequence(F.lit(0), n), lambda k: k > 0)
+
+    labels, parts = F.split(host, r"\."), _segments(path)
+    domains = F.transform(upto(F.least(F.size(labels), most_labels)),
+                          lambda n: F.concat(F.lit("domain:"), F.array_join(F.slice(labels, -n, n), ".")))
+    paths = F.transform(upto(F.least(F.size(parts), most_segments)),
                         lambda n: F.concat(F.lit("path:"), host, F.lit("/"), F.array_join(F.slice(parts, 1, n), "/")))
     return F.when(host == "", F.array().cast("array<string>")).otherwise(
         F.concat(F.array(F.concat(F.lit("host:"), host)), domains, paths))
@@ -85,12 +99,13 @@ def filter_urls(captures: DataFrame, entries: DataFrame, *, url_col: str = "url"
     A null or hostless URL or a null time matches nothing.  Captures are rows:
     repeated ones count each, as long as they are equal in ``id_cols``, URL and
     time they give equal rows.  Empty lists block nothing; empty captures give
-    no rows.
+    no rows.  Hosts and paths are looked up to the depth of the deepest entry.
     """
     cap = captures.select(*[F.col(c).alias(f"_id{i}") for i, c in enumerate(id_cols)],
                           F.col(url_col).alias("_url"), F.col(time_col).alias("_at"))
     distinct = cap.select("_url", "_at").where("_url is not null and _at is not null").distinct()
-    keyed = distinct.withColumn("key", F.explode(_lookup_keys(host_of(F.col("_url")), path_of(F.col("_url")))))
+    keyed = distinct.join(F.broadcast(_depths(entries))).select("_url", "_at", F.explode(_lookup_keys(     # one row
+        host_of(F.col("_url")), path_of(F.col("_url")), F.col("labels"), F.col("segments"))).alias("key"))
     # intervals end with the last capture, so the slices of one without an end stay few
     span = cap.agg(F.min("_at").alias("lo"), F.max("_at").alias("hi"))
     listed = (validity_intervals(entries).join(F.broadcast(span))       # one row

@@ -47,3 +47,16 @@ def test_paths_keep_their_case(spark):
     caps = spark.createDataFrame(rows, "page_id long, url string, fetched_at timestamp")
     got = {r.page_id: r.categories for r in url_filters.filter_urls(caps, log, id_cols=["page_id"]).collect()}
     assert got == {1: "spam", 2: "adult", 3: "", 4: ""}
+
+
+def test_deep_entries(spark):
+    deep, path = ".".join("abcdefghijkl"), "/".join("abcdefghijklmnop")
+    log = entries(spark, [("domain", deep, "spam", "add", D(2024, 1, 1)), ("path", f"ok.org/{path}", "adult", "add", D(2024, 1, 1))])
+    rows = [(1, f"http://www.{deep}/x", D(2024, 2, 1)), (2, f"http://{deep[2:]}/x", D(2024, 2, 1)),
+            (3, f"http://ok.org/{path}/q/r", D(2024, 2, 1)), (4, f"http://ok.org/{path[:-2]}", D(2024, 2, 1))]
+    caps = spark.createDataFrame(rows, "page_id long, url string, fetched_at timestamp")
+    got = {r.page_id: r.categories for r in url_filters.filter_urls(caps, log, id_cols=["page_id"]).collect()}
+    assert got == {1: "spam", 2: "", 3: "adult", 4: ""}
+    hosts = log.where("kind = 'path'").selectExpr("'host' as kind", "'ok.org' as pattern", "category", "action", "at")
+    got = {r.page_id: r.categories for r in url_filters.filter_urls(caps, hosts, id_cols=["page_id"]).collect()}
+    assert got == {1: "", 2: "", 3: "adult", 4: "adult"}
