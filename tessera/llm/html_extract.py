@@ -8,8 +8,11 @@ tokens that neighbouring suffixes share are the host's template if enough
 distinct pages hold them, and what they cover is removed.  The unique runs stay.
 Pages of a host with the same blocks are one page here, however many rows they are.
 
-Pages of a host are compared in shards of about ``SHARD_PAGES`` pages, chosen by
+Suffix arrays are over shards of about ``SHARD_PAGES`` pages of a host, chosen by
 a hash of the page, so a host with a third of all pages is many small groups.
+The pages that hold a run are counted over the whole host: a run on a share of
+the host's pages is on that share of some shard's pages, so the runs that are
+frequent in a shard are the only ones to sum over all shards, by their hash.
 """
 
 from __future__ import annotations
@@ -25,13 +28,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tessera.llm.common import bounded, small
 from tessera.session import checkpoint, scratch_path
 
-SHARD_PAGES = 128           # pages of a host that are compared with each other
+SHARD_PAGES = 128           # pages of a host in one suffix array
 SHARD_CHARS = 2_000_000     # and their characters
 MIN_RUN = 8                 # tokens a template run has at least
-OPEN_SHARE, OPEN_PAGES = 0.2, 3       # of a shard's pages: a run outside the article is template
+OPEN_SHARE, OPEN_PAGES = 0.2, 3       # of a host's pages: a run outside the article is template
 MAIN_SHARE, MAIN_PAGES = 0.8, 8       # a whole block inside the article is
+RUN_ROWS = 100_000          # runs handed over at once
 LINK_SHARE = 0.6            # an open block with more of its characters in links is a menu
 
+MIX = np.uint64(0x9E3779B97F4A7C15)
+
 OUT, OPEN, MAIN = 0, 1, 2
 LINKS = 3                   # an open block that is a menu
 
@@ -243,74 +249,176 @@ def page_key(page: tuple[bytes, str]) -> bytes:
     return xxhash.xxh3_128_digest(len(zones).to_bytes(8, "big") + zones + text.encode("utf-8", "surrogatepass"))
 
 
-def shard_texts(pages: list[tuple[bytes, str]]) -> list[str]:
-    """Main text of each of a shard's pages, which are distinct."""
-    words = [[b.split(" ") for b in text.split("\n")] if zones else [] for zones, text in pages]
-    size = [sum(map(len, page)) for page in words]
-    known: dict[str, int] = {}
-    tokens = np.array([known.setdefault(w, len(known)) for page in words for b in page for w in b], np.int64)
-    counts = pages_per_run(tokens, np.repeat(np.arange(len(pages)), size), MIN_RUN)
-    template = covered(counts, max(OPEN_PAGES, OPEN_SHARE * len(pages)), MIN_RUN)
-    always = covered(counts, max(MAIN_PAGES, MAIN_SHARE * len(pages)), MIN_RUN)
-    out, at = [], 0
-    for (zones, _), page_words in zip(pages, words):
-        has_main = MAIN in zones
-        kept = []
-        for zone, ws in zip(zones, page_words):
-            span = slice(at, at + len(ws))
-            at += len(ws)
-            if zone == MAIN:
-                if not always[span].all():
-                    kept.append(" ".join(ws))
-            elif zone == OPEN and not has_main:
-                unique = _unique(template[span])
-                if len(unique):
-                    kept.append(" ".join([ws[i] for i in unique]))
-        out.append("\n".join(kept))
-    return out
+class Streams:
+    """Token streams of distinct pages of one host."""
+
+    def __init__(self, pages: list[tuple[bytes, str]]):
+        self.pages = pages
+        self.words = [[b.split(" ") for b in text.split("\n")] if zones else [] for zones, text in pages]
+        known: dict[str, int] = {}
+        self.tokens = np.array([known.setdefault(w, len(known)) for page in self.words for b in page for w in b], np.int64)
+        self.page = np.repeat(np.arange(len(pages)), [sum(map(len, page)) for page in self.words])
+        self.known = known
+
+    def counts(self) -> np.ndarray:
+        return pages_per_run(self.tokens, self.page, MIN_RUN)
+
+    def runs(self, host: str) -> tuple[np.ndarray, np.ndarray]:
+        """``(position, hash)`` of every run, the hash one of the host and the run's words."""
+        starts = max(0, len(self.tokens) - MIN_RUN + 1)
+        of_word = np.array([xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in self.known], np.uint64)
+        keys = np.full(starts, xxhash.xxh3_64_intdigest(host.encode("utf-8", "surrogatepass")), np.uint64)
+        for k in range(MIN_RUN if starts else 0):
+            keys = keys * MIX + of_word[self.tokens[k:k + starts]]
+        at = np.flatnonzero(self.page[:starts] == self.page[MIN_RUN - 1:]) if starts else np.empty(0, np.int64)
+        return at, keys[at].view(np.int64)
+
+    def listed(self, host: str, runs: np.ndarray) -> np.ndarray:
+        """1 where a run of the sorted ``runs`` begins, else 0."""
+        out = np.zeros(len(self.tokens), np.int64)
+        if len(runs):
+            at, keys = self.runs(host)
+            out[at] = runs[np.minimum(np.searchsorted(runs, keys), len(runs) - 1)] == keys
+        return out
+
+    def texts(self, template: np.ndarray, always: np.ndarray) -> list[str]:
+        """Main text of each page, given the positions under template runs and
+        under those of nearly all pages."""
+        out, at = [], 0
+        for (zones, _), page_words in zip(self.pages, self.words):
+            has_main = MAIN in zones
+            kept = []
+            for zone, ws in zip(zones, page_words):
+                span = slice(at, at + len(ws))
+                at += len(ws)
+                if zone == MAIN:
+                    if not always[span].all():
+                        kept.append(" ".join(ws))
+                elif zone == OPEN and not has_main:
+                    unique = _unique(template[span])
+                    if len(unique):
+                        kept.append(" ".join([ws[i] for i in unique]))
+            out.append("\n".join(kept))
+        return out
+
+
+def host_texts(pages: list[tuple[bytes, str]]) -> list[str]:
+    """Main text of each of a host's pages, which are distinct and in one shard."""
+    streams = Streams(pages)
+    counts = streams.counts()
+    return streams.texts(covered(counts, max(OPEN_PAGES, OPEN_SHARE * len(pages)), MIN_RUN),
+                         covered(counts, max(MAIN_PAGES, MAIN_SHARE * len(pages)), MIN_RUN))
 
 
 def main_texts(pages: list[str | None]) -> list[str]:
-    """Main text of each of a shard's pages; equal ones are one page."""
+    """Main text of each of a host's pages; equal ones are one page."""
     read = [layout(p) for p in pages]
     distinct = list(dict.fromkeys(read))
-    texts = dict(zip(distinct, shard_texts(distinct)))
+    texts = dict(zip(distinct, host_texts(distinct)))
     return [texts[p] for p in read]
 
 
+def _packed(page: tuple[bytes, str]) -> bytes:
+    zones, text = page
+    raw = len(zones).to_bytes(8, "big") + zones + text.encode("utf-8", "surrogatepass")
+    return len(raw).to_bytes(8, "big") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes) -> tuple[bytes, str]:
+    raw = pa.decompress(packed[8:], decompressed_size=int.from_bytes(packed[:8], "big"), codec="zstd", asbytes=True)
+    n = 8 + int.from_bytes(raw[:8], "big")
+    return raw[8:n], raw[n:].decode("utf-8", "surrogatepass")
+
+
 def _read(batches):
-    """Pages with their blocks and the digest of these; the blocks only where a
-    task meets them first on the host."""
+    """``(host, key, page)``: the digest of a page's blocks and the blocks, where a task meets them first on the host."""
     seen: set[tuple[str, bytes]] = set()
     for batch in bounded(batches, "h"):
-        read = [layout(p) for p in batch.column("h").to_pylist()]
-        keys = [page_key(p) for p in read]
-        fresh = []
-        for place in zip(batch.column("host").to_pylist(), keys):
-            fresh.append(place not in seen)
-            seen.add(place)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("i"), batch.column("u"), batch.column("host"), pa.array(keys, pa.binary()),
-             pa.array([z if new else None for (z, _), new in zip(read, fresh)], pa.binary()),
-             pa.array([t if new else None for (_, t), new in zip(read, fresh)], pa.string())],
-            ["i", "u", "host", "key", "zones", "blocks"])
+        found = []
+        for host, h in zip(batch.column("host").to_pylist(), batch.column("h").to_pylist()):
+            page = layout(h)
+            place = host, page_key(page)
+            if place not in seen:
+                seen.add(place)
+                found.append((*place, _packed(page)))
+        if found:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*found), (pa.string(), pa.binary(), pa.binary()))], ["host", "key", "page"])
 
 
 def _groups(batches):
-    """``(host, shard, keys, pages)`` of each shard from rows sorted by host, shard and key; equal pages once."""
-    of, keys, pages = None, [], []
+    """``(host, shards, pages)`` of each shard from rows sorted by host, shard and key; equal pages once."""
+    of, last, pages = None, None, []
+    for batch in batches:
+        for host, shard, shards, key, page in zip(*(batch.column(c).to_pylist() for c in (
+                "host", "shard", "shards", "key", "page"))):
+            if (host, shard, shards) != of:
+                if pages:
+                    yield of[0], of[2], pages
+                of, last, pages = (host, shard, shards), None, []
+            if key != last:
+                last = key
+                pages.append(page)
+    if pages:
+        yield of[0], of[2], pages
+
+
+COMPARED = {"host": pa.string(), "pages": pa.int64(), "page": pa.binary(), "run": pa.int64(), "n": pa.int64()}
+
+
+def _compare(batches):
+    """Rows of COMPARED, other columns null: ``(host, pages)`` of a shard, ``(host,
+    run, n)`` for the runs on a template's share of its pages, with their number
+    if the host has no other shard; if it has, its pages ``(host, page)``."""
+    def rows(size, **columns):
+        return pa.RecordBatch.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(size, t)
+                                           for c, t in COMPARED.items()], list(COMPARED))
+
+    for host, shards, pages in _groups(batches):
+        yield rows(1, host=[host], pages=[len(pages)])
+        if shards > 1:
+            yield rows(len(pages), host=[host] * len(pages), page=pages)
+        streams = Streams([_unpacked(p) for p in pages])
+        at, runs = streams.runs(host)
+        n = streams.counts()[at]
+        often = n >= min(OPEN_SHARE, MAIN_SHARE) * len(pages) - 1e-9
+        if shards == 1:
+            often &= n >= min(OPEN_PAGES, MAIN_PAGES)
+        runs, first = np.unique(runs[often], return_index=True)
+        n = n[often][first]
+        for k in range(0, len(runs), RUN_ROWS):
+            part = slice(k, k + RUN_ROWS)
+            size = len(runs[part])
+            yield rows(size, host=[host] * size, run=runs[part], **({"n": n[part]} if shards == 1 else {}))
+
+
+def _runs(batches):
+    """Every run of every page, once a page."""
     for batch in batches:
-        for host, shard, key, zones, text in zip(*(batch.column(c).to_pylist() for c in
-                                                   ("host", "shard", "key", "zones", "blocks"))):
-            if (host, shard) != of:
-                if keys:
-                    yield *of, keys, pages
-                of, keys, pages = (host, shard), [], []
-            if not keys or keys[-1] != key:
-                keys.append(key)
-                pages.append((zones, text))
-    if keys:
-        yield *of, keys, pages
+        found, size = [], 0
+        for host, page in zip(batch.column("host").to_pylist(), batch.column("page").to_pylist()):
+            found.append(np.unique(Streams([_unpacked(page)]).runs(host)[1]))
+            size += len(found[-1])
+            if size >= RUN_ROWS:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found))], ["run"])
+                found, size = [], 0
+        if size:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found))], ["run"])
+
+
+def _cut(batches):
+    """``(i, u, text, n_chars)`` from pages with their host's runs ``template`` and ``always``, both sorted."""
+    none = np.empty(0, np.int64)
+    for batch in bounded(batches, "h"):
+        texts = []
+        lists = [batch.column(c) for c in ("template", "always")]
+        for k, (host, h) in enumerate(zip(batch.column("host").to_pylist(), batch.column("h").to_pylist())):
+            streams = Streams([layout(h)])
+            texts += streams.texts(*(covered(streams.listed(
+                host, runs[k].values.to_numpy() if runs[k].is_valid else none), 1, MIN_RUN) for runs in lists))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("i"), batch.column("u"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+            ["i", "u", "text", "n_chars"])
 
 
 def extract(pages: DataFrame, host: Column, *, id_col: str = "page_id", url_col: str = "url",
@@ -319,7 +427,7 @@ def extract(pages: DataFrame, host: Column, *, id_col: str = "page_id", url_col:
 
     Blocks are joined by one line feed.  Blocks inside ``article`` or ``main``
     are the main text; a block of it goes only if template runs, on nearly all
-    pages of its shard, cover it whole.  Pages without such an element keep the
+    pages of its host, cover it whole.  Pages without such an element keep the
     unique runs of their open blocks.  A page that a host holds several times,
     block by block, counts once and gives the same text each time.  A null or
     empty page, or one without main text, has an empty text.  Pages with a null
@@ -329,26 +437,34 @@ def extract(pages: DataFrame, host: Column, *, id_col: str = "page_id", url_col:
     rows = pages.select(F.col(id_col).alias("i"), F.col(url_col).alias("u"), F.col(html_col).alias("h"),
                         F.coalesce(host, F.lit("")).alias("host"))
     id_kind = pages.schema[id_col].dataType.simpleString()
-    path = scratch_path(spark, "html-pages")        # read once; compressed, unlike a checkpoint
-    rows.mapInArrow(_read, f"i {id_kind}, u string, host string, key binary, zones binary, blocks string").write.parquet(path)
-    read = spark.read.parquet(path)
-    fresh = read.where("zones is not null")         # each host's distinct pages, once a task
-    sizes = (fresh.select("host", "key", F.length("blocks").alias("c")).distinct()
+    # Copies are told by their blocks below; the number of shards needs no more than the markup.
+    sizes = (rows.select("host", F.xxhash64("h").alias("k"), F.coalesce(F.length("h"), F.lit(0)).alias("c")).distinct()
              .groupBy("host").agg(F.count("*").alias("n"), F.sum("c").alias("c")))
     shards = F.greatest(F.ceil(F.col("n") / SHARD_PAGES), F.ceil(F.col("c") / SHARD_CHARS)).cast("int")
     large = checkpoint(sizes.select("host", shards.alias("shards")).where("shards > 1"))
-    dealt = (fresh.join(small(large), "host", "left")
-             .withColumn("shard", F.pmod(F.xxhash64("key"), F.coalesce("shards", F.lit(1))))
-             .select("host", "shard", "key", "zones", "blocks")
+    dealt = (rows.select("host", "h").mapInArrow(_read, "host string, key binary, page binary")
+             .join(small(large), "host", "left").withColumn("shards", F.coalesce("shards", F.lit(1)))
+             .withColumn("shard", F.pmod(F.xxhash64("key"), F.col("shards")))
+             .select("host", "shard", "shards", "key", "page")
              .repartition("host", "shard").sortWithinPartitions("host", "shard", "key"))
 
-    def run(batches):
-        for host, _, keys, found in _groups(batches):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([host] * len(keys), pa.string()), pa.array(keys, pa.binary()),
-                 pa.array(shard_texts(found), pa.string())], ["host", "key", "text"])
-
-    texts = dealt.mapInArrow(run, "host string, key binary, text string")
-    out = read.select("i", "u", "host", "key").join(texts, ["host", "key"])
-    return out.select(F.col("i").alias(id_col), F.col("u").alias(url_col), "text",
-                      F.length("text").cast("long").alias("n_chars"))
+    def stored(table: DataFrame, name: str) -> DataFrame:       # as Parquet: compressed, of known size
+        path = scratch_path(spark, name)
+        table.write.parquet(path, compression="zstd")
+        return spark.read.parquet(path)
+
+    compared = stored(dealt.mapInArrow(_compare, "host string, pages long, page binary, run long, n long"), "html-shards")
+    total = compared.where("pages is not null").groupBy("host").agg(F.sum("pages").alias("pages"))
+    listed = compared.where("run is not null")
+    often = checkpoint(listed.where("n is null").select("host", "run").distinct())
+    split = (compared.where("page is not null").select("host", "page").mapInArrow(_runs, "run long")
+             .join(small(often), "run").groupBy("host", "run").agg(F.count("*").alias("n")))
+    template = F.col("n") >= F.greatest(F.lit(OPEN_PAGES), F.lit(OPEN_SHARE) * F.col("pages"))
+    always = F.col("n") >= F.greatest(F.lit(MAIN_PAGES), F.lit(MAIN_SHARE) * F.col("pages"))
+    # a host has no more of these than its mean page has tokens, divided by the share
+    templates = stored(listed.where("n is not null").select("host", "run", "n").union(split).join(total, "host")
+                       .where(template | always).groupBy("host").agg(
+        F.array_sort(F.collect_list(F.when(template, F.col("run")))).alias("template"),
+        F.array_sort(F.collect_list(F.when(always, F.col("run")))).alias("always")), "html-templates")
+    out = rows.join(templates, "host", "left").mapInArrow(_cut, f"i {id_kind}, u string, text string, n_chars long")
+    return out.select(F.col("i").alias(id_col), F.col("u").alias(url_col), "text", "n_chars")

@@ -90,3 +90,28 @@ def test_copies_of_a_page_are_one_page(spark):
     got = sorted((r.page_id, r.url, r.text, r.n_chars) for r in H.extract(pages, host_of(F.col("url"))).collect())
     plain = [H.blocks(r[2])[0][1] for r in rows]
     assert got == sorted((r[0], r[1], t, len(t)) for r, t in zip(rows, plain))
+
+
+def test_runs_are_counted_over_the_whole_host(spark, monkeypatch):
+    """However a host is cut, each page has the text that it has in one piece."""
+    menu = "Start here or look at all of our other pages today"
+    notice = "This section is kept by volunteers who would like your help"         # on a share of the pages at the limit
+    rare = "Only a few of the pages carry this long remark at all"
+    rows = []
+    for i in range(60):
+        body = " ".join(f"w{i}x{k}" for k in range(5 + i % 7))
+        extra = (notice if i < 12 else "") + "</div><div>" + (rare if i >= 50 else "")
+        rows.append((i, f"http://h.com/{i}", f"<div>{menu}</div><div>{extra}</div><div>{body}</div>"))
+    for i in range(60, 90):         # another host, with articles
+        rows.append((i, f"http://g.com/{i}", f"<article><p>{menu}</p><p>{rare if i < 80 else notice}</p><p>no {i}</p></article>"))
+    want = {}
+    for host in ("h", "g"):
+        part = [r for r in rows if r[1].startswith(f"http://{host}")]
+        want.update(zip([r[0] for r in part], H.main_texts([r[2] for r in part])))
+    assert want[0].startswith("w0x0") and rare in want[55] and want[60] == f"{rare}\nno 60"
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    for shard_pages, shard_chars in ((4, 2_000_000), (16, 2_000_000), (128, 200)):
+        monkeypatch.setattr(H, "SHARD_PAGES", shard_pages)
+        monkeypatch.setattr(H, "SHARD_CHARS", shard_chars)
+        got = {r.page_id: r.text for r in H.extract(pages, host_of(F.col("url"))).collect()}
+        assert got == want
