@@ -43,13 +43,13 @@ def text_key(text_col: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")), F.col(text_col).isNull())
 
 
-def bounded(batches: Iterator[pa.RecordBatch], column: int | str) -> Iterator[pa.RecordBatch]:
-    """The rows of ``batches`` in slices of about SLICE_BYTES of the text
+def bounded(batches: Iterator[pa.RecordBatch], column: int | str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in slices of about ``size`` bytes of the text
     ``column``, so that what a task holds follows a slice (or one text, if that
     is longer) and not a batch."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        part = sizes.astype(np.int64).cumsum() // SLICE_BYTES
+        part = sizes.astype(np.int64).cumsum() // size
         starts = np.flatnonzero(np.diff(part, prepend=-1))
         for start, end in zip(starts, [*starts[1:], batch.num_rows]):
             yield batch.slice(start, end - start)

@@ -9,8 +9,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import (html_extract, lang_id, line_dedup, packing, quality_rules, simhash, substring_dedup, topk,
-                         url_filters, word_bpe)
+from tessera.llm import (fill_in_middle, html_extract, lang_id, line_dedup, packing, quality_rules, simhash,
+                         substring_dedup, topk, url_filters, word_bpe)
 from tessera.session import load
 
 VOCABULARY = "word_bpe_49k.json"
@@ -79,12 +79,18 @@ def op10_packing(spark: SparkSession, d: str) -> DataFrame:
     return pieces.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
 
 
+def op11_fill_in_middle(spark: SparkSession, d: str) -> DataFrame:
+    out = fill_in_middle.transform(load(spark, d, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(fill_in_middle.restore(), 256).alias("restored_sha256"))
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_line_dedup, op2_word_bpe, op3_quality_rules, op4_simhash, op5_substring_dedup, op6_topk, op7_url_filters,
-        op8_html_extract, op9_lang_id, op10_packing)}
+        op8_html_extract, op9_lang_id, op10_packing, op11_fill_in_middle)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op3_quality_rules": quality_rules.ORACLE_SQL, "op6_topk": topk.ORACLE_SQL,
-            "op7_url_filters": url_filters.ORACLE_SQL}
+            "op7_url_filters": url_filters.ORACLE_SQL, "op11_fill_in_middle": fill_in_middle.ORACLE_SQL}
