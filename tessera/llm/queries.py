@@ -9,8 +9,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import (fill_in_middle, html_extract, lang_id, line_dedup, packing, quality_rules, simhash,
-                         substring_dedup, topk, url_filters, word_bpe)
+from tessera.llm import (decontaminate, fill_in_middle, html_extract, lang_id, line_dedup, packing, quality_rules,
+                         simhash, substring_dedup, topk, url_filters, word_bpe)
 from tessera.session import load
 
 VOCABULARY = "word_bpe_49k.json"
@@ -85,12 +85,21 @@ def op11_fill_in_middle(spark: SparkSession, d: str) -> DataFrame:
                       F.sha2(fill_in_middle.restore(), 256).alias("restored_sha256"))
 
 
+def op12_decontaminate(spark: SparkSession, d: str) -> DataFrame:
+    benchmark = decontaminate.Benchmark(load(spark, d, "benchmark").select("item_id", "text"))
+    out = decontaminate.find(load(spark, d, "documents").select("doc_id", "text"), benchmark)
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                      (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_line_dedup, op2_word_bpe, op3_quality_rules, op4_simhash, op5_substring_dedup, op6_topk, op7_url_filters,
-        op8_html_extract, op9_lang_id, op10_packing, op11_fill_in_middle)}
+        op8_html_extract, op9_lang_id, op10_packing, op11_fill_in_middle, op12_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op3_quality_rules": quality_rules.ORACLE_SQL, "op6_topk": topk.ORACLE_SQL,
-            "op7_url_filters": url_filters.ORACLE_SQL, "op11_fill_in_middle": fill_in_middle.ORACLE_SQL}
+            "op7_url_filters": url_filters.ORACLE_SQL, "op11_fill_in_middle": fill_in_middle.ORACLE_SQL,
+            "op12_decontaminate": decontaminate.ORACLE_SQL}
