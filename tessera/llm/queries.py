@@ -10,10 +10,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessera.llm import (decontaminate, fill_in_middle, html_extract, lang_id, line_dedup, packing, quality_rules,
-                         simhash, substring_dedup, topk, url_filters, word_bpe)
+                         simhash, substring_dedup, token_alignment, topk, url_filters, word_bpe)
 from tessera.session import load
 
 VOCABULARY = "word_bpe_49k.json"
+ALIGNED = "byte_bpe_50k.json", "piece_bpe_32k.model"
 LINE_WINDOW = 3             # lines a repeated run has at least
 LINE_WORDS = 50             # ... or words it has more than
 PASSAGE_WORDS = 20          # words a repeated passage has at least, whole chunks only
@@ -93,10 +94,18 @@ def op12_decontaminate(spark: SparkSession, d: str) -> DataFrame:
                       (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op13_token_alignment(spark: SparkSession, d: str) -> DataFrame:
+    files = token_alignment.Vocabularies(spark, *map(public_tokenizers.path, ALIGNED))
+    out = token_alignment.align(load(spark, d, "documents").select("doc_id", "text"), files)
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    return out.withColumn("groups", digest).withColumnRenamed("groups", "groups_sha256")
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_line_dedup, op2_word_bpe, op3_quality_rules, op4_simhash, op5_substring_dedup, op6_topk, op7_url_filters,
-        op8_html_extract, op9_lang_id, op10_packing, op11_fill_in_middle, op12_decontaminate)}
+        op8_html_extract, op9_lang_id, op10_packing, op11_fill_in_middle, op12_decontaminate,
+        op13_token_alignment)}
 
 
 def oracle_sql() -> dict[str, str]:
