@@ -3,19 +3,20 @@ category vote over the neighbours."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tessera.operators.ranking import top_k_per_group
 from tessera.operators.text import doc_terms, term_freq, tfidf
 from tessera.session import checkpoint
 
-# Queries scored together, whatever their number: a block's sparse vectors are
-# broadcast (at most QUERY_BLOCK x vocabulary cells).
-QUERY_BLOCK = 256
+SHARD_DOCS = 1024       # documents of a group: a few MB of sparse vectors
+PART_QUERIES = 4096     # queries of a group
+QUERY_BLOCK = 256       # queries scored together: a dense block over the words they have
+DENSE_ROWS = 256        # documents laid out densely at once
+MAX_TASKS = 50_000
 
 
 def query_vectors(queries: DataFrame, vocab: DataFrame, idf_df: DataFrame,
@@ -33,93 +34,100 @@ def vector_rows(vectors: DataFrame, key: str) -> DataFrame:
                                                              F.col("c.weight").alias("weight"))
 
 
-def _blocks(queries: DataFrame, size: int) -> Iterator[list]:
-    """Query rows in order of their id, ``size`` at a time (streamed to the driver)."""
-    block = []
-    for row in queries.orderBy("query_id").toLocalIterator():
-        block.append(row)
-        if len(block) == size:
-            yield block
-            block = []
-    if block:
-        yield block
-
-
-def _unit_columns(block: list) -> tuple[np.ndarray, np.ndarray]:
-    """``(words, matrix)``: the sorted word indices of a block of queries and
-    their unit vectors as columns over those words (zero where the norm is 0)."""
-    words = np.unique(np.concatenate([np.array(r["idx"], np.int64) for r in block]))
-    matrix = np.zeros((len(words) + 1, len(block)))         # last row: words of no query
-    for j, r in enumerate(block):
-        w = np.array(r["weight"], np.float64)
-        matrix[np.searchsorted(words, r["idx"]), j] = w
-    norm = np.sqrt((matrix * matrix).sum(0))
-    return words, matrix / np.where(norm > 0, norm, 1.0)
-
-
-def _score_kernel(shared, k: int, digits: int):
-    """Scores every document of a task against a block of queries and hands on
-    the ``k`` best of each query: (query, doc_id, score)."""
-    def best(scores: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        return np.lexsort((ids, -scores))[:k]
-
-    def kernel(batches):
-        words, matrix = shared.value
-        top: list = [None] * matrix.shape[1]
-        for batch in batches:
-            ids = np.asarray(batch.column(0).to_pylist())          # numbers or strings
-            lists, idx = batch.column(1), batch.column(1).flatten().to_numpy(zero_copy_only=False)
-            weight = batch.column(2).flatten().to_numpy(zero_copy_only=False)
-            ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
-            at = np.searchsorted(words, idx)
-            at[at == len(words)] = 0
-            at = np.where(words[at] == idx, at, len(words))
-            scores = np.empty((len(ids), matrix.shape[1]))
-            for i, (a, b) in enumerate(zip(np.append(0, ends[:-1]), ends)):
-                w = weight[a:b]
-                norm = np.sqrt((w * w).sum())
-                scores[i] = w @ matrix[at[a:b]] / norm if norm > 0 else 0.0
+class _Rows:
+    """Sparse vectors of a table with columns ``idx`` and ``weight``: the cells of all rows, and where each row's begin and end."""
+
+    def __init__(self, table: pa.Table):
+        n = pc.fill_null(pc.list_value_length(table.column("idx")), 0).to_numpy()
+        self.n, self.ends = len(n), np.append(0, n.cumsum())
+        self.idx, self.weight = (pc.list_flatten(table.column(c)).to_numpy() for c in ("idx", "weight"))
+        self.row = np.repeat(np.arange(len(n)), n)
+        squares = np.bincount(self.row, self.weight * self.weight, len(n))
+        norm = np.sqrt(squares)
+        self.unit = self.weight / np.where(norm > 0, norm, 1.0)[self.row]
+
+    def dense(self, low: int, high: int, words: np.ndarray) -> np.ndarray:
+        """Rows ``low`` to ``high`` as unit vectors over ``words`` (sorted); other words are left out."""
+        cells = slice(self.ends[low], self.ends[high])
+        at = np.searchsorted(words, self.idx[cells])
+        at[at == len(words)] = 0
+        known = words[at] == self.idx[cells]
+        out = np.zeros((high - low, len(words)))
+        out[(self.row[cells] - low)[known], at[known]] = self.unit[cells][known]
+        return out
+
+
+def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(query, document)`` positions of each query's ``k`` highest scores, ties
+    to the first document; ``scores`` is (documents, queries)."""
+    k = min(k, len(scores))
+    least = np.partition(scores, len(scores) - k, axis=0)[len(scores) - k]
+    query, doc = np.nonzero((scores >= least).T)            # ascending by query, then document
+    order = np.lexsort((doc, -scores[doc, query], query))
+    query, doc = query[order], doc[order]
+    place = np.arange(len(query)) - np.searchsorted(query, query)
+    return query[place < k], doc[place < k]
+
+
+def _search(k: int, digits: int, names: list[str]):
+    """Scores a shard of documents against a part of the queries and hands on the ``k`` best of each query."""
+    def search(documents: pa.Table, queries: pa.Table) -> pa.Table:
+        empty = pa.table([queries.column("query_id").slice(0, 0), documents.column("doc_id").slice(0, 0), pa.array([], pa.float64())], names)
+        if not documents.num_rows or not queries.num_rows:
+            return empty
+        documents = documents.sort_by("doc_id")
+        docs, asked = _Rows(documents), _Rows(queries)
+        found = []
+        for low in range(0, asked.n, QUERY_BLOCK):
+            high = min(low + QUERY_BLOCK, asked.n)
+            words = np.unique(asked.idx[asked.ends[low]:asked.ends[high]])
+            block = asked.dense(low, high, words).T
+            scores = np.empty((docs.n, high - low))
+            for d in range(0, docs.n, DENSE_ROWS):
+                e = min(d + DENSE_ROWS, docs.n)
+                scores[d:e] = docs.dense(d, e, words) @ block
             scores = np.round(scores, digits) + 0.0
-            for q, old in enumerate(top):
-                s, d = (scores[:, q], ids) if old is None else (np.append(old[0], scores[:, q]), np.append(old[1], ids))
-                keep = best(s, d)
-                top[q] = s[keep], d[keep]
-        if top and top[0] is not None:
-            n = [len(s) for s, _ in top]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(np.arange(len(top)), n).astype(np.int32)), pa.array(np.concatenate([d for _, d in top])),
-                 pa.array(np.concatenate([s for s, _ in top]))], ["q", "doc_id", "score"])
-    return kernel
-
-
-def cosine_topk(qvec: DataFrame, dvec: DataFrame, k: int, digits: int = 10, block: int = QUERY_BLOCK) -> DataFrame:
+            query, doc = _best(scores, k)
+            found.append((query + low, doc, scores[doc, query]))
+        query, doc, score = (np.concatenate(x) for x in zip(*found))
+        return pa.table([queries.column("query_id").take(pa.array(query)), documents.column("doc_id").take(pa.array(doc)),
+                         pa.array(score)], names)
+    return search
+
+
+def cosine_topk(qvec: DataFrame, dvec: DataFrame, k: int, digits: int = 10) -> DataFrame:
     """k most similar documents per query by cosine similarity, exactly.
 
-    Queries go in blocks of fixed size, whatever their number.  A block's sparse
-    vectors are broadcast, every task scores its documents against them and
-    keeps k rows per query, and the tasks' rows are merged: k x queries x tasks
-    rows are shuffled, no (query, document) pairs.  A document that shares no
-    word with a query, or a zero norm, scores 0 and competes like any other;
-    ties, on the score rounded to ``digits``, go to the smaller doc_id.
+    Documents are dealt to shards of about SHARD_DOCS, queries to parts of about
+    PART_QUERIES, both by a hash of their id.  Every (shard, part) pair is one
+    group: it holds one shard and one part whatever the size of the tables,
+    scores them as small dense blocks and keeps k rows per query, which a
+    ranking merges (Spark keeps k per query in each task before the exchange).
+    Vectors are shipped as one row (id, indices, weights); no (query, document)
+    pair leaves a group, and no query passes through the driver.
+
+    A document that shares no word with a query, or a zero norm, scores 0 and
+    competes like any other; ties, on the score rounded to ``digits``, go to the
+    smaller doc_id.  A query without a vector has no rows.
 
     Output: (query_id, rank, doc_id, score).
     """
-    spark = dvec.sparkSession
-    docs = checkpoint(vector_rows(dvec, "doc_id"))
-    id_kind = dvec.schema["doc_id"].dataType
-    queries = checkpoint(vector_rows(qvec, "query_id"))
-    found = None
-    for rows in _blocks(queries, block):
-        shared = spark.sparkContext.broadcast(_unit_columns(rows))
-        names = F.array(*[F.lit(r["query_id"]).cast(qvec.schema["query_id"].dataType) for r in rows])
-        part = docs.mapInArrow(_score_kernel(shared, k, digits), f"q int, doc_id {id_kind.simpleString()}, score double").select(
-            F.element_at(names, F.col("q") + 1).alias("query_id"), "doc_id", "score")
-        part = top_k_per_group(part, ["query_id"], [F.desc("score"), F.asc("doc_id")], k)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = queries.select("query_id", F.lit(1).alias("rank"), F.lit(None).cast(id_kind).alias("doc_id"),
-                               F.lit(0.0).alias("score")).limit(0)
-    return found.select("query_id", "rank", "doc_id", "score")
+    docs, queries = checkpoint(vector_rows(dvec, "doc_id")), checkpoint(vector_rows(qvec, "query_id"))
+    shards, parts = -(-docs.count() // SHARD_DOCS) or 1, -(-queries.count() // PART_QUERIES) or 1
+
+    def dealt(table: DataFrame, key: str, own: tuple[str, int], other: tuple[str, int]) -> DataFrame:
+        return (table.withColumn(own[0], F.pmod(F.xxhash64(key), F.lit(own[1])).cast("int"))
+                .withColumn(other[0], F.explode(F.sequence(F.lit(0), F.lit(other[1] - 1)))))
+
+    shard, part = ("shard", shards), ("part", parts)
+    # pairs are dealt by number, not by bytes: a task's time goes with its pairs
+    n = min(shards * parts, MAX_TASKS)
+    left = dealt(docs, "doc_id", shard, part).repartition(n, "shard", "part").groupBy("shard", "part")
+    right = dealt(queries, "query_id", part, shard).repartition(n, "shard", "part").groupBy("shard", "part")
+    kinds = [t.schema[c].dataType.simpleString() for t, c in ((queries, "query_id"), (docs, "doc_id"))]
+    found = left.cogroup(right).applyInArrow(_search(k, digits, ["query_id", "doc_id", "score"]),
+                                             f"query_id {kinds[0]}, doc_id {kinds[1]}, score double")
+    return top_k_per_group(found, ["query_id"], [F.desc("score"), F.asc("doc_id")], k).select("query_id", "rank", "doc_id", "score")
 
 
 def knn_vote(topk: DataFrame, links: DataFrame, k: int, page_col: str = "page",

@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 
 from tessera.operators import ranking, retrieval, text
@@ -77,29 +78,54 @@ def test_partitioning_does_not_change_counts(spark):
     assert a == b
 
 
-def test_knn_matches_brute_force(spark):
-    import numpy as np
+def _vectors(rng, n, words, cells):
+    return {i: {int(w): float(rng.randint(1, 4)) for w in rng.choice(words, size=rng.randint(1, cells), replace=False)} for i in range(n)}
+
+
+def _cells(spark, vectors, key, kind="long"):
+    rows = [(str(i) if kind == "string" else i, w, x) for i, v in vectors.items() for w, x in v.items()]
+    return spark.createDataFrame(rows, f"{key} {kind}, idx int, weight double")
+
+
+def _neighbours(asked, docs, k):
+    """query -> [(doc, score)] by comparing every pair."""
+    def cosine(a, b):
+        norm = np.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+        return round(sum(x * b.get(w, 0.0) for w, x in a.items()) / norm, 10) if norm else 0.0
+    return {q: sorted(((d, cosine(v, u)) for d, u in docs.items()), key=lambda r: (-r[1], r[0]))[:k] for q, v in asked.items()}
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_knn_matches_brute_force(spark, monkeypatch, small):
+    """Ties, documents without a shared word, zero vectors; one group, and many shards and parts."""
+    if small:
+        for name, value in (("SHARD_DOCS", 9), ("PART_QUERIES", 5), ("QUERY_BLOCK", 2), ("DENSE_ROWS", 3)):
+            monkeypatch.setattr(retrieval, name, value)
     rng = np.random.RandomState(3)
-    d_rows, q_rows = [], []
-    for d in range(30):
-        for i in rng.choice(12, size=rng.randint(1, 5), replace=False):
-            d_rows.append((d, int(i), float(rng.rand())))
-    for q in range(4):
-        for i in rng.choice(12, size=2, replace=False):
-            q_rows.append((q, int(i), float(rng.rand())))
-    dvec = spark.createDataFrame(d_rows, "doc_id long, idx int, weight double")
-    qvec = spark.createDataFrame(q_rows, "query_id long, idx int, weight double")
-    D = np.zeros((30, 12)); Q = np.zeros((4, 12))
-    for d, i, v in d_rows:
-        D[d, i] = v
-    for q, i, v in q_rows:
-        Q[q, i] = v
-    sims = (Q @ D.T) / (np.linalg.norm(Q, axis=1)[:, None] * np.linalg.norm(D, axis=1)[None, :])
-    got = retrieval.cosine_topk(qvec, dvec, 5).collect()
-    for q in range(4):
-        order = sorted(range(30), key=lambda d: (-round(sims[q, d], 10), d))[:5]
-        mine = [r.doc_id for r in sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)]
-        assert mine == order
+    docs, asked = _vectors(rng, 60, 40, 5), _vectors(rng, 23, 40, 4)
+    docs[60], asked[23] = {1: 0.0}, {2: 0.0}
+    got = {}
+    for r in retrieval.cosine_topk(_cells(spark, asked, "query_id"), _cells(spark, docs, "doc_id"), 7).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.doc_id, r.score))
+    for q, want in _neighbours(asked, docs, 7).items():
+        assert [(i, d, pytest.approx(s, abs=2e-10)) for i, (d, s) in enumerate(want, 1)] == sorted(got[q])
+    few = retrieval.cosine_topk(_cells(spark, asked, "query_id"), _cells(spark, {i: docs[i] for i in range(3)}, "doc_id"), 7)
+    assert few.groupBy("query_id").count().where("count <> 3").count() == 0
+
+
+def test_knn_of_text_keys_and_empty_tables(spark):
+    docs = {"b": {1: 1.0}, "a": {1: 2.0}, "c": {2: 1.0}}
+    dvec, qvec = _cells(spark, docs, "doc_id", "string"), _cells(spark, {"q": {1: 3.0}}, "query_id", "string")
+    assert [tuple(r) for r in retrieval.cosine_topk(qvec, dvec, 2).orderBy("rank").collect()] == [("q", 1, "a", 1.0), ("q", 2, "b", 1.0)]
+    assert retrieval.cosine_topk(qvec.limit(0), dvec, 2).count() == 0 and retrieval.cosine_topk(qvec, dvec.limit(0), 2).count() == 0
+
+
+def test_knn_plan_does_not_grow_with_the_queries(spark):
+    rng = np.random.RandomState(5)
+    dvec = _cells(spark, _vectors(rng, 20, 30, 4), "doc_id")
+    plans = [retrieval.cosine_topk(_cells(spark, _vectors(rng, n, 30, 4), "query_id"), dvec, 3)._jdf.queryExecution().optimizedPlan().toString()
+             for n in (2, 600)]
+    assert plans[0].count("\n") == plans[1].count("\n")
 
 
 def test_chi2_binarized_has_two_categories(spark):
