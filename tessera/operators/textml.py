@@ -12,8 +12,12 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import (IDF, CountVectorizer, CountVectorizerModel, StopWordsRemover, Tokenizer,
                                 VectorSlicer)
-from pyspark.ml.stat import ChiSquareTest
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.functions import unwrap_udt
+
+from tessera.functions.distributions import chi2_log_tail
+
+MAX_LABELS = 100        # classes of the chi-squared test: a column of counts each
 
 
 def feature_stages(text_col: str = "text", vocab_size: int = 5000, min_df: float = 10,
@@ -29,8 +33,12 @@ def feature_stages(text_col: str = "text", vocab_size: int = 5000, min_df: float
 def term_stats(filtered: DataFrame, tokens_col: str = "filtered") -> DataFrame:
     """(term, n, df): total count and number of documents per term, from one
     pass: a document's distinct terms with their counts come from its own row."""
-    rows = (filtered.select(F.array_sort(tokens_col).alias("s")).select("s", F.posexplode("s").alias("i", "term"))
-            .select("term", (~F.get("s", F.col("i") - 1).eqNullSafe(F.col("term"))).cast("int").alias("new")))
+    def marked(s):          # sorted tokens, the first of each run marked
+        return F.transform(s, lambda w, i: F.struct(w.alias("term"), (~F.get(s, i - 1).eqNullSafe(w)).cast("int").alias("new")))
+
+    # the sorted array is a lambda's variable: made once a document, and no exploded row carries it
+    runs = F.element_at(F.transform(F.array(F.sort_array(tokens_col)), marked), 1)
+    rows = filtered.select(F.explode(runs).alias("r")).select("r.term", "r.new")
     return rows.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.sum("new").alias("df"))
 
 
@@ -103,31 +111,62 @@ def idf_table(model: PipelineModel, spark) -> DataFrame:
                                  "idx int, term string, idf double")
 
 
+def feature_cells(features: DataFrame, features_col: str, *keep: str) -> DataFrame:
+    """(keep.., idx, value): the cells of every vector that are not 0."""
+    v = unwrap_udt(F.col(features_col))
+    at = F.when(v["type"] == 0, v["indices"]).otherwise(F.transform(v["values"], lambda x, i: i))
+    cells = features.select(*keep, F.explode(F.arrays_zip(at.alias("idx"), v["values"].alias("value"))).alias("c"))
+    return cells.select(*keep, "c.idx", "c.value").where("value <> 0")
+
+
 def chi2_table(features: DataFrame, vocab: DataFrame, features_col: str = "features",
                label_col: str = "label", binarize: bool = False) -> DataFrame:
     """Pearson chi-squared independence test of every feature against the
-    label, each distinct feature value being a category:
-    (idx, term, statistic, dof, p_value).  Computed by spark.ml's
-    distributed ChiSquareTest (flattened: one row per feature).
-
-    Continuous TF-IDF values make every distinct value a category, and
-    Spark caps the categories per feature; on large corpora pass
-    ``binarize=True`` (presence / absence of the term) to keep two."""
-    if binarize:
-        from pyspark.ml.feature import Binarizer
-        features = (Binarizer(threshold=0.0, inputCol=features_col, outputCol="_bin")
-                    .transform(features).drop(features_col).withColumnRenamed("_bin", features_col))
-    res = ChiSquareTest.test(features, features_col, label_col, flatten=True)
-    return (res.select(F.col("featureIndex").alias("idx"), F.col("statistic"),
-                       F.col("degreesOfFreedom").alias("dof"), F.col("pValue").alias("p_value"))
-            .join(vocab, "idx"))
+    label, each distinct value being a category, however many there are:
+    (idx, term, statistic, dof, p_value, log_p) for each term of ``vocab``.
+
+    The contingency table is kept sparse.  One aggregate counts the rows of
+    each (feature, value) by label, over the cells that are not 0; a second adds
+    up the features.  The cell of the value 0 is what is left of the labels'
+    totals.  ``binarize`` takes presence / absence of the term as the value.
+
+    Rows without a label or vector are left out.  A feature with one value has
+    statistic 0, 0 degrees of freedom and p 1.  A tail below the smallest
+    double has p 0 and its logarithm in ``log_p``.
+    """
+    rows = features.where(F.col(label_col).isNotNull() & F.col(features_col).isNotNull())
+    totals = sorted((r[0], r[1]) for r in rows.groupBy(label_col).count().limit(MAX_LABELS + 1).collect())
+    if len(totals) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} labels")
+    n = float(sum(c for _, c in totals)) or 1.0
+
+    def part(observed: list[Column]) -> Column:         # one value's share of the statistic
+        total = sum(observed, F.lit(0.0))
+        return sum(((o - total * (c / n)) * (o - total * (c / n)) / (total * (c / n)) for o, (_, c) in zip(observed, totals)), F.lit(0.0))
+
+    names = [f"o{i}" for i in range(len(totals))]
+    value = F.lit(1.0) if binarize else F.col("value")
+    cells = feature_cells(rows, features_col, label_col).groupBy("idx", value.alias("value")).agg(
+        *[F.count(F.when(F.col(label_col) == label, 1)).cast("double").alias(o) for o, (label, _) in zip(names, totals)])
+    sums = cells.select("idx", part([F.col(o) for o in names]).alias("part"), *names).groupBy("idx").agg(
+        F.sum("part").alias("part"), F.count(F.lit(1)).alias("values"), *[F.sum(o).alias(o) for o in names])
+    zero = [c - F.col(o) for o, (_, c) in zip(names, totals)]
+    left = sum(zero, F.lit(0.0))
+    test = sums.select("idx", (F.col("values") + (left > 0).cast("int") - 1).alias("categories"),
+                       (F.col("part") + F.when(left > 0, part(zero)).otherwise(0.0)).alias("statistic"))
+    dof = F.coalesce(F.col("categories"), F.lit(0)) * max(len(totals) - 1, 0)
+    out = vocab.select("idx", "term").join(test, "idx", "left").select(
+        "idx", "term", F.when(dof > 0, F.col("statistic")).otherwise(0.0).alias("statistic"), dof.alias("dof"))
+    tail = chi2_log_tail(F.col("statistic"), F.col("dof"))
+    return out.withColumn("log_p", tail).select("idx", "term", "statistic", "dof", F.exp("log_p").alias("p_value"), "log_p")
 
 
 def top_features(chi2: DataFrame, n: int = 200) -> DataFrame:
     """(rank, idx, term, statistic, dof) of the ``n`` terms with the smallest
-    p-values of ``chi2_table``; equal p-values go by position."""
-    top = chi2.orderBy("p_value", "idx").limit(n)
-    return top.select(F.row_number().over(Window.orderBy("p_value", "idx")).alias("rank"), "idx", "term", "statistic", "dof")
+    p-values of ``chi2_table``, by their logarithm to eight places; equal ones go by position."""
+    rows = chi2.withColumn("log_p", F.round("log_p", 8))
+    top = rows.orderBy("log_p", "idx").limit(n)
+    return top.select(F.row_number().over(Window.orderBy("log_p", "idx")).alias("rank"), "idx", "term", "statistic", "dof")
 
 
 def slicer(indices: list[int], features_col: str = "features", out: str = "chosen") -> VectorSlicer:

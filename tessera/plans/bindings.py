@@ -25,7 +25,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 from tessera.functions.columns import prefix_label
 from tessera.operators import (classify, cleaning, clustering, linear, logistic, metrics, textml,
                                ranking, retrieval, text)
-from tessera.session import checkpoint, input_path, load
+from tessera.session import checkpoint, input_path, load, spread
 from tessera.sources import files
 
 # Fixed parameters of the reference workloads.
@@ -75,7 +75,7 @@ def _clean_bounded(spark, d):
 
 
 def corpus(spark, d) -> DataFrame:
-    return load(spark, d, "documents").select("doc_id", "text")
+    return spread(load(spark, d, "documents").select("doc_id", "text"))
 
 
 def corpus_size(spark, d):
@@ -394,8 +394,7 @@ def gd_multi_params(spark, d):
 def labelled_corpus(spark, d, split: str) -> DataFrame:
     """Labelled documents (doc_id, label = quality, text) of one side of the hash split."""
     lab = load(spark, d, "labels").select("doc_id", F.col("quality").alias("label"))
-    docs = load(spark, d, "documents").select("doc_id", "text")
-    return lab.where(clustering.hash_split("doc_id") == split).join(docs, "doc_id")
+    return lab.where(clustering.hash_split("doc_id") == split).join(corpus(spark, d), "doc_id")
 
 
 def _logreg_inputs(spark, d, materialise: bool = False):
@@ -698,17 +697,20 @@ def chi2_selected(spark, d):
         "rank", "term", F.round("statistic", 8).alias("statistic"), F.col("dof").cast("int").alias("dof"))
 
 
-def _ml_predictions(spark, d, kind):
-    """(n_features, doc_id, label, prediction) of the test documents, with all features and with the selected ones."""
+def _ml_predictions(spark, d, *kinds):
+    """(model, n_features, doc_id, label, prediction) of the test documents, with all features and with the
+    selected ones; features and selection are made once for all kinds of model."""
     model, train, test = _ml_features(spark, d)
     chosen = [r["idx"] for r in textml.top_features(_chi2(spark, model, train), ML_SELECTED).collect()]
     cut = textml.slicer(chosen)
-    make = textml.logistic if kind == "logreg" else textml.linear_svc
     out = None
-    for n, col, tr, te in ((5000, "features", train, test),
-                           (ML_SELECTED, "chosen", cut.transform(train), cut.transform(test))):
-        part = make(col).fit(tr).transform(te).select(F.lit(n).alias("n_features"), "doc_id", "label", "prediction")
-        out = part if out is None else out.unionByName(part)
+    for kind in kinds:
+        make = textml.logistic if kind == "logreg" else textml.linear_svc
+        for n, col, tr, te in ((5000, "features", train, test),
+                               (ML_SELECTED, "chosen", cut.transform(train), cut.transform(test))):
+            part = make(col).fit(tr).transform(te).select(F.lit(kind).alias("model"), F.lit(n).alias("n_features"), "doc_id",
+                                                          "label", "prediction")
+            out = part if out is None else out.unionByName(part)
     return checkpoint(out)
 
 
@@ -732,10 +734,6 @@ def ml_svm(spark, d):
 
 def ml_confusion(spark, d):
     """Confusion matrix of both models with all and with the selected features."""
-    out = None
-    for kind in ("logreg", "svm"):
-        part = _ml_predictions(spark, d, kind).groupBy("n_features", F.col("label").cast("int").alias("label")).pivot(
-            "prediction", [0.0, 1.0]).count().na.fill(0).withColumn("model", F.lit(kind))
-        part = part.withColumnsRenamed({"0.0": "predicted_0", "1.0": "predicted_1"})
-        out = part if out is None else out.unionByName(part)
-    return out.select("model", "n_features", "label", "predicted_0", "predicted_1")
+    out = _ml_predictions(spark, d, "logreg", "svm").groupBy("model", "n_features", F.col("label").cast("int").alias("label")).pivot(
+        "prediction", [0.0, 1.0]).count().na.fill(0)
+    return out.select("model", "n_features", "label", F.col("`0.0`").alias("predicted_0"), F.col("`1.0`").alias("predicted_1"))

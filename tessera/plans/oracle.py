@@ -371,6 +371,17 @@ chi AS (SELECT cells.term, count(DISTINCT cells.v) AS nv,
         FROM cells JOIN rt ON rt.term = cells.term AND rt.v = cells.v GROUP BY cells.term)"""
 
 
+# Logarithm of the chi-squared upper tail Q(a, x), a = dof / 2, x = statistic / 2: the lower function's series left of
+# the mean, the upper one's continued fraction, from its far end, right of it.
+CHI2_TAIL = """ax AS (SELECT chi.term, statistic, (nv - 1) * ((SELECT count(*) FROM labs) - 1) / 2.0 AS a, statistic / 2 AS x,
+              row_number() OVER (ORDER BY cv.tc DESC, term) - 1 AS idx FROM chi JOIN cv USING (term)),
+steps AS (SELECT *, 200 + CAST(floor(12 * sqrt(a)) AS INTEGER) AS n FROM ax),
+tail AS (SELECT *, CASE WHEN a <= 0 OR x <= 0 THEN 0.0
+  WHEN x < a + 1 THEN ln(1 - list_sum([exp((a + k) * ln(x) - x - lgamma(a + k + 1)) for k in range(0, n + 1)]))
+  ELSE a * ln(x) - x - lgamma(a) - ln(list_reduce([x + 2 * n + 1 - a] || [CAST(k AS DOUBLE) for k in range(n, 0, -1)],
+       lambda s, k: x + 2 * k - 1 - a - k * (k - a) / s)) END AS log_p FROM steps)"""
+
+
 # ----------------------------------------------------------------------------- clustering
 
 def _lloyd_ctes() -> list[str]:
@@ -548,6 +559,9 @@ SELECT vec_id, i AS prediction FROM dist QUALIFY row_number() OVER (PARTITION BY
   round(ln((CAST((SELECT count(*) FROM mldocs) AS DOUBLE) + 1.0) / (df + 1.0)), 12) AS idf FROM cv""")
     q["cv_vocabulary"] = _sql(ML_ALL, ML_FILTERED, CV_ALL, select="""SELECT
   CAST(row_number() OVER (ORDER BY tc DESC, term) - 1 AS INTEGER) AS idx, term, tc AS n, df FROM cv""")
+    q["chi2_selected"] = _sql(ML_SPLIT, ML_FILTERED, CV, CHI2, CHI2_TAIL, select=f"""SELECT
+  CAST(rank AS INTEGER) AS rank, term, round(statistic, 8) AS statistic, CAST(2 * a AS INTEGER) AS dof
+FROM (SELECT *, row_number() OVER (ORDER BY round(log_p, 8), idx) AS rank FROM tail) WHERE rank <= {B.ML_SELECTED}""")
     q["chi2_stats"] = _sql(ML_SPLIT, ML_FILTERED, CV, CHI2, select="""SELECT term, round(statistic, 8) AS statistic,
   CAST((nv - 1) * ((SELECT count(*) FROM labs) - 1) AS INTEGER) AS dof FROM chi""")
     return q

@@ -118,6 +118,22 @@ def load(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+SPREAD = "spark.tessera.spread"
+
+
+def spread(df):
+    """``df`` dealt evenly to as many partitions as the session setting
+    ``spark.tessera.spread`` names; ``df`` as it is where that is unset.
+
+    A Parquet file is read by a task per row group at the least, so a table of
+    one row group keeps one core busy whatever the cluster.  The setting is for
+    such small tables only: at scale a file has many row groups, and the
+    setting stays off, for it would add an exchange of the whole texts.
+    """
+    n = df.sparkSession.conf.get(SPREAD, None)
+    return df.repartition(int(n)) if n else df
+
+
 def checkpoint(df):
     """Reliable checkpoint into the shared folder (lineage cut; the data
     survive the loss of the executors that computed them)."""

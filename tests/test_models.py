@@ -1,7 +1,9 @@
 """spark.ml fits: layout independence, sanity on separable data, selection against Spark's own selector."""
 import numpy as np
 import pytest
-from pyspark.ml.feature import UnivariateFeatureSelector
+from pyspark.ml.feature import UnivariateFeatureSelector, VectorAssembler
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import functions as F
 
 from tessera.operators import classify, clustering, metrics, textml
@@ -86,6 +88,31 @@ def test_text_models(spark, texts):
             assert metrics.weighted_metrics(pred).first().accuracy > 0.9
 
 
+def test_chi2_equals_sparks_own_test(spark):
+    """Statistics, degrees of freedom and p-values of spark.ml's test, on sparse and dense vectors, three labels, constant columns."""
+    rng = np.random.default_rng(4)
+    rows = [(Vectors.dense(v) if i % 2 else Vectors.sparse(5, {j: x for j, x in enumerate(v) if x}), float(y))
+            for i in range(200) for y in [i % 3]
+            for v in [[float(rng.integers(0, 4)), float(y == 1) * rng.integers(0, 3), 0.0, 2.5, float(rng.integers(0, 40)) / 7]]]
+    df = spark.createDataFrame(rows, ["features", "label"])
+    vocab = spark.createDataFrame([(i, f"t{i}") for i in range(5)], "idx int, term string")
+    want = {r.featureIndex: r for r in ChiSquareTest.test(df, "features", "label", flatten=True).collect()}
+    for r in textml.chi2_table(df, vocab).collect():
+        assert (r.dof, r.statistic) == (want[r.idx].degreesOfFreedom, pytest.approx(want[r.idx].statistic, abs=1e-9))
+        assert r.p_value == pytest.approx(want[r.idx].pValue, abs=1e-10)
+
+
+def test_chi2_of_many_values(spark):
+    """More distinct values than spark.ml's own test takes."""
+    n = 12_000
+    df = spark.range(n).select(F.col("id").cast("double").alias("x"), (F.col("id") % 2).cast("double").alias("label"))
+    df = VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
+    r = textml.chi2_table(df, spark.createDataFrame([(0, "a")], "idx int, term string")).first()
+    assert (r.dof, r.statistic) == (n - 1, pytest.approx(n)) and 0.4 < r.p_value < 0.6
+    with pytest.raises(ValueError, match="labels"):
+        textml.chi2_table(df.withColumn("label", F.col("x")), spark.createDataFrame([(0, "a")], "idx int, term string"))
+
+
 def test_term_stats_in_one_pass(spark):
     df = spark.createDataFrame([(["a", "b", "a"],), (["b"],), ([],)], "filtered array<string>")
     assert sorted(tuple(r) for r in textml.term_stats(df).collect()) == [("a", 2, 1), ("b", 2, 2)]
