@@ -14,11 +14,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tessera.llm.common import bounded
+from tessera.session import checkpoint
 
 SIZE = 300              # grams in a profile
+MAX_LANGUAGES = 1000    # distinct values of the language column; profiles of so many are 5 MB
 LONGEST = 3             # letters in a gram at most
 FLUSH = 1_000_000       # distinct grams a task holds before it hands them on
-PIECE = 1 << 20         # characters counted at once
+PIECE = 1 << 17         # characters counted at once
+SLICE = 1 << 20         # bytes of text worked on at once
 
 _BITS = 21              # a code point; a gram of up to three fits in a long
 _MASK = (1 << _BITS) - 1
@@ -26,7 +29,7 @@ _MASK = (1 << _BITS) - 1
 
 def _letter_table() -> np.ndarray:
     """Each code point's letter in lower case, 0 for what is not a letter."""
-    table = np.zeros(0x110000, np.int64)
+    table = np.zeros(0x110000, np.int32)
     for c in range(0x110000):
         s = chr(c)
         if s.isalpha():
@@ -45,12 +48,13 @@ def letters(text: str | None) -> np.ndarray:
     if _LETTERS is None:
         _LETTERS = _letter_table()
     codes = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), "<u4")
-    mapped = np.concatenate(([0], _LETTERS[codes], [0]))
+    mapped = np.zeros(len(codes) + 2, np.int32)
+    mapped[1:-1] = _LETTERS[codes]
     keep = mapped != 0
     keep[1:] |= mapped[:-1] != 0          # the first blank behind a letter
     keep[0] = True
     mapped = mapped[keep]
-    return mapped if len(mapped) > 1 else np.empty(0, np.int64)
+    return mapped if len(mapped) > 1 else np.empty(0, np.int32)
 
 
 def gram_counts(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -58,7 +62,7 @@ def gram_counts(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     Grams of more than a letter may begin or end with the blank between words."""
     keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
     for at in range(0, len(codes), PIECE):
-        part = codes[at:at + PIECE + LONGEST - 1]
+        part = codes[at:at + PIECE + LONGEST - 1].astype(np.int64)
         head = min(PIECE, len(codes) - at)
         grams = [part[:head][part[:head] > 0]]
         for n in range(2, LONGEST + 1):
@@ -109,7 +113,7 @@ def train_profiles(docs: DataFrame, *, text_col: str = "text", lang_col: str = "
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(k), pa.string()), pa.array(k), pa.array(c)],
                                                  ["lang", "gram", "n"])
 
-        for batch in bounded(batches, 0):
+        for batch in bounded(batches, 0, SLICE):
             texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             by: dict[str, list[np.ndarray]] = {}
             for text, lang in zip(texts, langs):
@@ -135,9 +139,13 @@ def train_profiles(docs: DataFrame, *, text_col: str = "text", lang_col: str = "
 
 class Profiles:
     """Language profiles on the driver, broadcast: ``size`` grams for each
-    distinct value of the language column (a few KB a language)."""
+    distinct value of the language column (a few KB a language).  A column of
+    more than ``MAX_LANGUAGES`` values is an error: it holds something else."""
 
     def __init__(self, table: DataFrame, size: int = SIZE):
+        table = checkpoint(table)
+        if (n := table.select("lang").distinct().count()) > MAX_LANGUAGES:
+            raise ValueError(f"{n} languages")
         found: dict[str, dict[int, int]] = {}
         for r in table.collect():
             found.setdefault(r["lang"], {})[r["gram"]] = r["rank"]
@@ -166,6 +174,18 @@ class Profiles:
         return langs[best], 1.0 - float(far[best]) / (size * len(own))
 
 
+def score_limits(docs: DataFrame, profiles: Profiles, *, text_col: str = "text", lang_col: str = "lang", share: float = 0.001,
+                 margin: float = 0.7) -> dict[str, float]:
+    """For each language the score under which a text is taken to be in none:
+    ``margin`` times the score that all but ``share`` of the documents reach that
+    are labelled with the language and predicted as such.  Every labelled
+    document is scored; a language that none is predicted as has no limit."""
+    scored = identify(docs.select(F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l")).where("l is not null"),
+                      profiles, text_col="t", lang_name="p", score_name="s").where("l = p")
+    low = scored.groupBy("p").agg(F.percentile_approx("s", share, 10_000).alias("s"))
+    return {r["p"]: margin * r["s"] for r in low.collect()}
+
+
 def identify(docs: DataFrame, profiles: Profiles, *, text_col: str = "text", lang_name: str = "lang_pred",
              score_name: str = "score") -> DataFrame:
     """``docs`` with the predicted language and a score from 0 (no gram in
@@ -173,13 +193,15 @@ def identify(docs: DataFrame, profiles: Profiles, *, text_col: str = "text", lan
 
     ``und`` with score 0 where the text is null or has no letter, or nothing
     was learned.  Equal distances go to the smaller language name.  Only the
-    text decides; repeated rows get equal results.
+    text decides; repeated rows get equal results.  The two names must be free.
     """
+    if taken := {lang_name.lower(), score_name.lower()} & {c.lower() for c in docs.columns}:
+        raise ValueError(f"columns in use: {sorted(taken)}")
     names = docs.columns
     at = next(i for i, c in enumerate(names) if c.lower() == text_col.lower())
 
     def run(batches):
-        for batch in bounded(batches, at):
+        for batch in bounded(batches, at, SLICE):
             found = [profiles.classify(t) for t in batch.column(at).to_pylist()]
             columns = [*batch.columns, pa.array([x for x, _ in found], pa.string()),
                        pa.array([s for _, s in found], pa.float64())]

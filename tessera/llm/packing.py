@@ -9,14 +9,12 @@ sequence of the corpus is not full.
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tessera.llm.common import bounded, id_key, id_of, text_key
-from tessera.llm.word_bpe import Vocabulary
+from tessera.llm.word_bpe import SLICE, Vocabulary
 from tessera.session import checkpoint
 
 BUCKETS = 256           # entries of a hashed document vector
@@ -78,7 +76,7 @@ def tokenise(docs: DataFrame, vocabulary: Vocabulary, *, end_id: int, id_col: st
     def run(batches):
         bpe = vocabulary.tokenizer()
         end = np.array([end_id], bpe.dtype).tobytes()
-        for batch in bounded(batches, 2):
+        for batch in bounded(batches, 2, SLICE):
             coded = [c + end for c in bpe.encode_all(batch.column(2).to_pylist())]
             ids = [np.frombuffer(c, bpe.dtype) for c in coded]
             yield pa.RecordBatch.from_arrays(
@@ -161,7 +159,3 @@ def pack(docs: DataFrame, vocabulary: Vocabulary, *, length: int = 4096, end_id:
     placed = ids.join(places, ["d", "h"]).select("d", "ids", "copies", "at")
     out = placed.mapInArrow(run, "d long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
     return out.select(id_of("d", kind).alias(id_col), *names[1:])
-
-
-def checksum(raw) -> int:
-    return zlib.crc32(raw)

@@ -14,6 +14,7 @@ import heapq
 import json
 import re
 import unicodedata
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -26,8 +27,9 @@ from tessera.llm.common import bounded
 
 LONG_WORD = 64              # symbols; longer words use the heap
 SCAN_ROWS = 8192            # words scanned together
-GROUP_CHARS = 2_000_000     # characters encoded together
-CACHE_ENTRIES = 800_000     # distinct words held per worker before the longer ones go
+SLICE = 2 << 20             # bytes of text worked on at once
+GROUP_CHARS = 1_000_000     # characters encoded together
+CACHE_ENTRIES = 200_000     # distinct words held per worker before the longer ones go: about 30 MB
 SHORT_WORD = 8              # words up to this length stay then
 NEAR = 0x250                # below: Latin letters
 CACHED_CHARS = 200          # longer words are not cached
@@ -40,21 +42,34 @@ _SPLIT_ONLY = regex.compile("[\x1c-\x1f]")
 _WORDS = regex.compile(f"[^{_SPACE}]+")
 
 
-@lru_cache(maxsize=1)
+def _code_points(below: int = 0x110000) -> Iterator[list[str]]:
+    """All characters below a code point, some thousands at a time."""
+    for start in range(0, below, 1 << 14):
+        yield [chr(c) for c in range(start, min(start + (1 << 14), below)) if not 0xD800 <= c < 0xE000]
+
+
 def _library_lower() -> dict[str, str]:
     """Characters whose lower case in the tokenizers library is not Python's."""
-    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and c != 10]
-    lowered = normalizers.Lowercase().normalize_str("\n".join(every)).split("\n")
-    return {c: low for c, low in zip(every, lowered) if c.lower() != low and ord(c) >= NEAR}
+    odd = {}
+    for every in _code_points():
+        every = [c for c in every if c != "\n"]
+        lowered = normalizers.Lowercase().normalize_str("\n".join(every)).split("\n")
+        odd |= {c: low for c, low in zip(every, lowered) if c.lower() != low and ord(c) >= NEAR}
+    return odd
 
 
-@lru_cache(maxsize=4)
 def _library_class(name: str, below: int = 0x110000) -> str:
     """Inside of a character class with what ``name`` means to the tokenizers
     library, whose Unicode tables may be of another version than Python's."""
-    every = "".join(chr(c) for c in range(below) if not 0xD800 <= c < 0xE000)
-    found = pre_tokenizers.Split(Regex(f"{name}+"), "removed", invert=True).pre_tokenize_str(every)
-    return "".join(f"\\U{ord(run[0]):08x}-\\U{ord(run[-1]):08x}" for run, _ in found)
+    split = pre_tokenizers.Split(Regex(f"{name}+"), "removed", invert=True)
+    runs = [run for every in _code_points(below) if every for run, _ in split.pre_tokenize_str("".join(every))]
+    return "".join(f"\\U{ord(run[0]):08x}-\\U{ord(run[-1]):08x}" for run in runs)
+
+
+@lru_cache(maxsize=1)
+def library_tables() -> tuple[dict[str, str], dict[tuple[str, int], str]]:
+    """Odd lower cases, and letters and numbers among all characters and below NEAR."""
+    return _library_lower(), {(k, n): _library_class(k, n) for k in (r"\p{L}", r"\p{N}") for n in (NEAR, 0x110000)}
 
 
 def _byte_alphabet() -> list[str]:
@@ -68,7 +83,8 @@ class WordBpe:
     """Tokenizer built from the text of a ``tokenizers`` JSON file whose model
     is BPE with an end-of-word suffix and a byte-level alphabet."""
 
-    def __init__(self, spec: str):
+    def __init__(self, spec: str, tables: tuple | None = None):
+        self.lower, classes = tables or library_tables()
         spec = json.loads(spec)
         model = spec["model"]
         vocab = model["vocab"]
@@ -90,16 +106,15 @@ class WordBpe:
         self.inner = np.array([vocab[c] for c in alphabet], np.int32)
         self.last = np.array([vocab[c + suffix] for c in alphabet], np.int32)
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        letters, numbers = _library_class(r"\p{L}"), _library_class(r"\p{N}")
+        letters, numbers = classes[r"\p{L}", 0x110000], classes[r"\p{N}", 0x110000]
         self.pieces = regex.compile(split["pattern"]["Regex"].replace(r"\p{L}", letters).replace(r"\p{N}", numbers)
                                     .replace(r"\s", _SPACE))
         # the same for words of code points below NEAR, and for those words with "\n" between them
-        near = {k: _library_class(k, NEAR) for k in (r"\p{L}", r"\p{N}")}
+        near = {k: classes[k, NEAR] for k in (r"\p{L}", r"\p{N}")}
         self.near_pieces = re.compile("\n|" + split["pattern"]["Regex"].replace(r"[\p{L}]", f"[{near[r'\p{L}']}]")
                                       .replace(r"[\p{N}]", f"[{near[r'\p{N}']}]")
                                       .replace(r"[^\s\p{L}\p{N}]", f"[^{_SPACE}{near[r'\p{L}']}{near[r'\p{N}']}]"))
         self.far = re.compile(f"[^\\x00-\\U{NEAR - 1:08x}]")
-        self.lower = _library_lower()
         self.odd_lower = re.compile(f"[{''.join(map(re.escape, self.lower))}]") if self.lower else None
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")")
         self.dtype = np.dtype("<u4" if size > 1 << 16 else "<u2")
@@ -279,21 +294,24 @@ class WordBpe:
         return self.decode_bytes(np.asarray(ids, np.int64)).decode()
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(spec: str) -> WordBpe:
-    return WordBpe(spec)
+_tokenizers: dict[str, WordBpe] = {}
 
 
 class Vocabulary:
-    """A vocabulary file read once on the driver and broadcast (a few MB,
-    fixed by the file); each Python worker builds its tokenizer once."""
+    """A vocabulary file read once on the driver and broadcast with the
+    library's character tables (a few MB, fixed by the file); each Python worker
+    builds its tokenizer once and holds one."""
 
     def __init__(self, spark: SparkSession, path: str):
         with open(path, encoding="utf-8") as f:
-            self._spec = spark.sparkContext.broadcast(f.read())
+            self._shared = spark.sparkContext.broadcast((f.read(), library_tables()))
 
     def tokenizer(self) -> WordBpe:
-        return _tokenizer(self._spec.value)
+        spec, tables = self._shared.value
+        if spec not in _tokenizers:
+            _tokenizers.clear()
+            _tokenizers[spec] = WordBpe(spec, tables)
+        return _tokenizers[spec]
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -304,7 +322,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, *, id_col: str = "doc_id", t
     """
     def run(batches):
         bpe = vocabulary.tokenizer()
-        for batch in bounded(batches, 1):
+        for batch in bounded(batches, 1, SLICE):
             coded = bpe.encode_all(batch.column(1).to_pylist())
             ids = [np.frombuffer(c, bpe.dtype).astype(np.int32) for c in coded]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["id", "ids"])
@@ -334,7 +352,7 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary, *, id_col: str = "doc_id
     between.  Same rules for nulls, empty texts and repeated rows."""
     def run(batches):
         bpe = vocabulary.tokenizer()
-        for batch in bounded(batches, 1):
+        for batch in bounded(batches, 1, SLICE):
             n, coded, decoded = [], [], []
             for c in bpe.encode_all(batch.column(1).to_pylist()):
                 ids = np.frombuffer(c, bpe.dtype)

@@ -1,5 +1,7 @@
 """Plain versions of the operators, for small inputs."""
 
+from collections import Counter
+
 NULL = 2 ** 63 - 1
 
 
@@ -47,3 +49,41 @@ def components(nodes, linked):
                 x, y = find(a), find(b)
                 parent[max(x, y)] = min(x, y)
     return {n: find(n) for n in nodes}
+
+
+def grams(text):
+    """Distinct 1- to 3-grams of the words of a text, blanks as underscores, with counts."""
+    found = Counter()
+    for word in "".join((c.lower() if len(c.lower()) == 1 else c) if c.isalpha() else " " for c in text or "").split():
+        found.update(word)
+        padded = f"_{word}_"
+        for n in (2, 3):
+            found.update(g for g in (padded[i:i + n] for i in range(len(padded) - n + 1)) if g[0] != "_" or g[-1] != "_")
+    return found
+
+
+def gram_order(g):
+    """Order of grams with equal counts: their letters as digits, a blank as 0; two letters behind those that begin with a blank."""
+    codes = [0 if c == "_" else ord(c) for c in g]
+    return sum(c << 21 * i for i, c in enumerate(reversed(codes))) + (2 << 42 if len(g) == 2 else 0)
+
+
+def ranked(counts, size=300):
+    """gram -> rank, by falling count."""
+    return {g: i for i, g in enumerate(sorted(counts, key=lambda g: (-counts[g], gram_order(g)))[:size])}
+
+
+def profiles(rows, size=300):
+    """language -> gram -> rank, from (text, language) rows."""
+    langs = sorted({lang for text, lang in rows if lang is not None and text is not None})
+    return {lang: ranked(sum((grams(t) for t, x in rows if x == lang and t is not None), Counter()), size) for lang in langs}
+
+
+def rank_order(text, profiles, size=300):
+    """Language of the smallest out-of-place distance (ties: the smaller name) and its score."""
+    own = ranked(grams(text), size)
+    if not own or not profiles:
+        return "und", 0.0
+    far = {lang: sum(abs(p[g] - r) if g in p else size for g, r in own.items()) for lang, p in profiles.items()}
+    best = min(far, key=lambda x: (far[x], x))
+    return best, 1 - far[best] / (size * len(own))

@@ -3,20 +3,12 @@ from collections import Counter
 
 import numpy as np
 
+import pytest
+
 from tessera.llm import lang_id
 from tessera.session import load
-
-
-def grams(text):
-    """Distinct grams of a text as strings, blanks as underscores, with counts."""
-    found = Counter()
-    for word in "".join(c if c.isalpha() else " " for c in text.lower()).split():
-        found.update(word)
-        padded = f"_{word}_"
-        for n in (2, 3):
-            found.update(g for g in (padded[i:i + n] for i in range(len(padded) - n + 1))
-                         if g[0] != "_" or g[-1] != "_")
-    return found
+from tests.llm import brute
+from tests.llm.brute import grams
 
 
 def test_gram_counts(monkeypatch):
@@ -63,3 +55,41 @@ def test_held_out_accuracy(spark):
     rows = lang_id.identify(docs.where(held), profiles).select("lang", "lang_pred", "score").collect()
     assert len(rows) > 150 and all(0 <= r.score <= 1 for r in rows)
     assert sum(r.lang == r.lang_pred for r in rows) / len(rows) >= 0.95
+
+
+def test_prediction_against_brute_force(spark, corpus):
+    """Out-of-place distances of the given documents and of odd texts, by plain code."""
+    docs = load(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text", "lang")
+    rows = [(r.text, r.lang) for r in docs.collect()]
+    odd = [None, "", "?!", "a", "Straße ÉTÉ İx", "the", "ab ab ab", "日本語 テスト", "x" * 5000] + [r[1] for r in corpus]
+    profiles = lang_id.Profiles(lang_id.train_profiles(docs))
+    want = brute.profiles(rows)
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate([t for t, _ in rows] + odd)], "doc_id long, text string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in lang_id.identify(frame, profiles).collect()}
+    for i, t in enumerate([t for t, _ in rows] + odd):
+        lang, score = brute.rank_order(t, want)
+        assert got[i] == (lang, pytest.approx(score, abs=1e-12)), t
+
+
+def test_ties_and_clashing_names(spark):
+    rows = [(1, "abc", "zz"), (2, "abc", "aa"), (3, "abc", "mm")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    profiles = lang_id.Profiles(lang_id.train_profiles(docs))
+    assert {r.lang_pred for r in lang_id.identify(docs, profiles).collect()} == {"aa"}
+    with pytest.raises(ValueError, match="lang"):
+        lang_id.identify(docs, profiles, lang_name="LANG")
+    assert lang_id.score_limits(docs, profiles) == {"aa": pytest.approx(0.7)}
+
+
+def test_a_column_that_is_no_language(spark, monkeypatch):
+    monkeypatch.setattr(lang_id, "MAX_LANGUAGES", 2)
+    docs = spark.createDataFrame([(i, "abc", f"x{i}") for i in range(3)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="3 languages"):
+        lang_id.Profiles(lang_id.train_profiles(docs))
+
+
+def test_a_long_text(spark):
+    rows = [(1, "the cat and the dog " * 500_000, "en"), (2, "der hund und die katze", "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    profiles = lang_id.Profiles(lang_id.train_profiles(docs))
+    assert [r.lang_pred for r in lang_id.identify(docs, profiles).orderBy("doc_id").collect()] == ["en", "de"]

@@ -4,18 +4,25 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from tessera.llm import lang_id, substring_dedup
+from pyspark.sql import functions as F
+from tessera.llm import substring_dedup
+from tessera.session import load
 from tests.llm import brute
 from tests.llm.test_simhash import plain as fingerprint
 
 
-def expected(rows, profiles):
+def expected(rows):
     """Documents after each stage but the last, by plain code: id -> text.  The fixture's ids are unique here."""
     docs = {r[0]: r[1] for r in rows}
+    profiles = brute.profiles([(r[1], r[2]) for r in rows])
+    limits = {}
+    for lang in profiles:       # one in a thousand of so few is the lowest
+        scores = [s for r in rows if r[2] == lang for p, s in [brute.rank_order(r[1], profiles)] if p == lang]
+        limits[lang] = 0.7 * min(scores, default=0)
     kept = {}
     for i, text in docs.items():
-        lang, score = profiles.classify(text)
-        if lang != "und" and score >= corpus_pipeline.MIN_SCORE:
+        lang, score = brute.rank_order(text, profiles)
+        if lang != "und" and score >= limits[lang]:
             kept[i] = text
     yield kept
     lines = brute.line_dedup(list(kept.items()), 3)
@@ -38,20 +45,19 @@ def expected(rows, profiles):
 def stages(spark, docs, corpus, tmp_path_factory):
     rows = [r for k, r in enumerate(corpus) if r[0] is not None and r not in corpus[:k]]
     frame = spark.createDataFrame(rows, docs.schema)
-    profiles = lang_id.Profiles(lang_id.train_profiles(frame))
     out = []
     for name, stage in corpus_pipeline.STAGES:
         path = str(tmp_path_factory.mktemp("stage") / name)
         stage(spark, frame, "").write.parquet(path)
         frame = spark.read.parquet(path)
         out.append(frame)
-    return rows, profiles, out
+    return rows, out
 
 
 def test_against_brute_force(docs, stages):
-    rows, profiles, out = stages
+    rows, out = stages
     text = {}
-    for want, frame in zip(expected(rows, profiles), out[:-1]):
+    for want, frame in zip(expected(rows), out[:-1]):
         assert frame.columns == docs.columns
         got = frame.collect()
         assert {r.doc_id: r.text for r in got} == want and len(got) == len(want)
@@ -69,6 +75,22 @@ def test_registered_and_runs(spark):
     assert pieces.count() > 0 and "sequence_id" in pieces.columns
 
 
+def test_language_stage(spark):
+    """A language that no document is labelled with goes, short clean texts stay, names that clash do no harm."""
+    docs = load(spark, "/root/testdata/sf0.01", "documents")
+    strange = ["Suomen kieli on uralilainen kieli, jota puhutaan pääasiassa Suomessa ja se kuuluu itämerensuomalaisiin kieliin",
+               "Język polski należy do grupy języków zachodniosłowiańskich i jest używany głównie w Polsce",
+               "Türkçe ya da Türk dili, batıda Balkanlar'dan başlayıp doğuda Hazar Denizi sahasına kadar konuşulan", "?!", None]
+    clean = docs.where("n_chars between 20 and 60 and lang is not null").orderBy("doc_id").limit(8).collect()
+    rows = [(-1 - i, t, None, "s", 0) for i, t in enumerate(strange)] + [(10 ** 6 + i, r.text, None, "s", 0) for i, r in enumerate(clean)]
+    frame = docs.union(spark.createDataFrame(rows, docs.schema)).withColumn("Score", F.lit(1)).withColumn("lang_pred", F.lit("x"))
+    out = corpus_pipeline.identify_language(spark, frame, "")
+    assert out.columns == frame.columns
+    kept = {r.doc_id: r for r in out.collect()}
+    assert set(kept) == {r.doc_id for r in docs.collect()} | {10 ** 6 + i for i in range(len(clean))}
+    assert all(kept[10 ** 6 + i].lang and kept[10 ** 6 + i].lang_pred == "x" for i in range(len(clean)))
+
+
 def test_empty_table(spark, docs, empty):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, "").count() == 0
