@@ -12,11 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessera.llm import lang_id, line_dedup, packing, simhash, substring_dedup
+from tessera.llm.common import free_name
 from tessera.llm.queries import END_ID, LINE_WINDOW, LINE_WORDS, PASSAGE_WORDS, SEQUENCE, vocabulary
 from tessera.session import load, scratch_path
 
-MIN_SCORE = 0.1         # a text whose profile is farther from every language's is in none of them
-
 
 def _measured(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
@@ -26,13 +25,19 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents that are in a language that was learned; a null ``lang`` becomes the predicted one.
 
     Profiles come from the documents with a language.  Rejected: texts without
-    a letter, and those whose score is below MIN_SCORE.
+    a letter, and those whose score is below the limit that the scores of the
+    labelled documents set for the predicted language.
     """
     profiles = lang_id.Profiles(lang_id.train_profiles(docs))
+    limits = lang_id.score_limits(docs, profiles)
     names = docs.columns
-    named = lang_id.identify(docs, profiles, lang_name="lang_pred__", score_name="score__")
-    kept = named.where((F.col("lang_pred__") != "und") & (F.col("score__") >= MIN_SCORE))
-    return kept.withColumn("lang", F.coalesce("lang", "lang_pred__")).select(*names)
+    lang, score = free_name(docs, "lang_pred"), free_name(docs, "score")
+    named = lang_id.identify(docs, profiles, lang_name=lang, score_name=score)
+    low = F.lit(0.0)
+    for name, limit in sorted(limits.items()):
+        low = F.when(F.col(lang) == name, limit).otherwise(low)
+    kept = named.where((F.col(lang) != "und") & (F.col(score) >= low))
+    return kept.withColumn("lang", F.coalesce("lang", lang)).select(*names)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
