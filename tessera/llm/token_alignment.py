@@ -15,6 +15,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,9 @@ from tessera.llm.common import bounded
 from tessera.llm.word_bpe import _byte_alphabet
 from tessera.session import scratch_path
 
-SLICE = 1 << 20             # bytes of text or of ids worked on at once
-GROUP_CHARS = 200_000       # characters handed to a library at once
+SLICE = 1 << 20             # bytes of ids aligned at once
+TEXT_SLICE = 2 << 20        # bytes of text encoded at once; a word that repeats there is encoded once
+GROUP_CHARS = 100_000       # characters handed to a library at once
 HELD_PAIRS = 1 << 21        # distinct pairs that a task holds before it hands them on
 SHARD_PAIRS = 1 << 16       # distinct pairs in a shard, about
 GROUP_ROWS = 1 << 20        # partial counts that become one vector, about
@@ -58,25 +60,54 @@ class Codec:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(pieces)]
         self.sizes = tuple(np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
+        self.tables = [pa.array(t, pa.binary()) for t in (self.a_bytes, self.b_bytes)]
         self.dtype = np.dtype("<u2" if max(len(self.a_bytes), len(self.b_bytes)) <= 1 << 16 else "<u4")
         # a piece with a blank behind another character could reach over a cut
         self.cuts = not any("▁" in p.lstrip("▁") for p in pieces)
 
-    def _learn(self, words: list[str]) -> Iterator[tuple[bytes, bytes, bool]]:
-        """Ids of both vocabularies for each word, and whether both give back its bytes."""
-        at = 0
-        while at < len(words):
-            end, chars = at, 0
-            while end < len(words) and (end == at or chars < GROUP_CHARS):
-                chars += len(words[end])
-                end += 1
-            some = words[at:end]
-            coded = self.a.encode_batch_fast([" " + w for w in some], add_special_tokens=False)
-            for word, a, b in zip(some, coded, self.b.encode(some, num_threads=1)):
-                a, want = a.ids, b" " + word.encode()
-                same = want == b"".join([self.a_bytes[i] for i in a]) == b"".join([self.b_bytes[i] for i in b])
-                yield np.array(a, self.dtype).tobytes(), np.array(b, self.dtype).tobytes(), same
-            at = end
+    def _ids_of_a(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of blank + word for all words, and how many each has.  Words that
+        could be cut from a longer text are encoded as one, which saves a call each."""
+        ids = np.array(self.a.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0].ids, np.int64)
+        ends = np.cumsum([len(w.encode()) + 1 for w in words])
+        places = self.sizes[0][ids].cumsum()
+        last = np.searchsorted(places, ends)
+        if (places[last] == ends).all() and places[-1] == ends[-1]:
+            return ids, np.diff(last, prepend=-1)
+        each = [e.ids for e in self.a.encode_batch_fast([" " + w for w in words], add_special_tokens=False)]
+        return np.array(list(chain.from_iterable(each)), np.int64), np.array([len(e) for e in each])
+
+    def _learn(self, words: list[str]) -> tuple[list[bytes], list[bytes], list[str]]:
+        """Ids of words by both vocabularies, and the words whose bytes one of them does not give back."""
+        ids_a, n_a = self._ids_of_a(words)
+        coded = self.b.encode(words, num_threads=1)
+        n_b = np.array([len(x) for x in coded])
+        ids_b = np.fromiter(chain.from_iterable(coded), np.int64, n_b.sum())
+        out = []
+        for ids, n in ((ids_a, n_a), (ids_b, n_b)):
+            raw, ends = ids.astype(self.dtype).tobytes(), (n.cumsum() * self.dtype.itemsize).tolist()
+            out.append([raw[i:j] for i, j in zip([0, *ends], ends)])
+        want = (" " + " ".join(words)).encode()
+        if all(want == t.take(pa.array(ids)).buffers()[2].to_pybytes() for t, ids in zip(self.tables, (ids_a, ids_b))):
+            return *out, []
+        return *out, [w for w, a, b in zip(words, *out)
+                      if not b" " + w.encode() == self._spelled(a, self.a_bytes) == self._spelled(b, self.b_bytes)]
+
+    def _groups(self, words: list[str]) -> Iterator[list[str]]:
+        """The words by groups of about GROUP_CHARS; a word that does not begin
+        and end with a printable character is a group of its own."""
+        group, chars = [], 0
+        for word in words:
+            if not ("!" <= word[0] <= "~" and "!" <= word[-1] <= "~" and self.cuts):
+                yield [word]
+                continue
+            group.append(word)
+            chars += len(word)
+            if chars > GROUP_CHARS:
+                yield group
+                group, chars = [], 0
+        if group:
+            yield group
 
     def _spelled(self, ids: bytes, table: list[bytes]) -> bytes:
         return b"".join([table[i] for i in np.frombuffer(ids, self.dtype).tolist()])
@@ -87,10 +118,11 @@ class Codec:
         cut = [(_CUT.split(t) if self.cuts else [t]) if t else [] for t in texts]
         words = list({w for ws in cut for w in ws})
         known_a, known_b, odd = {}, {}, set()
-        for w, (a, b, same) in zip(words, self._learn(words)):
-            known_a[w], known_b[w] = a, b
-            if not same:
-                odd.add(w)
+        for group in self._groups(words):
+            ids_a, ids_b, bad = self._learn(group)
+            known_a.update(zip(group, ids_a))
+            known_b.update(zip(group, ids_b))
+            odd.update(bad)
         a = [b"".join(map(known_a.__getitem__, ws)) for ws in cut]
         b = [b"".join(map(known_b.__getitem__, ws)) for ws in cut]
         if odd:
@@ -174,7 +206,7 @@ def encode(docs: DataFrame, vocabularies: Vocabularies, *, id_col: str = "doc_id
     """``(id, a, b)``: the ids of every text by both vocabularies as binary."""
     def run(batches):
         codec = vocabularies.codec()
-        for batch in bounded(batches, 1, SLICE):
+        for batch in bounded(batches, 1, TEXT_SLICE):
             a, b = codec.encode(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["id", "a", "b"])
 

@@ -97,7 +97,7 @@ def files(spark):
 @pytest.mark.parametrize("small", [False, True])
 def test_against_brute_force(spark, rows, files, small, monkeypatch):
     if small:           # many shards, salts, tree levels, broadcast blocks, slices and early hand-ons
-        for name, value in (("SLICE", 500), ("HELD_PAIRS", 300), ("SHARD_PAIRS", 100), ("GROUP_ROWS", 10), ("FAN", 2),
+        for name, value in (("SLICE", 500), ("TEXT_SLICE", 900), ("HELD_PAIRS", 300), ("SHARD_PAIRS", 100), ("GROUP_ROWS", 10), ("FAN", 2),
                             ("BLOCK_SHARDS", 3), ("GROUP_CHARS", 40)):
             monkeypatch.setattr(ta, name, value)
     got = ta.align(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), files).collect()
