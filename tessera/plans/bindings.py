@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from tessera.functions.columns import prefix_label
-from tessera.operators import (classify, cleaning, clustering, linear, logistic, metrics, textml,
+from tessera.operators import (classify, cleaning, clustering, fitcheck, linear, logistic, metrics, textml,
                                ranking, retrieval, text)
 from tessera.session import checkpoint, input_path, load, spread
 from tessera.sources import files
@@ -46,6 +46,7 @@ SITE_LABELS = {"SMALL": 1, "MEDIUM": 2, "LARGE": 3, "STANDARD": 4}
 SOURCE_PREFIX = "src1"
 LINE_SEP = "\u001e"             # record separator: corpus texts contain newlines
 KMEANS_K, CLUSTER_TOL, CLUSTER_SEED, LLOYD_STEPS = 3, 1e-4, 10, 8
+MIXTURE_STEPS, SWEEP_KS = 8, range(2, 10)
 SCI = "%.9e"
 
 
@@ -139,6 +140,20 @@ def scan_csv_schema(spark, d):
     return files.read_csv_schema(spark, path, SITE_SCHEMA)
 
 
+def scan_csv_corrupt(spark, d):
+    """Records with cells that do not parse, an unquoted separator inside a cell, and a missing last cell."""
+    k = F.col("p_partkey")
+    size = F.when(k % 7 == 0, "n/a").otherwise(F.col("p_size").cast("string"))
+    price = F.when(k % 11 == 0, "12,5").when(k % 17 == 0, "").otherwise(F.col("p_retailprice").cast("string"))
+    line = F.concat_ws(",", k.cast("string"), size, price)
+    path = input_path(spark, "part-bad-csv", d)
+    files.write_text(load(spark, d, "part").select(F.when(k % 13 == 0, line).otherwise(F.concat(line, F.lit(",x"))).alias("value")), path)
+    schema = StructType([StructField("partkey", IntegerType()), StructField("size", IntegerType()),
+                         StructField("price", DoubleType()), StructField("mark", StringType())])
+    rows = files.read_csv_schema(spark, path, schema, corrupt_col="bad_line")
+    return rows.select("partkey", "size", "price", (F.col("mark") == "x").alias("complete"), "bad_line")
+
+
 def scan_text_docs(spark, d):
     lines = files.doc_lines(load(spark, d, "documents"), "doc_id", "text", "source")
     path = input_path(spark, "corpus-text", d)
@@ -635,9 +650,48 @@ def lloyd_quality(spark, d):
     return _quality(checkpoint(_lloyd_points(spark, d)))
 
 
+def _mixtures(spark, d):
+    train, _ = _site_split(spark, d)
+    train = checkpoint(train.select("p_partkey", "p_size", "p_retailprice"))
+    return {name: clustering.mixture_fit(train, cols, "p_partkey", KMEANS_K, MIXTURE_STEPS) for name, cols in SITE_FEATURES.items()}
+
+
+def mixture_history(spark, d):
+    """Mean log-likelihood of the training rows before each EM step, from a fixed start, for the three feature sets."""
+    rows = [(name, step, SCI % v) for name, (_, history) in _mixtures(spark, d).items() for step, v in enumerate(history)]
+    return spark.createDataFrame(rows, "features string, step int, mean_log_likelihood string")
+
+
+def mixture_params(spark, d):
+    """Weight, mean and variance per component and dimension after MIXTURE_STEPS EM steps."""
+    rows = [(name, c, col, SCI % m.weights[c], SCI % (m.means[c, i] + m.origin[i]), SCI % m.covariances[c, i, i])
+            for name, (m, _) in _mixtures(spark, d).items() for c in range(len(m.weights)) for i, col in enumerate(SITE_FEATURES[name])]
+    return spark.createDataFrame(rows, "features string, component int, dim string, weight string, mean string, variance string")
+
+
+def mixture_points(spark, d):
+    """Components of the rows of both sides of the split under the fitted mixtures."""
+    mixtures, out = _mixtures(spark, d), None
+    for split, points in zip(("train", "test"), _site_split(spark, d)):
+        for name, cols in SITE_FEATURES.items():
+            part = mixtures[name][0].predict(points, cols).select(F.lit(name).alias("features"), F.lit(split).alias("split"),
+                                                                  "p_partkey", "prediction")
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+def lloyd_sweep(spark, d):
+    """Silhouette for each k of k-means from fixed centres: the choice of k on one table of points."""
+    train = checkpoint(_site_split(spark, d)[0].select("p_partkey", "p_size", "p_retailprice"))
+    cols = SITE_FEATURES["size_price"]
+    centres = clustering.lloyd_all(train, cols, "p_partkey", SWEEP_KS, LLOYD_STEPS)
+    points = clustering.assign_all(train, cols, centres).select("k", "prediction", F.array(*cols).alias("x"))
+    return clustering.silhouettes(points, "x", "prediction", ["k"]).select("k", F.round("silhouette", 8).alias("silhouette"))
+
+
 def k_sweep(spark, d):
     train, _ = _site_split(spark, d)
-    return clustering.k_sweep(train, ["p_size", "p_retailprice"], range(2, 10), CLUSTER_TOL, CLUSTER_SEED)
+    return clustering.k_sweep(train, ["p_size", "p_retailprice"], SWEEP_KS, CLUSTER_TOL, CLUSTER_SEED)
 
 
 def site_classify(spark, d):
@@ -646,6 +700,29 @@ def site_classify(spark, d):
     return classify.classify_accuracy(train, test, CLASS_FEATURES, "label")
 
 
+def site_fit_check(spark, d):
+    """The multinomial regression's objective and gradient (below a ten-thousandth of the start's), the forest's nodes
+    (impurities and gains from their class counts), and on how many test rows the prediction is not the one that the
+    weights, or a replay of the forest's votes by joins, give."""
+    names = load(spark, d, "part").select("p_partkey", F.char_length("p_name").cast("double").alias("name_length"))
+    train, test = (checkpoint(clustering.assembler(CLASS_FEATURES).transform(t.join(names, "p_partkey")).withColumn(
+        "label", F.col("label").cast("double"))) for t in _site_split(spark, d))
+    made = {name: est.fit(train) for name, est in classify.classifiers("label").items()}
+    regression, forest = made["logistic_regression"], made["random_forest"]
+    found = fitcheck.optimality(train, "softmax", regression)
+    pred = fitcheck.recomputed(regression.transform(test).select("prediction", "features"), regression.coefficientMatrix.toArray(),
+                               regression.interceptVector.toArray())
+    nodes = checkpoint(fitcheck.forest_nodes(spark, forest))
+    votes = fitcheck.forest_votes(test, nodes, "p_partkey", CLASS_FEATURES, forest.getMaxDepth())
+    voted = forest.transform(test).select("p_partkey", "prediction").join(votes, "p_partkey", "left")
+    n = train.count(), test.count()
+    rows = [("logistic_regression", *n, found["objective_matches"] and found["gradient_share"] < 1e-4,
+             pred.where("prediction <> recomputed").count()),
+            ("random_forest", *n, fitcheck.unsound_nodes(nodes).isEmpty(),
+             voted.where("voted is null or prediction <> voted").count())]
+    return spark.createDataFrame(rows, "model string, n_train long, n_test long, sound boolean, mismatches long")
+
+
 # --------------------------------------------------------------------------- spark.ml text
 
 def _ml_split(spark, d):
@@ -724,6 +801,26 @@ def _ml_eval(spark, d, kind):
                                        "weighted_recall double, weighted_f1 double")
 
 
+def ml_fit_check(spark, d):
+    """Both classifiers with all and with the selected features: whether the objective recomputed from the training rows
+    is the one the fit ended with, whether the gradient there is below a twentieth of the one at the start (20 iterations),
+    and on how many test rows the prediction is not the one that the weights give."""
+    model, train, test = _ml_features(spark, d)
+    chosen = [r["idx"] for r in textml.top_features(_chi2(spark, model, train), ML_SELECTED).collect()]
+    cut = textml.slicer(chosen)
+    n_train, n_test, rows = train.count(), test.count(), []
+    for kind, loss, make in (("logreg", "logistic", textml.logistic), ("svm", "hinge", textml.linear_svc)):
+        for n, col, tr, te in ((5000, "features", train, test), (ML_SELECTED, "chosen", cut.transform(train), cut.transform(test))):
+            tr, te = (t.select("doc_id", F.col(col).alias("features"), "label") for t in (tr, te))
+            fit = make().fit(tr)
+            found = fitcheck.optimality(tr, loss, fit)
+            pred = fitcheck.recomputed(fit.transform(te).select("prediction", "features"), fit.coefficients.toArray(), [fit.intercept])
+            rows.append((kind, n, n_train, n_test, found["objective_matches"], found["gradient_share"] < 0.05,
+                         pred.where("prediction <> recomputed").count()))
+    return spark.createDataFrame(rows, "model string, n_features int, n_train long, n_test long, objective_matches boolean, "
+                                       "gradient_small boolean, mismatches long")
+
+
 def ml_logreg(spark, d):
     return _ml_eval(spark, d, "logreg")
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 from tessera.functions.columns import FLOAT_PATTERN, SPECIAL_FLOAT_PATTERN
 from tessera.functions.stopwords import ENGLISH_STOP_WORDS
 from tessera.operators.logistic import random_start
+from tessera.operators.clustering import MIXTURE_RIDGE
 from tessera.plans import bindings as B
 
 # ----------------------------------------------------------------------------- shared CTEs
@@ -241,9 +242,9 @@ def lr_ctes(opt: str, steps: int = B.LR_STEPS, pre: str = "", random: bool = Fal
         p = t - 1
         rows = "dl"
         if batch:
-            code = _hex8(f"CAST(doc_id AS VARCHAR) || '-{t}'")
-            share = f"greatest(1, least(1000, 1000 * {batch} // (SELECT count(*) FROM dl)))"
-            rows = f"(SELECT * FROM dl WHERE {code} % 1000 < {share}) dl"
+            code = f"CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR) || '-{t}'), 1, 15)) AS BIGINT)"
+            all_ = "(SELECT count(*) FROM dl)"
+            rows = f"(SELECT * FROM dl WHERE {batch} >= {all_} OR {code} < CAST({batch} AS HUGEINT) * {1 << 60} // {all_}) dl"
         ctes.append(f"""{pre}z{t} AS MATERIALIZED (
   SELECT dl.doc_id, dl.label, dl.cw, coalesce(sum(f.tf * w.w), 0.0) AS z
   FROM {rows} LEFT JOIN feats f USING (doc_id) LEFT JOIN {pre}w{p} w ON w.idx = f.idx GROUP BY ALL)""")
@@ -384,11 +385,16 @@ tail AS (SELECT *, CASE WHEN a <= 0 OR x <= 0 THEN 0.0
 
 # ----------------------------------------------------------------------------- clustering
 
-def _lloyd_ctes() -> list[str]:
-    """Unrolled Lloyd steps per feature set, then the points of both splits with their cluster."""
+def _site_points() -> list[str]:
+    """Complete rows of both splits."""
     code = _hex8("CAST(p_partkey AS VARCHAR)")
-    ctes = [SITE, f"""pts AS (SELECT p_partkey, p_size, p_retailprice, CASE WHEN {code} % 10 < 7 THEN 'train' ELSE 'test' END AS split
+    return [SITE, f"""pts AS (SELECT p_partkey, p_size, p_retailprice, CASE WHEN {code} % 10 < 7 THEN 'train' ELSE 'test' END AS split
   FROM site WHERE p_size IS NOT NULL AND p_retailprice IS NOT NULL AND brand_no IS NOT NULL AND label IS NOT NULL)"""]
+
+
+def _lloyd_ctes() -> list[str]:
+    """Unrolled Lloyd steps per feature set, then the points of both splits with their cluster."""
+    ctes = _site_points()
     finals = []
     for name, cols in B.SITE_FEATURES.items():
         dist = " + ".join(f"(p.{c} - c.{c}) * (p.{c} - c.{c})" for c in cols)
@@ -429,6 +435,87 @@ sil AS (SELECT features, split, round(avg(CASE WHEN n_own <= 1 THEN 0.0 WHEN a <
 FROM fitted JOIN sil USING (features, split) GROUP BY features, split, prediction""")
 
 
+def lloyd_sweep_sql() -> str:
+    """Lloyd steps for every k together, and the silhouette of each."""
+    cols = B.SITE_FEATURES["size_price"]
+    names = ", ".join(cols)
+    dist = " + ".join(f"(p.{c} - c.{c}) * (p.{c} - c.{c})" for c in cols)
+    nearest = f"""SELECT {', '.join(f'p.{c}' for c in cols)}, p.p_partkey, c.k, c.i FROM pts p CROSS JOIN {{c}} c WHERE p.split = 'train'
+      QUALIFY row_number() OVER (PARTITION BY p.p_partkey, c.k ORDER BY {dist}, c.i) = 1"""
+    ctes = _site_points() + [f"""c0 AS MATERIALIZED (SELECT k, i, {names} FROM (SELECT unnest([{', '.join(map(str, B.SWEEP_KS))}]) AS k)
+  JOIN (SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS i, {names} FROM pts WHERE split = 'train') ON i < k)"""]
+    for t in range(1, B.LLOYD_STEPS + 1):
+        ctes.append(f"""c{t} AS MATERIALIZED (SELECT c.k, c.i, {', '.join(f'coalesce(m.{c}, c.{c}) AS {c}' for c in cols)}
+  FROM c{t - 1} c LEFT JOIN (SELECT k, i, {', '.join(f'avg({c}) AS {c}' for c in cols)} FROM ({nearest.format(c=f'c{t - 1}')})
+  GROUP BY k, i) m USING (k, i))""")
+    return _sql(*ctes, f"fitted AS MATERIALIZED (SELECT k, p_partkey, i, [{names}] AS x FROM ({nearest.format(c=f'c{B.LLOYD_STEPS}')}))",
+                """cs AS (SELECT k, i, list(s ORDER BY j) AS s FROM (SELECT k, i, j, sum(v) AS s FROM (
+  SELECT k, i, unnest(x) AS v, generate_subscripts(x, 1) AS j FROM fitted) GROUP BY ALL) GROUP BY ALL),
+stats AS (SELECT * FROM cs JOIN (SELECT k, i, count(*) AS n, sum(list_dot_product(x, x)) AS q FROM fitted GROUP BY ALL) USING (k, i)),
+d AS (SELECT p.k, p.p_partkey, p.i = c.i AS own, c.n, list_dot_product(p.x, p.x) + c.q / c.n - 2.0 * list_dot_product(p.x, c.s) / c.n AS far
+      FROM fitted p JOIN stats c ON p.k = c.k),
+per AS (SELECT k, p_partkey, max(CASE WHEN own THEN far * n / (n - 1) END) AS a, max(CASE WHEN own THEN n END) AS n_own,
+               min(CASE WHEN NOT own THEN far END) AS b FROM d GROUP BY ALL)""",
+                select="""SELECT k, round(avg(CASE WHEN n_own <= 1 THEN 0.0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1
+  ELSE 0.0 END), 8) AS silhouette FROM per GROUP BY k""")
+
+
+def _mixture_ctes() -> list[str]:
+    """Unrolled EM steps per feature set, in coordinates less the training mean: ``name_g<t>`` holds the components
+    (i, w, m<a>, c<a><b>) after t steps, ``name_r<t>`` ln(weight x density) of every training row under them."""
+    ctes = _site_points()
+    for name, cols in B.SITE_FEATURES.items():
+        d = range(len(cols))
+        pairs = [(a, b) for a in d for b in d if b <= a]
+        train = "FROM pts WHERE split = 'train'"
+        ctes.append(f"{name}_y AS MATERIALIZED (SELECT p_partkey, split, "
+                    + ", ".join(f"{c} - (SELECT avg({c}) {train}) AS y{a}" for a, c in enumerate(cols)) + " FROM pts)")
+        start = ", ".join(f"(SELECT covar_pop({cols[a]}, {cols[b]}) {train}) {'+ %r' % MIXTURE_RIDGE if a == b else ''} AS c{a}{b}"
+                          for a, b in pairs)
+        ctes.append(f"""{name}_g0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY p_partkey) - 1 AS INTEGER) AS i,
+  1.0 / {B.KMEANS_K} AS w, {', '.join(f'y{a} AS m{a}' for a in d)}, {start}
+  FROM (SELECT * FROM {name}_y WHERE split = 'train' ORDER BY p_partkey LIMIT {B.KMEANS_K}))""")
+        for t in range(B.MIXTURE_STEPS + 1):
+            split = "WHERE y.split = 'train'" if t < B.MIXTURE_STEPS else ""
+            off = [f"(y{a} - m{a})" for a in d]
+            if len(cols) == 1:
+                det, quad = "c00", f"{off[0]} * {off[0]} / c00"
+            else:
+                det = "(c00 * c11 - c10 * c10)"
+                quad = (f"(c11 * {off[0]} * {off[0]} - 2 * c10 * {off[0]} * {off[1]} + c00 * {off[1]} * {off[1]}) / {det}")
+            ctes.append(f"""{name}_r{t} AS MATERIALIZED (SELECT *, top + ln(sum(exp(l - top)) OVER (PARTITION BY p_partkey)) AS lse FROM (
+  SELECT *, max(l) OVER (PARTITION BY p_partkey) AS top FROM (
+  SELECT y.*, g.i, ln(w) - 0.5 * ({len(cols)} * ln(2 * pi()) + ln({det}) + {quad}) AS l FROM {name}_y y CROSS JOIN {name}_g{t} g {split})))""")
+            if t < B.MIXTURE_STEPS:
+                means = ", ".join(f"sum(exp(l - lse) * y{a}) / sum(exp(l - lse)) AS m{a}" for a in d)
+                covs = ", ".join(f"sum(exp(l - lse) * y{a} * y{b}) / sum(exp(l - lse)) - sum(exp(l - lse) * y{a}) / sum(exp(l - lse)) "
+                                 f"* sum(exp(l - lse) * y{b}) / sum(exp(l - lse)) {'+ %r' % MIXTURE_RIDGE if a == b else ''} AS c{a}{b}"
+                                 for a, b in pairs)
+                ctes.append(f"{name}_g{t + 1} AS MATERIALIZED (SELECT i, sum(exp(l - lse)) / count(*) AS w, {means}, {covs} "
+                            f"FROM {name}_r{t} GROUP BY i)")
+    return ctes
+
+
+def mixture_history_sql() -> str:
+    return _sql(*_mixture_ctes(), select="\nUNION ALL\n".join(
+        f"SELECT '{name}' AS features, {t} AS step, format('{{:.9e}}', avg(lse)) AS mean_log_likelihood FROM {name}_r{t} WHERE i = 0"
+        for name in B.SITE_FEATURES for t in range(B.MIXTURE_STEPS)))
+
+
+def mixture_params_sql() -> str:
+    fmt = "format('{:.9e}', "
+    return _sql(*_mixture_ctes(), select="\nUNION ALL\n".join(
+        f"SELECT '{name}' AS features, i AS component, '{c}' AS dim, {fmt}w) AS weight, {fmt}m{a} + (SELECT avg({c}) FROM pts "
+        f"WHERE split = 'train')) AS mean, {fmt}c{a}{a}) AS variance FROM {name}_g{B.MIXTURE_STEPS}"
+        for name, cols in B.SITE_FEATURES.items() for a, c in enumerate(cols)))
+
+
+def mixture_points_sql() -> str:
+    return _sql(*_mixture_ctes(), select="\nUNION ALL\n".join(
+        f"SELECT '{name}' AS features, split, p_partkey, i AS prediction FROM {name}_r{B.MIXTURE_STEPS} "
+        f"QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY l DESC, i) = 1" for name in B.SITE_FEATURES))
+
+
 # ----------------------------------------------------------------------------- registry
 
 def oracle_sql() -> dict[str, str]:
@@ -437,6 +524,12 @@ def oracle_sql() -> dict[str, str]:
                               "p_size AS _c4, p_retailprice AS _c5 FROM part")
     q["scan_csv_schema"] = ("SELECT CAST(p_partkey AS INTEGER) AS partkey, p_name AS name, p_brand AS brand, "
                             "p_type AS type, p_size AS size, p_retailprice AS retailprice FROM part")
+    q["scan_csv_corrupt"] = """WITH c AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 7 = 0 THEN 'n/a' ELSE CAST(p_size AS VARCHAR) END AS size,
+  CASE WHEN p_partkey % 11 = 0 THEN '12,5' WHEN p_partkey % 17 = 0 THEN '' ELSE CAST(p_retailprice AS VARCHAR) END AS price FROM part)
+SELECT CAST(k AS INTEGER) AS partkey, TRY_CAST(size AS INTEGER) AS size, CASE WHEN k % 11 = 0 THEN 12.0 ELSE TRY_CAST(nullif(price, '') AS DOUBLE) END AS price,
+  CASE WHEN k % 11 = 0 THEN false WHEN k % 13 <> 0 THEN true END AS complete,
+  CASE WHEN k % 7 = 0 OR (k % 11 = 0) = (k % 13 <> 0) THEN CAST(k AS VARCHAR) || ',' || size || ',' || price || CASE WHEN k % 13 = 0 THEN '' ELSE ',x' END END AS bad_line
+FROM c"""
     q["scan_text_docs"] = _sql(DOC_LINES, select="SELECT CAST(doc_id AS VARCHAR) AS doc_id, "
                                                  "md5(text) AS text_md5 FROM docs_parsed")
     top_pairs = _sql(TRIPS, CLEAN, select=f"""SELECT medallion, count(*) AS n_drivers
@@ -546,6 +639,10 @@ SELECT cluster, CAST(dim AS INTEGER) AS dim, min(x) AS min_value, max(x) AS max_
   round(stddev_samp(x), 10) AS stddev_value FROM e GROUP BY cluster, dim"""
     q["lloyd_points"] = lloyd_points_sql()
     q["lloyd_quality"] = lloyd_quality_sql()
+    q["lloyd_sweep"] = lloyd_sweep_sql()
+    q["mixture_history"] = mixture_history_sql()
+    q["mixture_params"] = mixture_params_sql()
+    q["mixture_points"] = mixture_points_sql()
     q["kmeans_assign"] = f"""WITH pts AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
 cen AS (SELECT CAST(row_number() OVER (ORDER BY vec_id) - 1 AS INTEGER) AS i, x AS c FROM pts ORDER BY vec_id LIMIT {B.KMEANS_K}),
 dist AS (SELECT p.vec_id, c.i, list_sum(list_transform(list_zip(p.x, c.c), lambda t: (t[1] - t[2]) * (t[1] - t[2]))) AS d
@@ -562,6 +659,13 @@ SELECT vec_id, i AS prediction FROM dist QUALIFY row_number() OVER (PARTITION BY
     q["chi2_selected"] = _sql(ML_SPLIT, ML_FILTERED, CV, CHI2, CHI2_TAIL, select=f"""SELECT
   CAST(rank AS INTEGER) AS rank, term, round(statistic, 8) AS statistic, CAST(2 * a AS INTEGER) AS dof
 FROM (SELECT *, row_number() OVER (ORDER BY round(log_p, 8), idx) AS rank FROM tail) WHERE rank <= {B.ML_SELECTED}""")
+    rows = """(SELECT count(*) FROM ok) AS n_train, (SELECT count(*) FROM labels JOIN documents USING (doc_id)) - (SELECT count(*) FROM ok) AS n_test"""
+    q["ml_fit_check"] = _sql(ML_SPLIT, "ok AS (SELECT doc_id FROM mldocs)", select="\nUNION ALL\n".join(
+        f"SELECT '{kind}' AS model, {n} AS n_features, {rows}, true AS objective_matches, true AS gradient_small, CAST(0 AS BIGINT) AS mismatches"
+        for kind in ("logreg", "svm") for n in (5000, B.ML_SELECTED)))
+    q["site_fit_check"] = _sql(*_site_points(), select="\nUNION ALL\n".join(
+        f"SELECT '{name}' AS model, count_if(split = 'train') AS n_train, count_if(split = 'test') AS n_test, true AS sound, "
+        f"CAST(0 AS BIGINT) AS mismatches FROM pts" for name in ("logistic_regression", "random_forest")))
     q["chi2_stats"] = _sql(ML_SPLIT, ML_FILTERED, CV, CHI2, select="""SELECT term, round(statistic, 8) AS statistic,
   CAST((nv - 1) * ((SELECT count(*) FROM labs) - 1) AS INTEGER) AS dof FROM chi""")
     return q

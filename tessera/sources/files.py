@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tessera.functions.columns import ID_CLOSE, ID_OPEN, TEXT_OPEN
 
@@ -18,11 +18,17 @@ def read_csv_inferred(spark: SparkSession, path: str, sep: str = ",") -> DataFra
 
 
 def read_csv_schema(spark: SparkSession, path: str, schema: StructType,
-                    sep: str = ",", header: bool = False) -> DataFrame:
-    """CSV with a fixed schema; cells that do not parse become null (PERMISSIVE)."""
-    return (spark.read.schema(schema)
-            .option("mode", "PERMISSIVE")
-            .csv(path, sep=sep, header=header))
+                    sep: str = ",", header: bool = False, corrupt_col: str | None = None) -> DataFrame:
+    """CSV with a fixed schema; cells that do not parse become null (PERMISSIVE).
+
+    ``corrupt_col`` adds a column with the whole line of every record that has
+    such a cell, or more or fewer cells than the schema, and null for the rest.
+    """
+    reader = spark.read.option("mode", "PERMISSIVE")
+    if corrupt_col is not None:
+        schema = StructType([*schema.fields, StructField(corrupt_col, StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
+    return reader.schema(schema).csv(path, sep=sep, header=header)
 
 
 def read_text(spark: SparkSession, path: str, line_sep: str | None = None) -> DataFrame:

@@ -51,3 +51,37 @@ def test_cluster_summary(spark):
     df = spark.createDataFrame([(0, 1.0), (0, 3.0), (1, 5.0)], "c int, v double")
     got = [tuple(r) for r in clustering.cluster_summary(df, "c", "v").collect()]
     assert got[0][:4] == (0, 1.0, 3.0, 2.0) and got[0][4] == pytest.approx(2 ** 0.5) and got[1][4] is None
+
+
+def test_mixture_against_plain_em(spark):
+    rng = np.random.default_rng(1)
+    rows = [(3 * i + c, float(10 * c + rng.normal()), float(-7 * c + 2 * rng.normal())) for i in range(60) for c in range(3)]
+    df = spark.createDataFrame(rows, "id long, x double, y double")
+    m, history = clustering.mixture_fit(df, ["x", "y"], "id", 3, 4)
+    x = np.array([r[1:] for r in rows])
+    w, mu = np.full(3, 1 / 3), x[:3].copy()
+    cov = np.repeat((np.cov(x.T, bias=True) + clustering.MIXTURE_RIDGE * np.eye(2))[None], 3, 0)
+    want = []
+    for _ in range(4):
+        parts = np.stack([a * np.exp(-0.5 * np.einsum("ni,ij,nj->n", x - u, np.linalg.inv(s), x - u)) / (2 * np.pi * np.sqrt(np.linalg.det(s)))
+                          for a, u, s in zip(w, mu, cov)], 1)
+        want.append(np.log(parts.sum(1)).mean())
+        r = parts / parts.sum(1, keepdims=True)
+        w, mu = r.mean(0), (r.T @ x) / r.sum(0)[:, None]
+        cov = np.stack([(r[:, c, None] * (x - mu[c])).T @ (x - mu[c]) / r[:, c].sum() + clustering.MIXTURE_RIDGE * np.eye(2) for c in range(3)])
+    assert np.allclose(history, want) and sorted(history) == history
+    assert np.allclose(m.weights, w) and np.allclose(m.means + m.origin, mu) and np.allclose(m.covariances, cov)
+    best = np.stack([np.log(a) - 0.5 * np.log(np.linalg.det(s)) - 0.5 * np.einsum("ni,ij,nj->n", x - u, np.linalg.inv(s), x - u)
+                     for a, u, s in zip(w, mu, cov)], 1).argmax(1)
+    assert [r.prediction for r in m.predict(df, ["x", "y"]).orderBy("id").collect()] == best.tolist()
+
+
+def test_silhouettes_of_many_clusterings(spark, monkeypatch):
+    rows = [(float(i), g, (i // (4 + g)) % 3) for g in (0, 1) for i in range(24)]
+    df = spark.createDataFrame(rows, "x double, g int, p int").selectExpr("array(x) x", "g", "p")
+    each = {r.g: r.silhouette for r in clustering.silhouettes(df, "x", "p", ["g"]).collect()}
+    for g in (0, 1):
+        assert each[g] == pytest.approx(clustering.silhouette(df.where(df.g == g), "x", "p").first()[0])
+    monkeypatch.setattr(clustering, "MAX_CLUSTERS", 2)
+    with pytest.raises(ValueError, match="clusters"):
+        clustering.silhouette(df, "x", "p")

@@ -35,3 +35,12 @@ def test_small_result_sink_single_file(spark):
     path = scratch_path(spark, "sink-test")
     files.write_small_result(spark.range(5).repartition(3), path, "csv")
     assert len(glob.glob(path.replace("file:", "") + "/part-*")) == 1
+
+
+def test_corrupt_records(spark, tmp_path):
+    from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
+    (tmp_path / "x.csv").write_text("1,2.5\nx,3.0\n2\n3,4.0,5\n4,\n")
+    schema = StructType([StructField("a", IntegerType()), StructField("b", DoubleType())])
+    got = [tuple(r) for r in files.read_csv_schema(spark, str(tmp_path), schema, corrupt_col="bad").collect()]
+    assert got == [(1, 2.5, None), (None, 3.0, "x,3.0"), (2, None, "2"), (3, 4.0, "3,4.0,5"), (4, None, None)]
+    assert files.read_csv_schema(spark, str(tmp_path), schema).columns == ["a", "b"]
