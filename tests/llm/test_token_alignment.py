@@ -73,6 +73,16 @@ def test_encoding(texts):
         assert np.frombuffer(a, CODEC.dtype).tolist() == want[0] and np.frombuffer(b, CODEC.dtype).tolist() == want[2]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from("abcdehinorstuwxyzABTW'.,\n-019!") , min_size=1, max_size=24), max_size=12))
+def test_plain_words(words):
+    """Plain words go through another library than the rest: the ids are the same."""
+    assert CODEC.ranks is not None
+    text = " ".join(words)
+    (a,), (b,) = CODEC.encode([text])
+    assert (np.frombuffer(a, CODEC.dtype).tolist(), np.frombuffer(b, CODEC.dtype).tolist()) == tokens(text)[::2]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.sets(st.integers(0, 2 ** 62), max_size=400), st.integers(1, 7))
 def test_perfect_hash(keys, shards):
