@@ -20,6 +20,7 @@ from tessera.session import checkpoint
 BUCKETS = 256           # entries of a hashed document vector
 DIMENSIONS = 4
 BITS = 10               # cells per dimension: 2 ** BITS
+HELD_TOKENS = 1 << 20   # tokens of pieces that a task holds, or makes of one row
 SPREAD = 6.0            # standard deviations of a projection that the cells span, half to each side
 
 
@@ -134,13 +135,17 @@ def pack(docs: DataFrame, vocabulary: Vocabulary, *, length: int = 4096, end_id:
     # one row of a repeated document stands for its copies
     ids = coded.select("d", "h", "ids")
     many = places.where("copies > 1").select("d", "h")
-    if not many.isEmpty():
+    repeated = not many.isEmpty()
+    if repeated:
         ids = ids.join(many, ["d", "h"], "left_anti").union(ids.join(many, ["d", "h"], "left_semi").dropDuplicates(["d", "h"]))
     wide = vocabulary.tokenizer().dtype
 
+    kinds = [pa.int64()] * 3 + [pa.binary()] + [pa.int64()] * 3
+
     def run(batches):
+        cols: list[list] = [[] for _ in kinds]
+        held = 0
         for batch in bounded(batches, 1):
-            cols: list[list] = [[] for _ in range(7)]
             for d, raw, copies, at in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 tokens = np.frombuffer(raw, wide).astype("<u4")
                 for begin in range(at, at + copies * len(tokens), len(tokens)):
@@ -152,10 +157,20 @@ def pack(docs: DataFrame, vocabulary: Vocabulary, *, length: int = 4096, end_id:
                                                  (begin + start) // length, offset)):
                             col.append(v)
                         start += size
-            kinds = [pa.int64()] * 3 + [pa.binary()] + [pa.int64()] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
+                        held += size
+                        if held > HELD_TOKENS:
+                            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
+                            cols, held = [[] for _ in kinds], 0
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
 
     names = ["d", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
     placed = ids.join(places, ["d", "h"]).select("d", "ids", "copies", "at")
+    if repeated:            # many copies of a document are dealt by ranges to all tasks
+        n = (F.octet_length("ids") / wide.itemsize).cast("long")
+        step = F.greatest(F.lit(1), F.floor(F.lit(HELD_TOKENS) / n)).cast("long")
+        first = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, step)).alias("c")
+        ranges = placed.where(F.col("copies") > step).select("d", "ids", "copies", "at", first).select(
+            "d", "ids", F.least(step, F.col("copies") - F.col("c")).alias("copies"), (F.col("at") + F.col("c") * n).alias("at"))
+        placed = placed.where(F.col("copies") <= step).union(ranges.repartition("at"))
     out = placed.mapInArrow(run, "d long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
     return out.select(id_of("d", kind).alias(id_col), *names[1:])

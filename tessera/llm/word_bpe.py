@@ -29,10 +29,9 @@ LONG_WORD = 64              # symbols; longer words use the heap
 SCAN_ROWS = 8192            # words scanned together
 SLICE = 2 << 20             # bytes of text worked on at once
 GROUP_CHARS = 1_000_000     # characters encoded together
-CACHE_ENTRIES = 200_000     # distinct words held per worker before the longer ones go: about 30 MB
-SHORT_WORD = 8              # words up to this length stay then
+CACHE_ENTRIES = 400_000     # distinct words held per worker: about 50 MB
+SHORT_WORD = 12             # longer words come back seldom and are not held
 NEAR = 0x250                # below: Latin letters
-CACHED_CHARS = 200          # longer words are not cached
 NO_PAIR = 1 << 40
 
 # White space of the vocabulary's own split pattern.
@@ -255,10 +254,8 @@ class WordBpe:
                             for p in self.special_split.split(text)])
             else:
                 cut.append([self._words(text)])
-        if len(self._cache) > CACHE_ENTRIES:        # short words come back soonest
-            self._cache = {w: x for w, x in self._cache.items() if len(w) <= SHORT_WORD}
-            if len(self._cache) > CACHE_ENTRIES // 2:
-                self._cache = {}
+        if len(self._cache) > CACHE_ENTRIES:
+            self._cache = {}
         get = self._cache.get
         coded = [[run if run.__class__ is bytes else list(map(get, run)) for run in runs] for runs in cut]
         open_runs = [(words, found) for runs, done in zip(cut, coded) for words, found in zip(runs, done)
@@ -266,7 +263,7 @@ class WordBpe:
         new = self._learn(list({w for words, found in open_runs for w, x in zip(words, found) if x is None}))
         for words, found in open_runs:
             found[:] = [new[w] if x is None else x for w, x in zip(words, found)]
-        self._cache.update((w, x) for w, x in new.items() if len(w) <= CACHED_CHARS)
+        self._cache.update((w, x) for w, x in new.items() if len(w) <= SHORT_WORD)
         return [b"".join([run if run.__class__ is bytes else b"".join(run) for run in runs]) for runs in coded]
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:

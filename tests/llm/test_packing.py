@@ -59,3 +59,23 @@ def test_null_ids_and_empty_table(spark, empty, vocabulary):
     assert packing.pack(empty, vocabulary).count() == 0
     got = packing.pack(spark.createDataFrame([(None, None), (None, "a b")], "doc_id long, text string"), vocabulary).collect()
     assert sorted(p.doc_tokens for p in got) == [1, 3] and {p.doc_id for p in got} == {None}
+
+
+def test_many_copies_of_one_row(spark, vocabulary, monkeypatch):
+    """100,000 copies of a row: dealt to many tasks by ranges, every piece in its place, small batches."""
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(packing, "HELD_TOKENS", 5000)
+    n = 100_000
+    docs = spark.range(n).select(F.lit(7).cast("long").alias("doc_id"), F.lit("a copied row").alias("text")).union(
+        spark.range(500).select((F.col("id") + 10).alias("doc_id"), F.concat(F.lit("other "), F.col("id").cast("string")).alias("text")))
+    pieces = packing.pack(docs, vocabulary, length=256).withColumn("task", F.spark_partition_id()).cache()
+    total, first, last, ids = pieces.agg(F.sum("length"), F.min("sequence_id"), F.max("sequence_id"), F.count_distinct("doc_id")).first()
+    assert (first, last, ids) == (0, (total - 1) // 256, 501)
+    assert pieces.where("doc_id = 7").agg(F.sum("length")).first()[0] == n * pieces.where("doc_id = 7").first().doc_tokens
+    sums = pieces.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.sum(F.col("offset") * 2 + F.col("length")).alias("m"))
+    assert sums.where(f"n <> 256 and sequence_id < {last}").count() == 0
+    # gapless: the pieces' places, each from its offset on, add up to those of 0 .. n
+    placed = pieces.select("sequence_id", F.explode(F.sequence(F.col("offset"), F.col("offset") + F.col("length") - 1)).alias("p"))
+    assert placed.groupBy("sequence_id").agg(F.count("p").alias("n"), F.count_distinct("p").alias("m")).where("n <> m").count() == 0
+    tasks = [r.n for r in pieces.groupBy("task").agg(F.count("*").alias("n")).collect()]
+    assert len(tasks) >= 6 and max(tasks) < 0.5 * sum(tasks)
