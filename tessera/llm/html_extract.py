@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import html
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ OUT, OPEN, MAIN = 0, 1, 2
 LINKS = 3                   # an open block that is a menu
 
 # Names from HTML and common use.
-RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "object"}
+RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg"}
 OUT_TAGS = RAW | {"head", "nav", "footer", "aside", "form", "button", "select", "option", "dialog", "menu", "datalist"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 BLOCKS = {"address", "article", "aside", "blockquote", "body", "br", "caption", "center", "dd", "details", "dialog",
@@ -55,7 +56,14 @@ OUT_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "sponsor", "spon
              "masthead", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "comment", "comments", "reply",
              "replies", "disqus", "share", "sharing", "social", "related", "newsletter", "subscribe", "popup", "modal",
              "overlay", "login", "signup", "search", "widget", "toolbar", "pagination", "pager", "copyright"}
-# ... and of these, the ones that also end an article's own element
+# words that a part's name has beside those
+PART_WORDS = {"area", "bar", "block", "box", "button", "buttons", "container", "content", "form", "icons", "inner", "item", "items",
+              "left", "link", "links", "list", "main", "outer", "panel", "posts", "right", "section", "slot", "thread", "top", "wrap",
+              "wrapper", "bottom", "site", "page", "user", "reader"}
+# elements that hold parts of an article; its headings, paragraphs and lists are never put aside by a name
+HOLDERS = {"div", "section", "aside", "table", "figure", "details", "blockquote", "center", "fieldset", "span"}
+COMMENT_IDS = {"comments", "comment-section", "disqus_thread", "respond", "reader-comments"}
+# ... and of the words above, the ones that also end an article's own element
 OUT_ARTICLES = {"ad", "ads", "advert", "advertisement", "sponsored", "comment", "comments", "reply", "replies",
                 "related", "teaser", "promo"}
 
@@ -70,21 +78,36 @@ _WORD = re.compile(r"[a-z0-9]+")
 
 def _zone(name: str, attrs: str, around: int) -> int:
     """The part of the page that an element opens inside a part ``around``."""
-    if around == OUT:
+    if around == OUT or name in OUT_TAGS:
         return OUT
+    if not attrs and name not in ("header", "article", "main"):
+        return around
     values = {k.lower(): v.strip("\"'").lower() for k, v in _ATTR.findall(attrs)} if attrs.strip() else {}
-    if name in OUT_TAGS or "hidden" in values or values.get("aria-hidden") == "true":
+    if "hidden" in values or values.get("aria-hidden") == "true":
         return OUT
     if name == "header":
         return around if around == MAIN else OUT
     if values.get("role") in OUT_ROLES:
         return OUT
-    words = set(_WORD.findall(values.get("class", "") + " " + values.get("id", "")))
     if name in ("article", "main") or values.get("role") == "main":
+        words = set(_WORD.findall(values.get("class", "") + " " + values.get("id", "")))
         return OUT if words & OUT_ARTICLES else MAIN
-    if name not in ("html", "body") and words & OUT_WORDS - ({"header"} if around == MAIN else set()):
-        return OUT
-    return around
+    if name in ("html", "body"):
+        return around
+    if around == MAIN:      # an id names what a part of the text is about
+        named = name in HOLDERS and (any(map(_names_a_part, values.get("class", "").split())) or values.get("id") in COMMENT_IDS)
+    else:
+        named = any(map(_names_a_part, (values.get("class", "") + " " + values.get("id", "")).split()))
+    return OUT if named else around
+
+
+@lru_cache(maxsize=10_000)
+def _names_a_part(token: str) -> bool:
+    """Whether a class or id names a part beside the text: one of OUT_WORDS
+    alone, or with others of these and PART_WORDS (``comments-area``, but not
+    ``comments-on-the-war``)."""
+    words = _WORD.findall(token)
+    return any(w in OUT_WORDS for w in words) and all(w in OUT_WORDS or w in PART_WORDS or w.isdigit() for w in words)
 
 
 def blocks(page: str | None, by_class: bool = True) -> list[tuple[int, str, float]]:
@@ -110,7 +133,7 @@ def blocks(page: str | None, by_class: bool = True) -> list[tuple[int, str, floa
     def add(raw: str):
         nonlocal linked
         if raw:
-            text.append(html.unescape(raw))
+            text.append(html.unescape(raw) if "&" in raw else raw)
             if links:
                 linked += len(text[-1])
 
@@ -259,12 +282,18 @@ class Streams:
         self.tokens = np.array([known.setdefault(w, len(known)) for page in self.words for b in page for w in b], np.int64)
         self.page = np.repeat(np.arange(len(pages)), [sum(map(len, page)) for page in self.words])
         self.known = known
+        self._runs: tuple | None = None
 
     def counts(self) -> np.ndarray:
         return pages_per_run(self.tokens, self.page, MIN_RUN)
 
     def runs(self, host: str) -> tuple[np.ndarray, np.ndarray]:
-        """``(position, hash)`` of every run, the hash one of the host and the run's words."""
+        """``(position, hash)`` of every run, the hash one of the host and the run's words; kept for the next call."""
+        if self._runs is None or self._runs[0] != host:
+            self._runs = host, self._hashed(host)
+        return self._runs[1]
+
+    def _hashed(self, host: str) -> tuple[np.ndarray, np.ndarray]:
         starts = max(0, len(self.tokens) - MIN_RUN + 1)
         of_word = np.array([xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in self.known], np.uint64)
         keys = np.full(starts, xxhash.xxh3_64_intdigest(host.encode("utf-8", "surrogatepass")), np.uint64)
@@ -286,18 +315,19 @@ class Streams:
         under those of nearly all pages."""
         out, at = [], 0
         for (zones, _), page_words in zip(self.pages, self.words):
-            has_main = MAIN in zones
-            kept = []
-            for zone, ws in zip(zones, page_words):
-                span = slice(at, at + len(ws))
+            spans = []
+            for ws in page_words:
+                spans.append(slice(at, at + len(ws)))
                 at += len(ws)
-                if zone == MAIN:
-                    if not always[span].all():
-                        kept.append(" ".join(ws))
-                elif zone == OPEN and not has_main:
-                    unique = _unique(template[span])
-                    if len(unique):
-                        kept.append(" ".join([ws[i] for i in unique]))
+            main = [" ".join(ws) if zone == MAIN and not always[span].all() else None
+                    for zone, ws, span in zip(zones, page_words, spans)]
+            kept = [t for t in main if t]
+            if OPEN in zones:
+                open_ = [" ".join([ws[i] for i in _unique(template[span])]) if zone == OPEN else None
+                         for zone, ws, span in zip(zones, page_words, spans)]
+                # beside an article only where the unique runs outweigh it: the article is a teaser then
+                if MAIN not in zones or sum(len(t) for t in open_ if t) > sum(map(len, kept)):
+                    kept = [t for pair in zip(main, open_) for t in pair if t]
             out.append("\n".join(kept))
         return out
 

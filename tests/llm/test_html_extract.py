@@ -1,8 +1,11 @@
+import random
+
 import numpy as np
 from pyspark.sql import functions as F
 
 from tessera.llm import html_extract as H
 from tessera.llm.url_filters import host_of
+from tests.llm import plain_html
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p><p>x";</script></head><body>
 <nav><ul><li><a href="/">Home</a></li></ul></nav><!-- note --><div class="ad">Buy</div><header>Site</header>
@@ -115,3 +118,57 @@ def test_runs_are_counted_over_the_whole_host(spark, monkeypatch):
         monkeypatch.setattr(H, "SHARD_CHARS", shard_chars)
         got = {r.page_id: r.text for r in H.extract(pages, host_of(F.col("url"))).collect()}
         assert got == want
+
+
+def test_names_inside_an_article():
+    """What an id or a heading is about is no part of the page; a part named by a whole class is."""
+    body = "one two three four five"
+    for piece in ('<h2 id="related-work">{}</h2>', '<section id="search-algorithms"><p>{}</p></section>', '<p class="notice">{}</p>',
+                  '<p class="social">{}</p>', '<ul class="menu"><li>{}</li></ul>', '<div class="comments-on-the-war">{}</div>',
+                  '<p><math><mi>{}</mi></math></p>', '<object data="x">{}</object>'):
+        assert kept(f"<article><p>start</p>{piece.format(body)}</article>") == f"start\n{body}"
+    for piece in ('<div class="comments">{}</div>', '<section id="comments"><p>{}</p></section>', '<div class="big social-share">{}</div>',
+                  '<div class="cookie-notice">{}</div>', '<div role="search">{}</div>', '<aside>{}</aside>'):
+        assert kept(f"<article><p>start</p>{piece.format(body)}</article>") == "start"
+    assert kept(f'<div id="comments-on-the-war">{body}</div>') == body
+    assert kept(f'<p>start</p><div id="comments">{body}</div>') == "start"
+
+
+def test_a_teaser_beside_the_body():
+    """The suffix array decides which open text beside a short article is the page's own."""
+    strip = "these words are printed on each and every page of this host"
+    pages = [f"<article><p>teaser {i}</p></article><div>{strip}</div><div>" + " ".join(f"w{i}x{k}" for k in range(40)) + "</div>"
+             for i in range(9)]
+    got = H.main_texts(pages)
+    assert got == [f"teaser {i}\n" + " ".join(f"w{i}x{k}" for k in range(40)) for i in range(9)] == plain_html.texts(pages)
+    long = [p.replace("teaser", "teaser " + "long " * 80) for p in pages]
+    assert all("w" not in t for t in H.main_texts(long))
+
+
+def test_against_a_plain_extractor(spark):
+    """All pages of a given table, and hosts with templates of every kind, by an extractor that shares no code."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html").collect()
+    rng = random.Random(8)
+    made = []
+    for k in range(60):
+        own = [" ".join(f"v{rng.randint(0, 400)}" for _ in range(rng.randint(1, 25))) for _ in range(4)]
+        strip = "read more of our pages on this and many other things of note here"
+        parts = [f"<p>{own[0]} &amp; <b>{own[1]}</b></p>", f"<div>{strip if k % 3 else own[2]} {own[3]}</div>",
+                 f"<nav><a href=x>{own[2]}</a></nav>", f'<div class="ad">{own[0]}</div>', f"<table><tr><td>{own[1]}</td><td>x</td></tr></table>"]
+        rng.shuffle(parts)
+        inner = "".join(parts[:2])
+        page = "".join(parts[2:]) + (f"<article><header><h1>T {k}</h1></header>{inner}</article>" if k % 4 else inner) + "<footer>f</footer>"
+        made.append((10 ** 6 + k, f"http://made{k % 2}.com/{k}", f"<html><head><title>t</title></head><body>{page}</body></html>"))
+    made += [made[5], made[5]]
+    every = [tuple(r) for r in rows] + made
+    frame = spark.createDataFrame(every, "page_id long, url string, html string").repartition(4)
+    hosts = {}
+    for i, u, h in every:
+        hosts.setdefault((u or "//").split("/")[2], []).append((i, h))
+    want = {}
+    for of in hosts.values():
+        want.update(zip([i for i, _ in of], plain_html.texts([h for _, h in of])))
+    got = H.extract(frame, host_of(F.col("url"))).collect()
+    assert len(got) == len(every)
+    for r in got:
+        assert r.text == want[r.page_id] and r.n_chars == len(r.text), r.page_id
