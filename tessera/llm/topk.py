@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 SHARD_ROWS = 8_192      # candidates in a shard, on average
 BLOCK_ROWS = 512        # queries in a block, on average
+MAX_TASKS = 50_000
 SCALE = 256
 STEP = 8                # list entries read per dimension before the bound is checked again
 EXACT = 2 ** 53         # below, sums of products are exact in floating point
@@ -117,12 +118,15 @@ def top_k(vectors: DataFrame, queries: DataFrame, *, k: int = 5, id_col: str = "
     asked = quantised(queries, id_col, vec_col).distinct()
     n, nq = base.count(), asked.count()
     shards, blocks = -(-n // SHARD_ROWS) or 1, -(-nq // BLOCK_ROWS) or 1
-    rows = base.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"))
+    # dealt by id and vector: an id that many vectors share is in all shards
+    rows = base.withColumn("shard", F.pmod(F.xxhash64("id", "v"), F.lit(shards)).cast("int"))
     # shards and blocks are packed into a row each (bounded); the blocks, a small part of the rows, meet every shard
-    packed = rows.groupBy("shard").agg(F.collect_list(F.struct("id", "v")).alias("members"))
-    packed_q = asked.groupBy(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int").alias("block")).agg(
+    tasks = min(4 * shards, MAX_TASKS)      # by number: a task's time goes with its shards, not with their bytes
+    packed = rows.repartition(tasks, "shard").groupBy("shard").agg(F.collect_list(F.struct("id", "v")).alias("members"))
+    packed_q = asked.groupBy(F.pmod(F.xxhash64("id", "v", F.lit(1)), F.lit(blocks)).cast("int").alias("block")).agg(
         F.collect_list(F.struct("id", "v")).alias("asked"))
-    pairs = packed_q.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).join(packed, "shard")
+    each = packed_q.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).repartition(tasks, "shard")
+    pairs = each.join(packed, "shard")
 
     def search(batches):
         for batch in batches:

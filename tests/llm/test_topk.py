@@ -52,3 +52,20 @@ def test_stops_early_and_large_numbers():
     assert ids.tolist() == [7] and scores.tolist() == [9000 * 11]
     big = topk.Shard(np.arange(3), np.array([[2 ** 30, 1], [2 ** 30, 0], [0, 1]]))
     assert big.top(9, np.array([2 ** 30, 1]), 2)[1].tolist() == [2 ** 60 + 1, 2 ** 60]
+
+
+def test_many_vectors_under_one_id(spark, monkeypatch):
+    """They are dealt to all shards, and the result is the brute-force one."""
+    make = topk.Shard.__init__
+
+    def counted(self, ids, rows):
+        make(self, ids, rows)
+        assert len(ids) < 400, "one group holds most vectors of the id"
+
+    monkeypatch.setattr(topk, "SHARD_ROWS", 100)
+    monkeypatch.setattr(topk.Shard, "__init__", counted)
+    rng = random.Random(6)
+    rows = [(7, [rng.uniform(-1, 1), rng.uniform(-1, 1)], "", 1) for _ in range(1000)] + [(i, [rng.uniform(-1, 1), 0.5], "", 1) for i in range(100, 140)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    got = topk.top_k(frame, frame.where("vec_id = 100"), k=5)
+    assert sorted(tuple(r) for r in got.collect()) == plain(rows, {100}, 5)
