@@ -26,6 +26,9 @@ _DEFAULT_CONF = {
 }
 
 
+_made: set[str] = set()        # application folders of this process
+
+
 def get_session(master: str | None = None, app: str = "tessera",
                 shuffle_partitions: int | None = None,
                 extra: dict[str, str] | None = None) -> SparkSession:
@@ -91,21 +94,31 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared folder."""
+def _app_dir(spark: SparkSession) -> str:
+    """This application's folder below the shared one; it is deleted when the
+    driver's JVM ends in order."""
     base = shared_dir(spark)
-    sep = "" if base.endswith("/") else "/"
-    return f"{base}{sep}tessera/{name}-{uuid.uuid4().hex}"
+    sc = spark.sparkContext
+    path = f"{base.rstrip('/')}/tessera/{sc.applicationId}"
+    if path not in _made:
+        folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+        fs = folder.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.mkdirs(folder)
+        fs.deleteOnExit(folder)
+        _made.add(path)
+    return path
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh, unique path below the application's folder."""
+    return f"{_app_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def input_path(spark: SparkSession, name: str, sf_dir: str) -> str:
-    """One stable path below the shared folder per name and input directory, so
+    """One stable path below the application's folder per name and input directory, so
     that a query which renders its input as files overwrites its own copy
     instead of leaving a new one each time."""
-    base = shared_dir(spark)
-    sep = "" if base.endswith("/") else "/"
-    tag = hashlib.md5(f"{spark.sparkContext.applicationId}|{sf_dir}".encode()).hexdigest()[:16]
-    return f"{base}{sep}tessera/{name}-{tag}"
+    return f"{_app_dir(spark)}/{name}-{hashlib.md5(sf_dir.encode()).hexdigest()[:16]}"
 
 
 def table_path(sf_dir: str, name: str) -> str:
