@@ -87,3 +87,69 @@ def rank_order(text, profiles, size=300):
     far = {lang: sum(abs(p[g] - r) if g in p else size for g, r in own.items()) for lang, p in profiles.items()}
     best = min(far, key=lambda x: (far[x], x))
     return best, 1 - far[best] / (size * len(own))
+
+
+BLANKS = b" \t\n\r\x0b\x0c"
+
+
+def chunks(text, gear, look=8, spread=2, forced=32):
+    """(start, end, words) of the content-defined chunks of a text, hash by hash and word by word."""
+    raw = (text or "").encode()
+    places, at = [], 0
+    while at < len(raw):
+        end = at
+        while end < len(raw) and raw[end] not in BLANKS:
+            end += 1
+        if end > at:
+            places.append((at, end))
+        at = end + 1
+    words = [raw[a:b] for a, b in places]
+    stream, value = b" " if raw[:1] and raw[0] in BLANKS else b"", []
+    for k, w in enumerate(words):
+        stream += (b" " if k else b"") + w
+        h = 0
+        for b in stream[-look:]:
+            h = (h << 1) + int(gear[b])
+        value.append(h % 2 ** 64 >> 4)
+    out, begin = [], 0
+    for k in range(len(words)):
+        near = spread <= k < len(words) - spread and all(value[k] > value[k - j] and value[k] >= value[k + j] for j in range(1, spread + 1))
+        if near or k == len(words) - 1:
+            for b in range(begin, k + 1, forced):
+                e = min(b + forced, k + 1)
+                out.append((places[b][0], places[e - 1][1], words[b:e]))
+            begin = k + 1
+    return out
+
+
+def substring_dedup(rows, min_words, gear):
+    """(id key, text) -> (text less its runs of repeated chunks, removed byte ranges); chunks are compared as words."""
+    seen, out = set(), {}
+    for d, text in documents(rows):
+        found = chunks(text, gear)
+        repeated = []
+        for _, _, words in found:
+            repeated.append(tuple(words) in seen)
+            seen.add(tuple(words))
+        spans, k = [], 0
+        while k < len(found):
+            e = k
+            while e < len(found) and repeated[e]:
+                e += 1
+            if e > k and sum(len(w) for _, _, w in found[k:e]) >= min_words:
+                spans.append((found[k][0], found[e - 1][1]))
+            k = max(e, k + 1)
+        if not spans:
+            out[d, text] = text, []
+            continue
+        raw, left, at = text.encode(), b"", 0
+        for a, b in spans:
+            left, at = left + raw[at:a], b
+            if not left.strip(BLANKS):
+                left = b""
+            if not left or left[-1] in BLANKS:          # one separator is left: the one in front
+                while at < len(raw) and raw[at] in BLANKS:
+                    at += 1
+        rest = raw[at:]
+        out[d, text] = ((left + rest) if rest.strip(BLANKS) else left.rstrip(BLANKS)).decode(), spans
+    return out

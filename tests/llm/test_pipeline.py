@@ -32,12 +32,7 @@ def expected(rows):
     comp = brute.components(keys, lambda a, b: (a[1] ^ b[1]).bit_count() <= 4)
     kept = {i: kept[i] for i, _ in set(comp.values())}
     yield kept
-    seen, out = set(), {}
-    for i in sorted(kept):
-        digests = substring_dedup.chunks(kept[i])[3].tolist()
-        hits = [k for k, x in enumerate(digests) if x in seen or x in digests[:k]]
-        seen |= set(digests)
-        out[i] = substring_dedup.without_chunks(kept[i], hits, 20)[0]
+    out = {i: t for (i, _), (t, _) in brute.substring_dedup(list(kept.items()), 20, substring_dedup.GEAR).items()}
     yield {i: t for i, t in out.items() if t.strip()}
 
 

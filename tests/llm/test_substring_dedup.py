@@ -10,13 +10,7 @@ from tests.llm.conftest import words
 
 
 def plain(rows, min_words):
-    seen, out = set(), {}
-    for d, text in brute.documents(rows):
-        digests = substring_dedup.chunks(text)[3].tolist()
-        hits = [k for k, x in enumerate(digests) if x in seen or x in digests[:k]]
-        seen |= set(digests)
-        out[d, text] = substring_dedup.without_chunks(text, hits, min_words)
-    return out
+    return brute.substring_dedup(rows, min_words, substring_dedup.GEAR)
 
 
 @pytest.mark.parametrize("min_words", [1, 20])
@@ -65,3 +59,14 @@ def test_separators():
     assert substring_dedup.without_chunks(text, list(range(last + 1)), 1)[0] == ""
     assert substring_dedup.without_chunks(text, [1], 1)[0] == text[:start[1]] + text[start[2]:]
     assert substring_dedup.without_chunks(text, [1], 99) == (text, [])
+
+
+def test_chunks_against_plain_code():
+    rng = random.Random(9)
+    texts = ["", " ", "one", "a b", "an " * 200, "  x\n\ny\t z ", "é ü " * 30, "x" * 100] + [
+        "".join(rng.choice(["  ", "\n", " "]) + w for w in words(rng, rng.randint(1, 150)).split()) for _ in range(60)]
+    for text in texts:
+        start, end, n, digest = substring_dedup.chunks(text)
+        want = brute.chunks(text, substring_dedup.GEAR)
+        assert [(a, b, k) for a, b, k in zip(start.tolist(), end.tolist(), n.tolist())] == [(a, b, len(w)) for a, b, w in want]
+        assert len(set(digest.tolist())) == len({tuple(w) for _, _, w in want})
