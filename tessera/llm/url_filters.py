@@ -180,9 +180,9 @@ parts AS (
 keys AS (
   SELECT DISTINCT url, hour, 'host:' || host AS key FROM parts
   UNION SELECT url, hour, 'domain:' || array_to_string(labels[-n:], '.')
-  FROM (SELECT *, unnest(range(1, least(len(labels), 8) + 1)) AS n FROM parts)
+  FROM (SELECT *, unnest(range(1, len(labels) + 1)) AS n FROM parts)
   UNION SELECT url, hour, 'path:' || host || '/' || array_to_string(segs[:n], '/')
-  FROM (SELECT *, unnest(range(1, least(len(segs), 8) + 1)) AS n FROM parts)),
+  FROM (SELECT *, unnest(range(1, len(segs) + 1)) AS n FROM parts)),
 hits AS (
   SELECT url, hour, count(*) AS n, string_agg(DISTINCT category, ',' ORDER BY category) AS cats
   FROM keys JOIN iv USING (key) WHERE hour >= lo AND hour < hi GROUP BY url, hour)
