@@ -10,6 +10,7 @@ heap over the same pairs instead; both give the same ids.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import json
 import re
@@ -215,9 +216,20 @@ class WordBpe:
 
     def _learn(self, words: list[str]) -> dict[str, bytes]:
         """Ids of distinct words (runs without white space, already normalised)."""
+        # Letters are one piece, and so is a mark behind them.
+        single, marked, rest = [], [], []
+        for w in words:
+            if w.isascii():
+                if w.isalpha():
+                    single.append(w)
+                    continue
+                if w[-1] in ".,;:!?" and w[:-1].isalpha():
+                    marked.append(w)
+                    continue
+            rest.append(w)
         far = self.far.search
         plain, other = [], []
-        for w in words:
+        for w in rest:
             (other if far(w) else plain).append(w)
         # white space never joins a piece, so all plain words are split in one call
         cut, pieces = [], []
@@ -230,9 +242,15 @@ class WordBpe:
         if plain:
             cut.append(pieces)
         cut += [self.pieces.findall(w) for w in other]
-        pieces = list({p for ps in cut for p in ps})
+        pieces = {p for ps in cut for p in ps}
+        pieces.update(single)
+        pieces.update([w[:-1] for w in marked])
+        pieces.update([w[-1] for w in marked])
+        pieces = list(pieces)
         ids = dict(zip(pieces, self.merge(pieces)))
-        return {w: ids[ps[0]] if len(ps) == 1 else b"".join([ids[p] for p in ps]) for w, ps in zip(plain + other, cut)}
+        known = {w: ids[w] for w in single}
+        known.update([(w, ids[w[:-1]] + ids[w[-1]]) for w in marked])
+        return known | {w: ids[ps[0]] if len(ps) == 1 else b"".join([ids[p] for p in ps]) for w, ps in zip(plain + other, cut)}
 
     def _words(self, text: str) -> list[str]:
         if not text.isascii():
@@ -268,7 +286,17 @@ class WordBpe:
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian integers of ``self.dtype``; texts are
-        taken in groups of about ``GROUP_CHARS`` so that memory follows a group."""
+        taken in groups of about ``GROUP_CHARS`` so that memory follows a group.
+        Words and ids form no cycles, so the cycle collector rests meanwhile."""
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode_groups(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode_groups(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = []
         group, chars = [], 0
         for text in texts:
