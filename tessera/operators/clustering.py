@@ -48,7 +48,7 @@ def silhouettes(df: DataFrame, vec: str, cluster: str, by: Sequence[str] = ()) -
     The mean squared distance from x to the points of cluster C is
     |x|^2 + Q_C / n_C - 2 x.S_C / n_C, so only k x d sums are needed: they are
     aggregated once, counted (an error above MAX_CLUSTERS) and attached to every
-    point as a scalar subquery; never pairwise distances.  Own-cluster
+    point by a scalar subquery, or a broadcast join by clustering; never pairwise distances.  Own-cluster
     dissimilarity is scaled by n/(n-1); a point alone in its cluster scores 0.
     """
     x = F.col(vec).cast("array<double>")
@@ -57,10 +57,11 @@ def silhouettes(df: DataFrame, vec: str, cluster: str, by: Sequence[str] = ()) -
         "cluster.g", "cluster.cluster", "n", "s", "q"))
     if (found := stats.count()) > MAX_CLUSTERS:
         raise ValueError(f"{found} clusters, more than {MAX_CLUSTERS}")
-    table = stats.select(F.collect_list(F.struct("g", "cluster", "n", "s", "q"))).scalar()
-    pts = pts.withColumn("t", table)
-    if by:
-        pts = pts.withColumn("t", F.filter("t", lambda c: c["g"] == F.col("g")))
+    clusters = F.collect_list(F.struct("cluster", "n", "s", "q"))
+    if by:      # a clustering's own clusters only: at most MAX_CLUSTERS in all
+        pts = pts.join(F.broadcast(stats.groupBy(F.col("g").alias("own_g")).agg(clusters.alias("t"))), F.col("g").eqNullSafe(F.col("own_g")))
+    else:
+        pts = pts.withColumn("t", stats.select(clusters).scalar())
     table = F.col("t")
     sq = _dot(F.col("x"), F.col("x"))
 

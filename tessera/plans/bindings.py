@@ -25,7 +25,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 from tessera.functions.columns import prefix_label
 from tessera.operators import (classify, cleaning, clustering, fitcheck, linear, logistic, metrics, textml,
                                ranking, retrieval, text)
-from tessera.session import checkpoint, input_path, load, spread
+from tessera.session import checkpoint, dealt, input_path, load, spread
 from tessera.sources import files
 
 # Fixed parameters of the reference workloads.
@@ -577,8 +577,8 @@ CLASS_FEATURES = ["p_size", "p_retailprice", "brand_no", "name_length"]
 
 
 def _site_split(spark, d):
-    """Train and test rows by a hash of the key: the same on every layout, no shuffle."""
-    t = site_clean(spark, d)
+    """Train and test rows by a hash of the key: the same on every layout."""
+    t = dealt(site_clean(spark, d))
     split = clustering.hash_split("p_partkey")
     return t.where(split == "train"), t.where(split == "test")
 

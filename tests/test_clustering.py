@@ -85,3 +85,23 @@ def test_silhouettes_of_many_clusterings(spark, monkeypatch):
     monkeypatch.setattr(clustering, "MAX_CLUSTERS", 2)
     with pytest.raises(ValueError, match="clusters"):
         clustering.silhouette(df, "x", "p")
+
+
+def test_clusterings_meet_only_their_own_clusters(spark):
+    """Sums are joined by clustering, null names too, not searched through for every point."""
+    rows = [(float(i), g, (i // 4) % 3) for g in (0, None) for i in range(24)]
+    df = spark.createDataFrame(rows, "x double, g int, p int").selectExpr("array(x) x", "g", "p")
+    out = clustering.silhouettes(df, "x", "p", ["g"])
+    want = clustering.silhouette(df.where("g = 0"), "x", "p").first()[0]
+    assert {r.g: r.silhouette for r in out.collect()} == {0: pytest.approx(want), None: pytest.approx(want)}
+    assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_points_of_a_fit_are_dealt_to_all_cores(spark, monkeypatch):
+    from tessera import session
+    one = spark.range(100).coalesce(1)
+    assert session.dealt(one) is one
+    monkeypatch.setattr(session, "TASK_ROWS", 30)
+    many = session.dealt(one)
+    sizes = many.rdd.glom().map(len).collect()
+    assert len(sizes) == 4 and sum(sizes) == 100 and max(sizes) <= 30
