@@ -67,28 +67,37 @@ def word_lookup(words: DataFrame, vocab: DataFrame, word_col: str = "word") -> D
     return words.join(F.broadcast(v), word_col, "left")
 
 
-def doc_terms(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, idx, n): in-vocabulary word counts per document.
+def doc_terms(docs: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              totals: bool = False) -> DataFrame:
+    """(doc_id, idx, n): in-vocabulary word counts per document; with ``totals``
+    also ``total``, the document's in-vocabulary words, on each of its rows.
 
     The vocabulary has at most ``size`` rows, so it is broadcast: the token
     stream is never shuffled by word (frequent words would skew that shuffle).
     """
     v = F.broadcast(vocab.select("word", "idx"))
-    # A document's indices are gathered first (bounded by the document), so the
-    # table is clustered by doc_id once; the counts and every window or group by
-    # document after it need no further exchange.
+    # A document's indices are gathered first (bounded by the document) and
+    # counted inside its row, as runs of the sorted array: a partition of them
+    # packs well, so what a task would hold to group or sort its cells is many
+    # times the bytes by which Spark sizes partitions.
     by_doc = (doc_words(docs, id_col, text_col).join(v, "word")
-              .groupBy("doc_id").agg(F.collect_list("idx").alias("all")))
-    return (by_doc.select("doc_id", F.explode("all").alias("idx"))
-            .groupBy("doc_id", "idx").agg(F.count(F.lit(1)).alias("n")))
+              .groupBy("doc_id").agg(F.collect_list("idx").alias("all"))
+              .select("doc_id", F.sort_array("all").alias("all"), F.size("all").alias("total")))
+    at = F.sequence(F.lit(0), F.col("total") - 1)
+    starts = F.filter(at, lambda i: (i == 0) | (F.get("all", i) != F.get("all", i - 1)))
+    runs = by_doc.select("*", starts.alias("starts"))
+    cells = F.transform("starts", lambda s, i: F.struct(
+        F.get("all", s).alias("idx"), (F.coalesce(F.get("starts", i + 1), F.col("total")) - s).cast("long").alias("n")))
+    terms = runs.select("doc_id", "total", F.explode(cells).alias("cell"))
+    return terms.select("doc_id", "cell.idx", "cell.n", *[F.col("total").cast("long").alias("total")] * totals)
 
 
 def term_freq(terms: DataFrame) -> DataFrame:
     """(doc_id, idx, tf) with tf = n / in-vocabulary tokens of the document.
-    Documents without in-vocabulary words have no rows."""
-    w = Window.partitionBy("doc_id")
-    return terms.select("doc_id", "idx",
-                        (F.col("n") / F.sum("n").over(w)).alias("tf"))
+    Documents without in-vocabulary words have no rows.  Without the column
+    ``total`` of ``doc_terms`` a window sorts the terms by document for it."""
+    total = F.col("total") if "total" in terms.columns else F.sum("n").over(Window.partitionBy("doc_id"))
+    return terms.select("doc_id", "idx", (F.col("n") / total).alias("tf"))
 
 
 def doc_freq(terms: DataFrame) -> DataFrame:

@@ -101,7 +101,7 @@ def _vocab(spark, d, size):
 def _retrieval_tables(spark, d):
     docs = corpus(spark, d)
     vocab = text.vocabulary(text.word_counts(docs), VOCAB_RETRIEVAL)
-    terms = text.doc_terms(docs, vocab)
+    terms = text.doc_terms(docs, vocab, totals=True)
     idf_df = text.idf(text.doc_freq(terms), corpus_size(spark, d))
     return docs, vocab, terms, idf_df
 
@@ -292,7 +292,7 @@ def word_lookup(spark, d):
 
 def doc_terms(spark, d):
     _, _, terms, _ = _retrieval_tables(spark, d)
-    return terms
+    return terms.select("doc_id", "idx", "n")
 
 
 def term_freq(spark, d):
@@ -335,7 +335,7 @@ def _knn(spark, d, queries):
     # several branches, so the corpus is tokenized twice and never again.
     docs = corpus(spark, d)
     vocab = checkpoint(text.vocabulary(text.word_counts(docs), VOCAB_RETRIEVAL))
-    terms = checkpoint(text.doc_terms(docs, vocab))
+    terms = checkpoint(text.doc_terms(docs, vocab, totals=True))
     idf_df = text.idf(text.doc_freq(terms), corpus_size(spark, d))
     dvec = text.tfidf(text.term_freq(terms), idf_df)
     qvec = retrieval.query_vectors(queries(spark, d), vocab, idf_df, "query_id")
@@ -418,7 +418,7 @@ def _logreg_inputs(spark, d, materialise: bool = False):
     vocab = text.vocabulary(text.word_counts(train), VOCAB_LOGREG)
     if materialise:     # bounded (<= VOCAB_LOGREG rows); read by several jobs
         vocab = checkpoint(vocab)
-    return vocab, text.term_freq(text.doc_terms(train, vocab)), train.select("doc_id", "label")
+    return vocab, text.term_freq(text.doc_terms(train, vocab, totals=True)), train.select("doc_id", "label")
 
 
 def labelled_features(spark, d):
@@ -506,7 +506,7 @@ def logreg_predict(spark, d):
     """Predictions for the test documents: dictionary and weights come from the training ones."""
     vocab, res = _train(spark, d, "RMSprop")
     test = labelled_corpus(spark, d, "test")
-    tf = text.term_freq(text.doc_terms(test, vocab))
+    tf = text.term_freq(text.doc_terms(test, vocab, totals=True))
     table = logistic.feature_table(test.select("doc_id", "label"), tf)
     return logistic.predict(table, res.weights)
 

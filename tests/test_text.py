@@ -137,3 +137,17 @@ def test_chi2_binarized_has_two_categories(spark):
     raw = {r.term: r.dof for r in textml.chi2_table(df, vocab).collect()}
     binned = {r.term: r.dof for r in textml.chi2_table(df, vocab, binarize=True).collect()}
     assert raw == {"a": 2, "b": 2} and binned == {"a": 1, "b": 1}
+
+
+def test_terms_are_counted_in_the_row(spark):
+    """No task sorts or groups the cells of its documents; ids that repeat or are null still make one document each."""
+    docs = spark.createDataFrame([(1, "b a b"), (1, "a c zz"), (2, "zz"), (None, "c"), (None, "c b"), (3, None)], "doc_id long, text string")
+    vocab = spark.createDataFrame([("a", 0), ("b", 1), ("c", 2)], "word string, idx int")
+    terms = text.doc_terms(docs, vocab, totals=True)
+    assert sorted(map(tuple, terms.collect()), key=str) == sorted(
+        [(1, 0, 2, 5), (1, 1, 2, 5), (1, 2, 1, 5), (None, 1, 1, 3), (None, 2, 2, 3)], key=str)
+    tf = text.term_freq(terms)
+    key = lambda df: sorted((str(r.doc_id), r.idx, r.tf) for r in df.collect())        # noqa: E731
+    assert key(tf) == key(text.term_freq(text.doc_terms(docs, vocab)))
+    plan = tf._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "keys=[doc_id#" in plan and ", idx#" not in "".join(x for x in plan.split("\n") if "keys=" in x)
