@@ -12,18 +12,19 @@ from tessera.operators.ranking import top_k_per_group
 from tessera.operators.text import doc_terms, term_freq, tfidf
 from tessera.session import checkpoint
 
-SHARD_DOCS = 1024       # documents of a group: a few MB of sparse vectors
-PART_QUERIES = 4096     # queries of a group
+SHARD_DOCS = 1024       # documents of a shard: a few MB of sparse vectors
+PART_QUERIES = 4096     # queries of a part
 QUERY_BLOCK = 256       # queries scored together: a dense block over the words they have
 DENSE_ROWS = 256        # documents laid out densely at once
-MAX_TASKS = 50_000
+TASKS_A_CORE = 4
+BLOCK_CELLS = 1 << 20   # cells of a shard or part, unless one vector has more
 
 
 def query_vectors(queries: DataFrame, vocab: DataFrame, idf_df: DataFrame,
                   id_col: str = "query_id", text_col: str = "text") -> DataFrame:
     """TF-IDF vectors of free-text queries, same tokenizer / vocabulary / idf
     as the documents: (query_id, idx, weight)."""
-    tf = term_freq(doc_terms(queries, vocab, id_col, text_col))
+    tf = term_freq(doc_terms(queries, vocab, id_col, text_col, totals=True))
     return tfidf(tf, idf_df).withColumnRenamed("doc_id", "query_id")
 
 
@@ -69,42 +70,77 @@ def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return query[place < k], doc[place < k]
 
 
-def _search(k: int, digits: int, names: list[str]):
-    """Scores a shard of documents against a part of the queries and hands on the ``k`` best of each query."""
-    def search(documents: pa.Table, queries: pa.Table) -> pa.Table:
-        empty = pa.table([queries.column("query_id").slice(0, 0), documents.column("doc_id").slice(0, 0), pa.array([], pa.float64())], names)
-        if not documents.num_rows or not queries.num_rows:
-            return empty
-        documents = documents.sort_by("doc_id")
-        docs, asked = _Rows(documents), _Rows(queries)
-        found = []
-        for low in range(0, asked.n, QUERY_BLOCK):
-            high = min(low + QUERY_BLOCK, asked.n)
-            words = np.unique(asked.idx[asked.ends[low]:asked.ends[high]])
-            block = asked.dense(low, high, words).T
-            scores = np.empty((docs.n, high - low))
-            for d in range(0, docs.n, DENSE_ROWS):
-                e = min(d + DENSE_ROWS, docs.n)
-                scores[d:e] = docs.dense(d, e, words) @ block
-            scores = np.round(scores, digits) + 0.0
-            query, doc = _best(scores, k)
-            found.append((query + low, doc, scores[doc, query]))
-        query, doc, score = (np.concatenate(x) for x in zip(*found))
-        return pa.table([queries.column("query_id").take(pa.array(query)), documents.column("doc_id").take(pa.array(doc)),
-                         pa.array(score)], names)
-    return search
+def _blocks(vectors: DataFrame, size: int) -> DataFrame:
+    """``(block)``: up to ``size`` rows of ``vector_rows`` each, as an Arrow stream."""
+    def run(batches):
+        for batch in batches:
+            cells = pc.fill_null(pc.list_value_length(batch.column("idx")), 0).to_numpy(zero_copy_only=False).cumsum()
+            cut = (np.diff(cells // BLOCK_CELLS, prepend=-1) != 0) | (np.arange(batch.num_rows) % size == 0)
+            starts = np.flatnonzero(cut)
+            for low, high in zip(starts, [*starts[1:], batch.num_rows]):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, batch.schema) as out:
+                    out.write_batch(batch.slice(low, high - low))
+                yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["block"])
+    return vectors.mapInArrow(run, "block binary")
+
+
+def _table(block: pa.Scalar) -> pa.Table:
+    return pa.ipc.open_stream(block.as_buffer()).read_all()
+
+
+def _score(docs: _Rows, asked: _Rows, k: int, digits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(query, document, score)``, by positions, of the ``k`` best documents of each query."""
+    found = []
+    for low in range(0, asked.n, QUERY_BLOCK):
+        high = min(low + QUERY_BLOCK, asked.n)
+        words = np.unique(asked.idx[asked.ends[low]:asked.ends[high]])
+        block = asked.dense(low, high, words).T
+        scores = np.empty((docs.n, high - low))
+        for d in range(0, docs.n, DENSE_ROWS):
+            e = min(d + DENSE_ROWS, docs.n)
+            scores[d:e] = docs.dense(d, e, words) @ block
+        scores = np.round(scores, digits) + 0.0
+        query, doc = _best(scores, k)
+        found.append((query + low, doc, scores[doc, query]))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _search(k: int, digits: int):
+    """Scores pairs of a shard of documents and a part of the queries and hands on
+    the ``k`` best of each query in all the shards that the task met."""
+    def run(batches):
+        asked, held = {}, {}        # the few parts of a task
+        for batch in batches:
+            for shard, part, block in zip(*(batch.column(c) for c in ("shard", "part", "block"))):
+                at = part.as_py()
+                if at not in asked:
+                    table = _table(block)
+                    asked[at] = _Rows(table), table.column("query_id")
+                documents = _table(shard).sort_by("doc_id")
+                query, doc, score = _score(_Rows(documents), asked[at][0], k, digits)
+                new = pa.table({"query": query, "doc_id": documents.column("doc_id").take(pa.array(doc)), "score": score})
+                if at in held:
+                    new = pa.concat_tables([held[at], new]).sort_by([("query", "ascending"), ("score", "descending"), ("doc_id", "ascending")])
+                    query = new.column("query").to_numpy()
+                    new = new.filter(pa.array(np.arange(len(query)) - np.searchsorted(query, query) < k))
+                held[at] = new.combine_chunks()
+        for at, best in held.items():
+            ids = asked[at][1].take(best.column("query"))
+            yield from pa.table({"query_id": ids, "doc_id": best.column("doc_id"), "score": best.column("score")}).combine_chunks().to_batches()
+    return run
 
 
 def cosine_topk(qvec: DataFrame, dvec: DataFrame, k: int, digits: int = 10) -> DataFrame:
     """k most similar documents per query by cosine similarity, exactly.
 
-    Documents are dealt to shards of about SHARD_DOCS, queries to parts of about
-    PART_QUERIES, both by a hash of their id.  Every (shard, part) pair is one
-    group: it holds one shard and one part whatever the size of the tables,
-    scores them as small dense blocks and keeps k rows per query, which a
-    ranking merges (Spark keeps k per query in each task before the exchange).
-    Vectors are shipped as one row (id, indices, weights); no (query, document)
-    pair leaves a group, and no query passes through the driver.
+    Documents are stored in shards of at most SHARD_DOCS, queries in parts of at
+    most PART_QUERIES, a row each.  Their Cartesian product is read from the two
+    stored tables, so that what is written to disk grows with the tables and not
+    with their product.  A task holds one shard, the few parts of a partition
+    and k rows per query, whatever the size of the tables; a ranking merges the
+    rows of the tasks.  Tasks run over as many shards as keep all cores busy.
+    No (query, document) pair leaves a task, no query passes through the driver.
 
     A document that shares no word with a query, or a zero norm, scores 0 and
     competes like any other; ties, on the score rounded to ``digits``, go to the
@@ -112,21 +148,14 @@ def cosine_topk(qvec: DataFrame, dvec: DataFrame, k: int, digits: int = 10) -> D
 
     Output: (query_id, rank, doc_id, score).
     """
-    docs, queries = checkpoint(vector_rows(dvec, "doc_id")), checkpoint(vector_rows(qvec, "query_id"))
-    shards, parts = -(-docs.count() // SHARD_DOCS) or 1, -(-queries.count() // PART_QUERIES) or 1
-
-    def dealt(table: DataFrame, key: str, own: tuple[str, int], other: tuple[str, int]) -> DataFrame:
-        return (table.withColumn(own[0], F.pmod(F.xxhash64(key), F.lit(own[1])).cast("int"))
-                .withColumn(other[0], F.explode(F.sequence(F.lit(0), F.lit(other[1] - 1)))))
-
-    shard, part = ("shard", shards), ("part", parts)
-    # pairs are dealt by number, not by bytes: a task's time goes with its pairs
-    n = min(shards * parts, MAX_TASKS)
-    left = dealt(docs, "doc_id", shard, part).repartition(n, "shard", "part").groupBy("shard", "part")
-    right = dealt(queries, "query_id", part, shard).repartition(n, "shard", "part").groupBy("shard", "part")
-    kinds = [t.schema[c].dataType.simpleString() for t, c in ((queries, "query_id"), (docs, "doc_id"))]
-    found = left.cogroup(right).applyInArrow(_search(k, digits, ["query_id", "doc_id", "score"]),
-                                             f"query_id {kinds[0]}, doc_id {kinds[1]}, score double")
+    shards = checkpoint(_blocks(vector_rows(dvec, "doc_id"), SHARD_DOCS).withColumnRenamed("block", "shard"))
+    queries = checkpoint(vector_rows(qvec, "query_id"))
+    parts = -(-queries.count() // PART_QUERIES) or 1
+    asked = checkpoint(_blocks(queries.repartition(parts, "query_id"), PART_QUERIES).withColumn("part", F.monotonically_increasing_id()))
+    tasks = TASKS_A_CORE * queries.sparkSession.sparkContext.defaultParallelism
+    pairs = shards.coalesce(-(-tasks // parts)).hint("shuffle_replicate_nl").crossJoin(asked)
+    kinds = [t.schema[c].dataType.simpleString() for t, c in ((queries, "query_id"), (dvec, "doc_id"))]
+    found = pairs.mapInArrow(_search(k, digits), f"query_id {kinds[0]}, doc_id {kinds[1]}, score double")
     return top_k_per_group(found, ["query_id"], [F.desc("score"), F.asc("doc_id")], k).select("query_id", "rank", "doc_id", "score")
 
 

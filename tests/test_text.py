@@ -151,3 +151,14 @@ def test_terms_are_counted_in_the_row(spark):
     assert key(tf) == key(text.term_freq(text.doc_terms(docs, vocab)))
     plan = tf._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "keys=[doc_id#" in plan and ", idx#" not in "".join(x for x in plan.split("\n") if "keys=" in x)
+
+
+def test_knn_writes_no_copies_of_the_vectors(spark, monkeypatch):
+    """Shards meet parts as a product of two stored tables: none is copied for the other through an exchange."""
+    monkeypatch.setattr(retrieval, "SHARD_DOCS", 4)
+    monkeypatch.setattr(retrieval, "PART_QUERIES", 4)
+    rng = np.random.RandomState(6)
+    dvec, qvec = (_cells(spark, _vectors(rng, 40, 30, 4), key) for key in ("doc_id", "query_id"))
+    plan = retrieval.cosine_topk(qvec, dvec, 3)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("MapInArrow"):]
+    assert "CartesianProduct" in below and "Exchange" not in below
