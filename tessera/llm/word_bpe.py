@@ -29,11 +29,12 @@ from tessera.llm.common import bounded
 LONG_WORD = 64              # symbols; longer words use the heap
 SCAN_ROWS = 8192            # words scanned together
 SLICE = 2 << 20             # bytes of text worked on at once
-GROUP_CHARS = 1_000_000     # characters encoded together
+GROUP_CHARS = 2_000_000     # characters encoded together
 CACHE_ENTRIES = 400_000     # distinct words held per worker: about 50 MB
 SHORT_WORD = 12             # longer words come back seldom and are not held
 NEAR = 0x250                # below: Latin letters
-NO_PAIR = 1 << 40
+NO_PAIR = 2 ** 31 - 1
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"      # ASCII without letters, numbers and white space
 
 # White space of the vocabulary's own split pattern.
 _SPACE = "\x09-\x0d\x20\x85\xa0  -     　"
@@ -79,6 +80,29 @@ def _byte_alphabet() -> list[str]:
     return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
 
+class HeldWords(dict):
+    """Ids of words in two generations of half of ``CACHE_ENTRIES`` each: a word
+    met again moves to the young one, and the old one is dropped when the young
+    one is full.  A word not held gets a place that is filled when its group of
+    texts is merged."""
+
+    def __init__(self):
+        super().__init__()
+        self.old: dict[str, bytes] = {}
+        self.places: dict[str, bytearray] = {}
+
+    def __missing__(self, word: str) -> bytes | bytearray:
+        if (ids := self.old.get(word)) is not None:
+            self[word] = ids
+            return ids
+        return self.places.setdefault(word, bytearray())
+
+    def turn(self) -> None:
+        if len(self) > CACHE_ENTRIES // 2:
+            self.old = dict(self)
+            self.clear()
+
+
 class WordBpe:
     """Tokenizer built from the text of a ``tokenizers`` JSON file whose model
     is BPE with an end-of-word suffix and a byte-level alphabet."""
@@ -99,9 +123,10 @@ class WordBpe:
         rules = [(vocab[a], vocab[b], vocab[a + b]) for a, b in model["merges"]]
         self.merged = np.array([new for _, _, new in rules], np.int32)
         self.pairs = {(a, b): rank for rank, (a, b, _) in reversed([*enumerate(rules)])}
-        keys = np.array([a * size + b for a, b in self.pairs], np.int64)
+        self.key_type = np.uint32 if size < 1 << 16 else np.int64
+        keys = np.array([a * size + b for a, b in self.pairs], self.key_type)
         order = keys.argsort()
-        self.pair_keys, self.pair_ranks = keys[order], np.array([*self.pairs.values()], np.int64)[order]
+        self.pair_keys, self.pair_ranks = keys[order], np.array([*self.pairs.values()], np.int32)[order]
         alphabet = _byte_alphabet()
         self.inner = np.array([vocab[c] for c in alphabet], np.int32)
         self.last = np.array([vocab[c + suffix] for c in alphabet], np.int32)
@@ -115,19 +140,23 @@ class WordBpe:
                                       .replace(r"[\p{N}]", f"[{near[r'\p{N}']}]")
                                       .replace(r"[^\s\p{L}\p{N}]", f"[^{_SPACE}{near[r'\p{L}']}{near[r'\p{N}']}]"))
         self.far = re.compile(f"[^\\x00-\\U{NEAR - 1:08x}]")
+        # characters below NEAR that Python and the library do not both call letters, or both not
+        letter = re.compile(f"[{near[r'\p{L}']}]")
+        doubtful = [c for c in map(chr, range(NEAR)) if c.isalpha() != bool(letter.match(c))]
+        self.unsure = re.compile(f"[^\\x00-\\U{NEAR - 1:08x}]" + "".join(f"|{re.escape(c)}" for c in doubtful))
         self.odd_lower = re.compile(f"[{''.join(map(re.escape, self.lower))}]") if self.lower else None
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")")
         self.dtype = np.dtype("<u4" if size > 1 << 16 else "<u2")
-        self._cache: dict[str, bytes] = {}
+        self._cache = HeldWords()
 
     # ------------------------------------------------------------ merge loop
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of every adjacent pair; NO_PAIR where the two parts never merge."""
-        key = left.astype(np.int64) * self.size + right
+        key = left.astype(self.key_type) * self.key_type(self.size) + right.astype(self.key_type)
         at = np.searchsorted(self.pair_keys, key)
         at[at == len(self.pair_keys)] = 0
-        return np.where((self.pair_keys[at] == key) & (left >= 0) & (right >= 0), self.pair_ranks[at], NO_PAIR)
+        return np.where((self.pair_keys[at] == key) & (left >= 0) & (right >= 0), self.pair_ranks[at], np.int32(NO_PAIR))
 
     def _merge_scan(self, parts: np.ndarray) -> list[bytes]:
         """The scan for many short words at once, one word per row, ended by -1.
@@ -156,13 +185,11 @@ class WordBpe:
                     return done
             line = np.arange(len(row))
             parts[line, at] = self.merged[low]
-            cols = np.arange(parts.shape[1] - 1)
-            parts = np.take_along_axis(parts, cols + (cols > at[:, None]), 1)
-            cols = cols[:-1]
-            ranks = np.take_along_axis(ranks, cols + (cols >= at[:, None]), 1)
-            for beside, real in ((at - 1, at > 0), (at, at < ranks.shape[1])):
-                r, i = line[real], beside[real]
-                ranks[r, i] = self._ranks(parts[r, i], parts[r, i + 1])
+            stays = np.arange(parts.shape[1]) != at[:, None] + 1
+            parts, ranks = parts[stays].reshape(len(row), -1), ranks[stays[:, 1:]].reshape(len(row), -1)
+            before, behind = at > 0, at < ranks.shape[1]
+            r, i = np.concatenate([line[before], line[behind]]), np.concatenate([at[before] - 1, at[behind]])
+            ranks[r, i] = self._ranks(parts[r, i], parts[r, i + 1])
 
     def _merge_heap(self, parts: list[int]) -> bytes:
         n = len(parts)
@@ -192,6 +219,8 @@ class WordBpe:
         """Ids of every piece: short ones together by length, long ones through the heap."""
         raw = [p.encode() for p in pieces]
         sizes = np.array([len(r) for r in raw])
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        starts = sizes.cumsum() - sizes
         out: list[bytes] = [b""] * len(raw)
         low = 0
         for high in (8, 16, 32, LONG_WORD):
@@ -199,12 +228,10 @@ class WordBpe:
             low = high
             for start in range(0, len(group), SCAN_ROWS):
                 some = group[start:start + SCAN_ROWS]
-                n = sizes[some]
-                data = np.frombuffer(b"".join([raw[i] for i in some.tolist()]), np.uint8)
-                filled = np.arange(n.max()) < n[:, None]
-                parts = np.full(filled.shape, -1, np.int32)
-                parts[filled] = self.inner[data]
-                parts[np.arange(len(some)), n - 1] = self.last[data[n.cumsum() - 1]]
+                n, first = sizes[some], starts[some]
+                place = np.arange(n.max())
+                parts = np.where(place < n[:, None], self.inner[data.take(first[:, None] + place, mode="clip")], np.int32(-1))
+                parts[np.arange(len(some)), n - 1] = self.last[data[first + n - 1]]
                 for i, ids in zip(some.tolist(), self._merge_scan(parts)):
                     out[i] = ids
         for i in np.flatnonzero(sizes > LONG_WORD).tolist():
@@ -216,17 +243,17 @@ class WordBpe:
 
     def _learn(self, words: list[str]) -> dict[str, bytes]:
         """Ids of distinct words (runs without white space, already normalised)."""
-        # Letters are one piece, and so is a mark behind them.
-        single, marked, rest = [], [], []
+        # Letters are one piece, and so are marks behind them.
+        unsure = self.unsure.search
+        letters, marked, rest = [], [], []
         for w in words:
-            if w.isascii():
-                if w.isalpha():
-                    single.append(w)
-                    continue
-                if w[-1] in ".,;:!?" and w[:-1].isalpha():
-                    marked.append(w)
-                    continue
-            rest.append(w)
+            stem = w if w.isalpha() else w.rstrip(MARKS)
+            if not stem.isalpha() or not stem.isascii() and unsure(stem):
+                rest.append(w)
+            elif stem is w:
+                letters.append(w)
+            else:
+                marked.append((w, stem, w[len(stem):]))
         far = self.far.search
         plain, other = [], []
         for w in rest:
@@ -243,13 +270,17 @@ class WordBpe:
             cut.append(pieces)
         cut += [self.pieces.findall(w) for w in other]
         pieces = {p for ps in cut for p in ps}
-        pieces.update(single)
-        pieces.update([w[:-1] for w in marked])
-        pieces.update([w[-1] for w in marked])
-        pieces = list(pieces)
-        ids = dict(zip(pieces, self.merge(pieces)))
-        known = {w: ids[w] for w in single}
-        known.update([(w, ids[w[:-1]] + ids[w[-1]]) for w in marked])
+        for _, stem, mark in marked:
+            pieces.add(stem)
+            pieces.add(mark)
+        # a piece is cut the same way when it is a word, so a held word's ids are the piece's
+        young, old = self._cache.get, self._cache.old.get
+        ids = {p: x for p in pieces if (x := young(p) or old(p))}
+        pieces.update(letters)
+        pieces = [p for p in pieces if p not in ids]
+        ids.update(zip(pieces, self.merge(pieces)))
+        known = {w: ids[w] for w in letters}
+        known.update([(w, ids[stem] + ids[mark]) for w, stem, mark in marked])
         return known | {w: ids[ps[0]] if len(ps) == 1 else b"".join([ids[p] for p in ps]) for w, ps in zip(plain + other, cut)}
 
     def _words(self, text: str) -> list[str]:
@@ -265,24 +296,27 @@ class WordBpe:
         return _WORDS.findall(text) if _SPLIT_ONLY.search(text) else text.split()
 
     def _encode_some(self, texts: list[str]) -> list[bytes]:
-        cut = []        # per text: its words, or the bytes of a special token
-        for text in texts:
+        held = self._cache
+        held.turn()
+        held.places = places = {}
+        find = held.__getitem__
+        coded = []      # per text: ids, or places of ids, of its words and special tokens
+        for text in texts:      # a text's words are let go before the next one is cut
             if any(s in text for s in self.specials):
-                cut.append([np.array([self.specials[p]], self.dtype).tobytes() if p in self.specials else self._words(p)
-                            for p in self.special_split.split(text)])
+                found = []
+                for p in self.special_split.split(text):
+                    if p in self.specials:
+                        found.append(np.array([self.specials[p]], self.dtype).tobytes())
+                    else:
+                        found += map(find, self._words(p))
+                coded.append(found)
             else:
-                cut.append([self._words(text)])
-        if len(self._cache) > CACHE_ENTRIES:
-            self._cache = {}
-        get = self._cache.get
-        coded = [[run if run.__class__ is bytes else list(map(get, run)) for run in runs] for runs in cut]
-        open_runs = [(words, found) for runs, done in zip(cut, coded) for words, found in zip(runs, done)
-                     if words.__class__ is list and None in found]
-        new = self._learn(list({w for words, found in open_runs for w, x in zip(words, found) if x is None}))
-        for words, found in open_runs:
-            found[:] = [new[w] if x is None else x for w, x in zip(words, found)]
-        self._cache.update((w, x) for w, x in new.items() if len(w) <= SHORT_WORD)
-        return [b"".join([run if run.__class__ is bytes else b"".join(run) for run in runs]) for runs in coded]
+                coded.append(list(map(find, self._words(text))))
+        new = self._learn(list(places))
+        for w, place in places.items():
+            place[:] = new[w]
+        held.update([(w, x) for w, x in new.items() if len(w) <= SHORT_WORD])
+        return [b"".join(found) for found in coded]
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian integers of ``self.dtype``; texts are

@@ -64,3 +64,20 @@ def test_encode_then_decode(docs, corpus, vocabulary):
     got = sorted((r.doc_id or -1, r.text) for r in word_bpe.decode(coded, vocabulary).collect())
     assert got == sorted((r[0] or -1, LIB.decode(LIB.encode(r[1] or "", add_special_tokens=False).ids,
                                                  skip_special_tokens=False)) for r in corpus)
+
+
+def test_held_words_are_not_merged_again(monkeypatch):
+    """A held word is not merged again with marks behind it, nor after the cache has turned over."""
+    monkeypatch.setattr(word_bpe, "CACHE_ENTRIES", 6)
+    own = word_bpe.WordBpe(open(PATH, encoding="utf-8").read())
+    merged, merge = [], own.merge
+    monkeypatch.setattr(own, "merge", lambda pieces: merged.extend(pieces) or merge(pieces))
+    for text in ["kept été", "kept, été%%% other", *(f"kept été {c}x" for c in "abcdefghijkl")]:
+        assert own.encode(text).tolist() == LIB.encode(text, add_special_tokens=False).ids
+    assert merged.count("kept") == merged.count("été") == 1
+
+
+@pytest.mark.parametrize("text", ["École, naïve!! word%%% été*** x'. y.' z's_ don't.", "ªº, ǅ; ʼn! ßß?'s 'll' a1, 1. é'",
+                                  "_a_ (b) [c] \\d\\ `e` ~f~ <|g|> h|", "m'm, 're're ''' n'll'll"])
+def test_marks_behind_words(text):
+    assert same(text)
