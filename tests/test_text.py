@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tessera.operators import ranking, retrieval, text
@@ -162,3 +163,69 @@ def test_knn_writes_no_copies_of_the_vectors(spark, monkeypatch):
     plan = retrieval.cosine_topk(qvec, dvec, 3)._jdf.queryExecution().executedPlan().toString()
     below = plan[plan.index("MapInArrow"):]
     assert "CartesianProduct" in below and "Exchange" not in below
+
+
+def _block(name, vectors):
+    """Vectors as a stored shard or part: an Arrow stream of (key, idx array, weight array)."""
+    cells = [sorted(v.items()) for v in vectors.values()]
+    table = pa.table({name: pa.array(list(vectors)), "idx": pa.array([[w for w, _ in v] for v in cells], pa.list_(pa.int32())),
+                      "weight": pa.array([[x for _, x in v] for v in cells], pa.list_(pa.float64()))})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _texts(rng, n, words, low, high, signed=False):
+    """Vectors with words of all frequencies, of two halves of the vocabulary that hardly mix."""
+    out = {}
+    for i in range(n):
+        found = np.unique((words * rng.rand(rng.randint(low, high)) ** 3).astype(int))
+        found = np.where(rng.rand(len(found)) < 0.95, found + words * (i % 2), found)
+        out[i] = {int(w): float(rng.randint(1, 5) * (rng.choice([-1, 1]) if signed else 1)) for w in found}
+    return out
+
+
+def _searched(asked, docs, k, rows, size, most):
+    """query -> [(doc, score)] from the worker's search, over shards of ``size`` documents."""
+    ids = list(docs)
+    shards = [_block("doc_id", {i: docs[i] for i in ids[low:low + size]}) for low in range(0, len(ids), size)]
+    part = _block("query_id", asked)
+    batches = (pa.RecordBatch.from_arrays([pa.array([x], pa.binary()), pa.array([7]), pa.array([part], pa.binary())],
+                                          ["shard", "part", "block"]) for x in shards)
+    got = {}
+    for batch in retrieval._search(k, 10, 8, rows, most)(batches):
+        for q, d, s in zip(*(batch.column(c).to_pylist() for c in ("query_id", "doc_id", "score"))):
+            got.setdefault(q, []).append((d, s))
+    return {q: sorted(found, key=lambda r: (-r[1], r[0])) for q, found in got.items()}
+
+
+@pytest.mark.parametrize("signed", [False, True])
+def test_search_keeps_exact_neighbours(signed):
+    """Frequent and rare words, kinds of vectors, merges: neighbours of double precision, also where single precision
+    cannot tell documents apart, ties by id, and documents without a shared word."""
+    rng = np.random.RandomState(11)
+    docs, asked = _texts(rng, 500, 300, 5, 60, signed), _texts(rng, 90, 300, 3, 40, signed)
+    for i in range(500, 560):                        # copies, and copies that differ by a hair
+        docs[i] = dict(docs[i - 480])
+        if i % 2:
+            docs[i][min(docs[i])] *= 1 + 1e-6 * (i % 7)
+    docs[560], asked[90], asked[91] = {5: 0.0}, {6: 0.0}, {10_000: 1.0}
+    asked[92] = {**{w: 1e-9 for w in range(3)}, 10_000: 1.0}      # shares next to nothing
+    docs = {i: docs[i] for i in rng.permutation(561).tolist()}
+    want = _neighbours(asked, docs, 10)
+    for rows, size, most in ((2048, 1000, 1 << 20), (16, 40, 1 << 14), (5, 7, 1)):
+        got = _searched(asked, docs, 10, rows, size, most)
+        for q in asked:
+            assert [(d, pytest.approx(s, abs=2e-10)) for d, s in want[q]] == got[q], (rows, q)
+
+
+def test_search_multiplies_only_common_words(monkeypatch):
+    """Documents are not laid out over all words of a block of queries: of 6,000 words a pair meets few."""
+    rng = np.random.RandomState(12)
+    docs, asked = _texts(rng, 400, 3000, 100, 300), _texts(rng, 200, 3000, 20, 100)
+    cells, plain = [], np.matmul
+    monkeypatch.setattr(np, "matmul", lambda a, b, **kw: cells.append(len(a) * b.size) or plain(a, b, **kw))
+    assert sum(map(len, _searched(asked, docs, 10, 2048, 1000, 1 << 20).values())) == 2000
+    used = len(set().union(*asked.values()) & set().union(*docs.values()))
+    assert used > 2500 and 0 < sum(cells) < 0.2 * used * len(docs) * len(asked)
